@@ -34,5 +34,4 @@ def blend(first: Column, second: Column, weight: float) -> Column:
 
 def clean_score(score: Column) -> Column:
     """NaN stands for a missing score at the file boundary; inside the toolkit it is null."""
-    value = score.cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(score.cast("double"), F.lit(None).cast("double"))

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from foldmark.functions.encode import lookup
 from foldmark.functions.scores import blend
-from foldmark.operators.ordering import OrderPlan, plan_order, with_ranks
+from foldmark.operators.ordering import ROWS_PER_BUCKET, with_ranks
 from foldmark.schemas import ID
+from foldmark.session import cut_lineage
 
 # The cutoff pairs in use, above/below.
 VALIDATION_CUTOFFS = (0.66, 0.33)
@@ -30,22 +31,19 @@ def power_mean_ensemble(long: DataFrame, key: str = ID, exponent: float = 2.0) -
     return long.groupBy(key).agg(F.avg(F.pow("p", F.lit(exponent))).alias("target"))
 
 
-def mean_ranks(long: DataFrame, key: str = ID, plan: OrderPlan | None = None) -> DataFrame:
+def mean_ranks(long: DataFrame, key: str = ID, rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None) -> DataFrame:
     """Mean over models of the average rank within each model; a null score has no rank."""
-    ranked = with_ranks(long, "p", key, ("model",), plan)
+    ranked = with_ranks(long, "p", key, ("model",), rows_per_bucket, rows)
     return ranked.groupBy(key).agg(F.avg("avg_rank").alias("mean_rank"))
 
 
-def rank_ensemble(long: DataFrame, key: str = ID, plan: OrderPlan | None = None) -> DataFrame:
-    """Minimum rank of the mean rank.
-
-    Mean ranks lie in [1, rows] and are multiples of 1/(2 * models), so equal-width
-    buckets hold a bounded number of distinct values: no second pass for cut points.
-    """
-    plan = plan or plan_order(long, "p")
-    means = mean_ranks(long, key, plan)
-    buckets = OrderPlan.even(1.0, float(plan.rows), plan.rows) if plan.cuts else OrderPlan(plan.rows)
-    ranked = with_ranks(means, "mean_rank", key, (), buckets)
+def rank_ensemble(long: DataFrame, key: str = ID, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Minimum rank of the mean rank. The mean ranks of a large table are checkpointed, as they are read twice."""
+    rows = long.count()
+    means = mean_ranks(long, key, rows_per_bucket, rows)
+    if rows > rows_per_bucket:
+        means = cut_lineage(means)
+    ranked = with_ranks(means, "mean_rank", key, (), rows_per_bucket, rows)
     return ranked.select(key, F.col("min_rank").alias("target"))
 
 
@@ -113,8 +111,8 @@ def unanimous(long: DataFrame, above: float, below: float, key: str = ID) -> Dat
     )
 
 
-def lowest_mean_ranks(long: DataFrame, n: int, key: str = ID, plan: OrderPlan | None = None) -> DataFrame:
-    return mean_ranks(long, key, plan).orderBy("mean_rank", key).limit(n)
+def lowest_mean_ranks(long: DataFrame, n: int, key: str = ID) -> DataFrame:
+    return mean_ranks(long, key).orderBy("mean_rank", key).limit(n)
 
 
 def largest(df: DataFrame, column: str, n: int, key: str = ID) -> DataFrame:

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from foldmark.functions.scores import clean_score, is_correct, weighted_bce
 from foldmark.operators.ordering import (
     _BUCKET,
+    ROWS_PER_BUCKET,
     OrderPlan,
+    ScoreOrder,
     join_null_safe,
+    order_scores,
+    pack_group,
     plan_order,
     prefix_sums,
     score_histogram,
@@ -24,42 +28,59 @@ def roc_auc(
     score: str,
     target: str,
     group: Sequence[str] = (),
-    plan: OrderPlan | None = None,
     no_positive: float | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    plan: OrderPlan | None = None,
 ) -> DataFrame:
     """Area under the ROC curve with ties counted half, one row per group.
 
     Null when a class is missing, or ``no_positive`` when there is no positive row.
+    Won pairs are counted inside each bucket; pairs across buckets need only the
+    buckets' totals, so no offset goes back to the rows.
     """
-    plan = plan or plan_order(df, score)
-    sums = prefix_sums(score_histogram(df, score, group, target), score, plan, group, ("pos", "neg"))
-    wins = F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
-    totals = sums.groupBy(*group).agg(
-        F.sum(wins).alias("_wins"),
-        F.sum("pos").cast("bigint").alias("n_pos"),
-        F.sum("neg").cast("bigint").alias("n_neg"),
+    plan = plan or plan_order(df, score, rows_per_bucket)
+    hist = score_histogram(df, score, group, target)
+    bucketed = with_bucket(hist, score, plan.cuts) if plan.cuts else hist
+    packed, outer = pack_group(bucketed, group)
+    keys = [_BUCKET, *outer] if plan.cuts else outer
+    below = Window.partitionBy(*keys).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    beaten = F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg") / F.lit(2.0)
+    parts = (
+        packed.select(*keys, "pos", "neg", (F.col("pos").cast("double") * beaten).alias("wins"))
+        .groupBy(*keys)
+        .agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "wins")])
     )
-    pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
-    auc = F.try_divide(F.col("_wins"), F.nullif(pairs, F.lit(0.0)))
+    if plan.cuts:
+        lower = Window.partitionBy(*outer).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        across = F.col("pos").cast("double") * F.coalesce(F.sum("neg").over(lower), F.lit(0))
+        parts = (
+            parts.withColumn("wins", F.col("wins") + across)
+            .groupBy(*outer)
+            .agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "wins")])
+        )
+    pairs = F.col("pos").cast("double") * F.col("neg").cast("double")
+    auc = F.try_divide(F.col("wins"), F.nullif(pairs, F.lit(0.0)))
     if no_positive is not None:
-        auc = F.when(F.coalesce("n_pos", F.lit(0)) == 0, F.lit(no_positive)).otherwise(auc)
-    return totals.select(*group, auc.alias("auc"), "n_pos", "n_neg")
+        auc = F.when(F.coalesce("pos", F.lit(0)) == 0, F.lit(no_positive)).otherwise(auc)
+    return parts.select(
+        *[F.col(f"{outer[0]}.`{g}`").alias(g) for g in group],
+        auc.alias("auc"),
+        F.col("pos").cast("bigint").alias("n_pos"),
+        F.col("neg").cast("bigint").alias("n_neg"),
+    )
 
 
-def _next_counts(hist: DataFrame, score: str, plan: OrderPlan, group: Sequence[str]) -> DataFrame:
+def _next_counts(order: ScoreOrder) -> DataFrame:
     """Add the (pos, neg) counts of the next lower score, across bucket borders as well."""
-    pair = F.struct("pos", "neg")
-    if not plan.cuts:
-        window = Window.partitionBy(*group).orderBy(score)
-        return hist.withColumn("_next", F.lag(pair).over(window))
-    keys = [*group, _BUCKET]
-    bucketed = with_bucket(hist, score, plan)
-    tops = bucketed.groupBy(*keys).agg(F.max_by(pair, F.col(score)).alias("_top"))
-    borders = tops.select(*keys, F.lag("_top").over(Window.partitionBy(*group).orderBy(_BUCKET)).alias("_border"))
-    inside = Window.partitionBy(*keys).orderBy(score)
-    local = bucketed.withColumn("_inside", F.lag(pair).over(inside))
-    joined = join_null_safe(local, borders, keys)
-    return joined.select(*hist.columns, F.coalesce("_inside", "_border").alias("_next"))
+    hist, score, group, pair = order.hist, order.score, order.group, F.struct("pos", "neg")
+    if not order.cuts:
+        return hist.withColumn("_next", F.lag(pair).over(Window.partitionBy(*group).orderBy(score)))
+    packed, outer = pack_group(with_bucket(hist, score, order.cuts), group)
+    keys = [_BUCKET, *outer]
+    tops = packed.groupBy(*keys).agg(F.max_by(pair, F.col(score)).alias("_top"))
+    borders = tops.select(*keys, F.lag("_top").over(Window.partitionBy(*outer).orderBy(_BUCKET)).alias("_border"))
+    local = packed.withColumn("_inside", F.lag(pair).over(Window.partitionBy(*keys).orderBy(score)))
+    return local.join(borders, keys).select(*hist.columns, F.coalesce("_inside", "_border").alias("_next"))
 
 
 def roc_curve(
@@ -67,34 +88,32 @@ def roc_curve(
     score: str,
     target: str,
     group: Sequence[str] = (),
-    plan: OrderPlan | None = None,
     drop_collinear: bool = True,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Points (fpr, tpr, threshold), one per distinct score plus the (0, 0) start.
 
     The start's threshold is the largest score plus one. ``drop_collinear`` leaves
     out points at which the curve does not bend, as plots need no more.
     """
-    plan = plan or plan_order(df, score)
-    hist = score_histogram(df, score, group, target)
-    if drop_collinear:
-        hist = _next_counts(hist, score, plan, group)
-    sums = prefix_sums(hist, score, plan, group, ("pos", "neg"))
+    order = order_scores(df, score, group, target, rows_per_bucket)
+    hist = _next_counts(order) if drop_collinear else order.hist
+    sums = prefix_sums(hist, score, order.cuts, group, ("pos", "neg"))
     # Counts at or above the threshold: the group's total less everything below.
     tp, fp = F.col("pos_total") - F.col("pos_before"), F.col("neg_total") - F.col("neg_before")
-    points = sums.select(
+    shown = sums.where(_bends(tp, fp)) if drop_collinear else sums
+    points = shown.select(
         *group,
         F.try_divide(fp, F.nullif(F.col("neg_total"), F.lit(0))).cast("double").alias("fpr"),
         F.try_divide(tp, F.nullif(F.col("pos_total"), F.lit(0))).cast("double").alias("tpr"),
         F.col(score).alias("threshold"),
-        *([_bends(tp, fp).alias("_bends")] if drop_collinear else []),
     )
-    start = points.groupBy(*group).agg(
-        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), (F.max("threshold") + 1).alias("threshold")
+    start = order.hist.groupBy(*group).agg((F.max(score) + 1).alias("threshold"))
+    return points.unionByName(
+        start.where(F.col("threshold").isNotNull()).select(
+            *group, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), "threshold"
+        )
     )
-    if drop_collinear:
-        points = points.where("_bends").drop("_bends")
-    return points.unionByName(start.where(F.col("threshold").isNotNull()))
 
 
 def _bends(tp: Column, fp: Column) -> Column:
@@ -126,9 +145,9 @@ def epoch_metrics(
     score: str,
     target: str,
     group: Sequence[str] = ("run", "fold", "epoch"),
-    plan: OrderPlan | None = None,
     pos_weight: float = 1.0,
     smoothing: float = 0.0,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Validation loss, accuracy and AUC per group; an epoch without positives has AUC 0.5."""
     loss = weighted_bce(F.col(logit), F.col(target), pos_weight, smoothing)
@@ -136,19 +155,18 @@ def epoch_metrics(
         F.avg(loss).alias("val_loss"),
         F.avg(is_correct(F.col(score), F.col(target))).alias("val_acc"),
     )
-    ranked = roc_auc(df, score, target, group, plan, no_positive=0.5)
+    ranked = roc_auc(df, score, target, group, 0.5, rows_per_bucket)
     return join_null_safe(plain, ranked.select(*group, F.col("auc").alias("val_auc")), group, "left")
 
 
 def describe(
-    df: DataFrame, value: str, group: Sequence[str] = ("model",), plan: OrderPlan | None = None
+    df: DataFrame, value: str, group: Sequence[str] = ("model",), rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """count, mean, std, min, quartiles, max per group, nulls left out; quartiles exact and interpolated.
 
     ``percentile`` would hold a whole group's distinct values in one task; the
     quartiles are read off the cumulative histogram instead.
     """
-    plan = plan or plan_order(df, value)
     cleaned = df.withColumn(value, clean_score(F.col(value)))
     moments = cleaned.groupBy(*group).agg(
         F.count(value).alias("count"),
@@ -157,7 +175,8 @@ def describe(
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    sums = prefix_sums(score_histogram(cleaned, value, group), value, plan, group)
+    order = order_scores(cleaned, value, group, None, rows_per_bucket)
+    sums = prefix_sums(order.hist, value, order.cuts, group)
     picks, outputs = [], []
     for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
         place = F.lit(q) * (F.col("n_total") - 1)

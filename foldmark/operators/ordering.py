@@ -4,18 +4,18 @@
 one task. Everything here that needs an order over many rows goes through
 buckets that follow that order:
 
-* ``plan_order`` makes one pruned scan for the row count and, when one window
-  would hold too many rows, quantile cut points. The cuts are literals on the
-  driver, so a row's bucket is a pure function of its value and a retried task
-  cannot disagree with the first attempt.
-* ``prefix_sums`` works on the score histogram (ties already collapsed by a
-  partial aggregate): sums inside a bucket plus the bucket's offset.
-* ``row_numbers`` does the same for plain numbering, ``hashed_row_numbers`` for
-  a seeded random order, where the bucket is a prefix of the hash.
-
-Offsets join back on the same keys the bucket window is partitioned by, so the
-join costs no shuffle of its own. No cut points means one bucket per group and
-the plain window.
+* A histogram of the scores comes first: a partial aggregate collapses ties on
+  the map side, so a value that holds a third of the rows is one row per task.
+* Cut points between buckets are literals on the driver. A row's bucket is then
+  a pure function of its value, and a retried task cannot disagree with the
+  first attempt.
+* Sums inside a bucket, plus the bucket's offset, are the global prefix sums.
+  Offsets join back on the keys the bucket window is partitioned by, so that join
+  costs no shuffle of its own.
+
+One count decides whether a table is small enough for plain windows. Beyond
+that, a histogram that several branches read is checkpointed, so the input is
+scanned and shuffled once.
 """
 
 from __future__ import annotations
@@ -29,59 +29,61 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldmark.functions.scores import clean_score
+from foldmark.session import cut_lineage
 
 ROWS_PER_BUCKET = 1 << 20
 MAX_BUCKETS = 8192
 HOT_VALUES = 1024
+BROADCAST_ROWS = 100_000
 SALTS = 64
 
 _BUCKET = "_bucket"
+_GROUP = "_group"
 
 
 @dataclass(frozen=True)
 class OrderPlan:
-    """Cut points between buckets and the number of rows they were made for."""
+    """Row count of a table and the cut points of its order; no cuts means plain windows will do."""
 
     rows: int
     cuts: tuple[float, ...] = ()
 
-    @property
-    def hot_rows(self) -> int:
-        """Ties from this size on are hot; at most HOT_VALUES values can be."""
-        return max(1, self.rows // HOT_VALUES + 1)
 
-    @classmethod
-    def even(cls, low: float, high: float, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> "OrderPlan":
-        """Equal-width cuts, for values whose distinct count per unit is bounded (such as mean ranks)."""
-        buckets = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
-        step = (high - low) / max(1, buckets)
-        return cls(rows, tuple(low + step * i for i in range(1, buckets)) if step > 0 else ())
+def _quantiles(df: DataFrame, value: Column, buckets: int) -> tuple[float, ...]:
+    fractions = [i / buckets for i in range(1, buckets)]
+    cuts = df.select(F.percentile_approx(value, fractions, 10 * buckets)).head()[0]
+    return tuple(sorted(set(cuts)))
 
 
 def plan_order(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> OrderPlan:
     """Count the rows and, if they exceed one bucket, cut the column at its quantiles.
 
-    The first pass reads nothing but the count (and the null test of the column);
-    percentiles are only computed for tables that need them.
+    Both passes read this one column. Rows between two cuts number about
+    ``rows_per_bucket``, ties aside.
     """
     value = clean_score(F.col(column))
     rows = df.select(F.count(value)).head()[0]
     buckets = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
-    if buckets < 2:
-        return OrderPlan(rows)
-    fractions = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(F.percentile_approx(value, fractions, 10 * buckets)).head()[0]
-    return OrderPlan(rows, tuple(sorted(set(cuts))))
+    return OrderPlan(rows) if buckets < 2 else OrderPlan(rows, _quantiles(df, value, buckets))
 
 
-def with_bucket(df: DataFrame, column: str, plan: OrderPlan) -> DataFrame:
+def with_bucket(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
     """Bucket number that never decreases as the column grows."""
-    if not plan.cuts:
-        return df.withColumn(_BUCKET, F.lit(0.0))
-    splits = [-math.inf, *plan.cuts, math.inf]
+    splits = [-math.inf, *cuts, math.inf]
     return Bucketizer(splits=splits, inputCol=column, outputCol=_BUCKET).transform(df)
 
 
+def pack_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add the group columns as one struct, and name it (or nothing, without a group).
+
+    A struct is never null itself and equals another with null in the same places,
+    so a plain equi-join on it keeps null groups. A null-safe join of the bare
+    columns would hash derived expressions instead, which no window's partitioning
+    matches, and shuffle again.
+    """
+    return (df.withColumn(_GROUP, F.struct(*group)), [_GROUP]) if group else (df, [])
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys meet each other; the left side's key columns are kept."""
     renamed = right.select(
@@ -110,11 +112,60 @@ def score_histogram(
     return rows.groupBy(*group, score).agg(*sums)
 
 
+@dataclass(frozen=True)
+class ScoreOrder:
+    """A score histogram with what is known of its size."""
+
+    hist: DataFrame
+    score: str
+    group: tuple[str, ...]
+    rows: int
+    cuts: tuple[float, ...] = ()
+    values: int | None = None  # histogram rows, if counted
+
+    @property
+    def is_large(self) -> bool:
+        return self.values is not None
+
+    @property
+    def hot_rows(self) -> int:
+        """Scores with this many rows are hot; no more than HOT_VALUES can be."""
+        return self.rows // HOT_VALUES + 1
+
+
+def order_scores(
+    df: DataFrame,
+    score: str,
+    group: Sequence[str] = (),
+    target: str | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows: int | None = None,
+) -> ScoreOrder:
+    """Histogram of the scores, checkpointed and cut into buckets when the table is large.
+
+    ``rows`` is the row count, or an upper bound of it, where the caller knows one.
+    """
+    if rows is None:
+        rows = df.select(F.count(clean_score(F.col(score)))).head()[0]
+    hist = score_histogram(df, score, group, target)
+    if rows <= rows_per_bucket:
+        return ScoreOrder(hist, score, tuple(group), rows)
+    hist = cut_lineage(hist)
+    values = hist.count()
+    buckets = min(MAX_BUCKETS, math.ceil(values / rows_per_bucket))
+    cuts = _quantiles(hist, F.col(score), buckets) if buckets > 1 else ()
+    return ScoreOrder(hist, score, tuple(group), rows, cuts, values)
+
+
 def prefix_sums(
-    hist: DataFrame, score: str, plan: OrderPlan, group: Sequence[str] = (), sums: Sequence[str] = ("n",)
+    hist: DataFrame,
+    score: str,
+    cuts: Sequence[float] = (),
+    group: Sequence[str] = (),
+    sums: Sequence[str] = ("n",),
 ) -> DataFrame:
     """Add ``<c>_before`` (sum over smaller scores) and ``<c>_total`` (sum over the group)."""
-    if not plan.cuts:
+    if not cuts:
         running = Window.partitionBy(*group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
         whole = Window.partitionBy(*group)
         return hist.select(
@@ -123,74 +174,87 @@ def prefix_sums(
             *[F.sum(c).over(whole).alias(f"{c}_total") for c in sums],
         )
 
-    keys = [*group, _BUCKET]
-    bucketed = with_bucket(hist, score, plan)
-    totals = bucketed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
-    across = Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    packed, outer = pack_group(with_bucket(hist, score, cuts), group)
+    keys = [_BUCKET, *outer]
+    totals = packed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    across = Window.partitionBy(*outer).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *keys,
         *[F.coalesce(F.sum(c).over(across), F.lit(0)).alias(f"_{c}_offset") for c in sums],
-        *[F.sum(c).over(Window.partitionBy(*group)).alias(f"{c}_total") for c in sums],
+        *[F.sum(c).over(Window.partitionBy(*outer)).alias(f"{c}_total") for c in sums],
     )
     inside = Window.partitionBy(*keys).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    local = bucketed.select(
+    local = packed.select(
         "*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{c}_before") for c in sums]
     )
-    joined = join_null_safe(local, offsets, keys)
-    return joined.select(
+    return local.join(offsets, keys).select(
         *hist.columns,
         *[(F.col(f"{c}_before") + F.col(f"_{c}_offset")).alias(f"{c}_before") for c in sums],
         *[f"{c}_total" for c in sums],
     )
 
 
-def rank_table(hist: DataFrame, score: str, plan: OrderPlan, group: Sequence[str] = ()) -> DataFrame:
-    """(group, score) -> average rank and minimum rank among the group's non-null scores."""
-    sums = prefix_sums(hist, score, plan, group)
+def rank_table(order: ScoreOrder) -> DataFrame:
+    """(group, score) -> rows ``n``, average rank and minimum rank among the group's non-null scores."""
+    sums = prefix_sums(order.hist, order.score, order.cuts, order.group)
     return sums.select(
-        *group,
-        score,
+        *order.group,
+        order.score,
         "n",
         (F.col("n_before") + (F.col("n") + 1) / 2.0).cast("double").alias("avg_rank"),
         (F.col("n_before") + 1).cast("bigint").alias("min_rank"),
     )
 
 
-def lookup_skewed(
-    rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str, plan: OrderPlan, spread_by: Column
-) -> DataFrame:
-    """Left join of rows with a one-row-per-key table when single keys may hold a large share of the rows.
+def lookup_skewed(rows: DataFrame, table: DataFrame, order: ScoreOrder, spread_by: Column) -> DataFrame:
+    """Left join of rows with a table of one row per (group, score), when one score may hold a third of the rows.
 
-    Keys of at least ``plan.hot_rows`` rows number HOT_VALUES at most (their
-    weights add up to ``plan.rows``), so they are broadcast; their rows carry a
-    salt into the shuffled join with the remaining keys, where they match nothing.
+    Three ways by size. A small table is left to the planner. A large one with few
+    distinct scores is broadcast, its row count being known. Otherwise scores of at
+    least ``hot_rows`` rows are broadcast: they number HOT_VALUES at most, as their
+    weights add up to the row count. Rows of hot scores, and those without a score,
+    then enter the shuffled join with a salt made from the row instead of the one
+    made from the key: they spread over the tasks and match nothing there.
     """
-    values = [c for c in table.columns if c not in keys and c != weight]
-    if not plan.cuts:
-        return join_null_safe(rows, table.drop(weight), keys, "left")
-    hot = table.where(F.col(weight) >= plan.hot_rows).select(
-        *keys, F.struct(*values).alias("_hot")
-    )
-    cold = table.where(F.col(weight) < plan.hot_rows).select(
-        *keys, F.struct(*values).alias("_cold"), F.lit(0).alias("_salt")
-    )
-    marked = join_null_safe(rows, F.broadcast(hot), keys, "left")
-    spread = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int") + 1
-    unmatched = F.col("_hot").isNull() & F.col(keys[-1]).isNotNull()
-    salted = marked.withColumn("_salt", F.when(unmatched, F.lit(0)).otherwise(spread))
-    joined = join_null_safe(salted, cold, [*keys, "_salt"], "left")
+    score, group = order.score, order.group
+    values = [c for c in table.columns if c not in (*group, score, "n")]
+    left, outer = pack_group(rows, group)
+    right, _ = pack_group(table, group)
+    keys = [score, *outer]
+    if not order.is_large or order.values <= BROADCAST_ROWS:
+        found = right.select(*keys, *values)
+        if order.is_large:
+            found = F.broadcast(found)
+        return left.join(found, keys, "left").select(*rows.columns, *values)
+
+    key_salt = F.pmod(F.xxhash64(*keys), F.lit(SALTS))
+    is_hot = F.col("n") >= order.hot_rows
+    hot = right.where(is_hot).select(*keys, F.struct(*values).alias("_hot"))
+    cold = right.where(~is_hot).select(*keys, key_salt.alias("_salt"), F.struct(*values).alias("_cold"))
+    marked = left.join(F.broadcast(hot), keys, "left")
+    settled = F.col("_hot").isNotNull() | F.col(score).isNull()
+    salt = F.when(settled, F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(key_salt)
+    joined = marked.withColumn("_salt", salt).join(cold, [*keys, "_salt"], "left")
     found = F.coalesce("_hot", "_cold")
     return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
 
 
 def with_ranks(
-    df: DataFrame, score: str, key: str, group: Sequence[str] = (), plan: OrderPlan | None = None
+    df: DataFrame,
+    score: str,
+    key: str,
+    group: Sequence[str] = (),
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Add ``avg_rank`` and ``min_rank`` of the score in its group; a null score keeps null ranks."""
-    plan = plan or plan_order(df, score)
+    """Add ``avg_rank`` and ``min_rank`` of the score in its group; a null score keeps null ranks.
+
+    The table is read for its histogram and again for the join: give it as files,
+    or checkpointed, where computing it is dear.
+    """
     cleaned = df.withColumn(score, clean_score(F.col(score)))
-    table = rank_table(score_histogram(cleaned, score, group), score, plan, group)
-    return lookup_skewed(cleaned, table, [*group, score], "n", plan, F.col(key))
+    order = order_scores(cleaned, score, group, None, rows_per_bucket, rows)
+    return lookup_skewed(cleaned, rank_table(order), order, F.col(key))
 
 
 def row_numbers(
@@ -198,26 +262,31 @@ def row_numbers(
     group: Sequence[str],
     column: str,
     out: str,
-    plan: OrderPlan | None = None,
     tiebreak: Sequence[str] = (),
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    plan: OrderPlan | None = None,
 ) -> DataFrame:
-    """``row_number() over (partition by group order by column, tiebreak)`` that splits hot groups."""
-    plan = plan or plan_order(df, column)
+    """``row_number() over (partition by group order by column, tiebreak)`` that splits hot groups.
+
+    The column is numeric and not null. Rows that tie on it share a bucket, so it
+    should be nearly unique, as an event number is.
+    """
+    plan = plan or plan_order(df, column, rows_per_bucket)
     if not plan.cuts:
         window = Window.partitionBy(*group).orderBy(column, *tiebreak)
         return df.withColumn(out, F.row_number().over(window).cast("bigint"))
-    keys = [*group, _BUCKET]
-    bucketed = with_bucket(df.withColumn("_order", F.col(column).cast("double")), "_order", plan)
-    across = Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    bucketed = with_bucket(df.withColumn("_order", F.col(column).cast("double")), "_order", plan.cuts)
+    packed, outer = pack_group(bucketed, group)
+    keys = [_BUCKET, *outer]
+    across = Window.partitionBy(*outer).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(*keys)
+        packed.groupBy(*keys)
         .agg(F.count("*").alias("_n"))
         .select(*keys, F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_offset"))
     )
     inside = Window.partitionBy(*keys).orderBy(column, *tiebreak)
-    local = bucketed.withColumn("_local", F.row_number().over(inside).cast("bigint"))
-    joined = join_null_safe(local, offsets, keys)
-    return joined.select(*df.columns, (F.col("_local") + F.col("_offset")).alias(out))
+    local = packed.withColumn("_local", F.row_number().over(inside).cast("bigint"))
+    return local.join(offsets, keys).select(*df.columns, (F.col("_local") + F.col("_offset")).alias(out))
 
 
 def seeded_hash(key: Column, seed: int) -> Column:
@@ -240,19 +309,19 @@ def hashed_row_numbers(
     class into 16**digits even buckets. The offset table has one row per
     (class, bucket); ``classes`` must be of low cardinality, as labels are.
     """
-    keys = [*classes, _BUCKET]
     hashed = df.withColumn("_hash", seeded_hash(F.col(key), seed)).withColumn(
         _BUCKET, F.substring("_hash", 1, digits)
     )
-    counts = hashed.groupBy(*keys).agg(F.count("*").alias("_n"))
-    across = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    packed, outer = pack_group(hashed, classes)
+    keys = [_BUCKET, *outer]
+    counts = packed.groupBy(*keys).agg(F.count("*").alias("_n"))
+    across = Window.orderBy(*outer, _BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         *keys,
         F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_offset"),
         F.sum("_n").over(Window.partitionBy()).alias("_rows"),
     )
     inside = Window.partitionBy(*keys).orderBy("_hash", key, *tiebreak)
-    local = hashed.withColumn("_local", F.row_number().over(inside).cast("bigint"))
-    joined = join_null_safe(local, offsets, keys)
+    local = packed.withColumn("_local", F.row_number().over(inside).cast("bigint"))
     extra = [F.col("_rows").cast("bigint").alias(total)] if total else []
-    return joined.select(*df.columns, (F.col("_local") + F.col("_offset")).alias(out), *extra)
+    return local.join(offsets, keys).select(*df.columns, (F.col("_local") + F.col("_offset")).alias(out), *extra)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldmark.operators.ordering import join_null_safe
+from foldmark.operators.ordering import pack_group
 
 EPOCHS_PER_CHUNK = 1 << 20
 
@@ -39,16 +39,17 @@ def early_stop(
     chunk to chunk, so one very long run is not one task. A run that is never
     stopped has a null stop epoch and its overall best.
     """
-    keys = [*run, "_chunk"]
-    rows = log.select(
-        *run,
+    packed, outer = pack_group(log, run)
+    keys = ["_chunk", *outer]
+    rows = packed.select(
+        *outer,
         F.col(epoch),
         F.floor(F.col(epoch) / epochs_per_chunk).alias("_chunk"),
         F.when(
             F.col(metric).isNotNull(), F.struct(F.col(metric), (-F.col(epoch)).alias("_back"))
         ).alias("_point"),
     )
-    earlier = Window.partitionBy(*run).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*outer).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         rows.groupBy(*keys)
         .agg(F.max("_point").alias("_top"))
@@ -56,19 +57,19 @@ def early_stop(
     )
     inside = Window.partitionBy(*keys).orderBy(epoch).rowsBetween(Window.unboundedPreceding, 0)
     running = rows.withColumn("_running", F.max("_point").over(inside))
-    best = join_null_safe(running, carried, keys).withColumn("_best", F.greatest("_running", "_carried"))
+    best = running.join(carried, keys).withColumn("_best", F.greatest("_running", "_carried"))
     # Until a metric exists, waiting counts from the start of the run.
     waited = F.col(epoch) - F.coalesce(-F.col("_best._back"), F.lit(-1))
     stopped = waited >= patience
     # Earliest stop wins; the struct's second field is the best known at that epoch.
     return (
-        best.groupBy(*run)
+        best.groupBy(*outer)
         .agg(
             F.min(F.when(stopped, F.struct(F.col(epoch).alias("stop"), F.col("_best").alias("best")))).alias("_stop"),
             F.max("_best").alias("_overall"),
         )
         .select(
-            *run,
+            *[F.col(f"{outer[0]}.{r}").alias(r) for r in run],
             F.col("_stop.stop").alias("stop_epoch"),
             F.coalesce(-F.col("_stop.best._back"), -F.col("_overall._back")).alias("best_epoch"),
             F.coalesce(F.col(f"_stop.best.{metric}"), F.col(f"_overall.{metric}")).alias(f"best_{metric}"),

@@ -100,7 +100,7 @@ def staged_auc(model: GBTClassificationModel, validation: DataFrame) -> DataFram
         .select("target", running.alias("_margins"))
         .select("target", F.posexplode("_margins").alias("epoch", "margin"))
     )
-    scored = roc_auc(staged, "margin", "target", ("epoch",), _stage_plan(staged, validation, len(margins)))
+    scored = roc_auc(staged, "margin", "target", ("epoch",), plan=_stage_plan(staged, validation, len(margins)))
     return scored.select(F.lit("boost").alias("run"), "epoch", F.col("auc").alias("val_auc"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -12,11 +12,10 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pixels are wide: batches are bounded by bytes, not by the 10 000 rows of the default alone.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
-# Pixels are wide: 10 000 images of 384x384x3 bytes would be a 4 GB Arrow batch.
-IMAGE_BATCH_ROWS = 64
-
 
 def build_session(app_name: str = "foldmark", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -39,3 +38,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="foldmark-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute the table once and go on from its reliable checkpoint: for tables several branches read."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
