@@ -23,10 +23,15 @@ VECTOR = "features_vector"
 
 @dataclass(frozen=True)
 class BoostParams:
-    """Tree limit, patience in trees, and shape of the trees."""
+    """Tree limit, patience in trees, and shape of the trees.
+
+    ``auc_every`` is the number of trees between two looks at the validation AUC.
+    A look costs one score per validation row; with many rows take fewer.
+    """
 
     max_trees: int = 256
     patience: int = 64
+    auc_every: int = 1
     max_depth: int = 5
     step_size: float = 0.1
     first_trees: int = 128
@@ -85,35 +90,38 @@ def positive_probability(df: DataFrame, model: Model, out: str = "p") -> DataFra
     return scored.withColumn(out, vector_to_array("_probability")[1]).drop("_probability")
 
 
-def staged_auc(model: GBTClassificationModel, validation: DataFrame) -> DataFrame:
-    """(run, epoch, val_auc): AUC of the first 1, 2, ... trees, all from one scan of the validation rows."""
+def staged_auc(model: GBTClassificationModel, validation: DataFrame, every: int = 1) -> DataFrame:
+    """(run, epoch, val_auc): AUC of the first every, 2 * every, ... trees, all from one scan of the rows.
+
+    Ties collapse on the map side, so with few distinct feature vectors little is shuffled.
+    """
     rows = validation.select(VECTOR, "target")
-    for i, tree in enumerate(model.trees):
+    trees = list(zip(model.trees, model.treeWeights))
+    trees = trees[: len(trees) - len(trees) % every]
+    for i, (tree, _) in enumerate(trees):
         rows = tree.setFeaturesCol(VECTOR).setPredictionCol(f"_tree_{i}").transform(rows)
-    margins = [F.col(f"_tree_{i}") * F.lit(float(w)) for i, w in enumerate(model.treeWeights)]
-    running = F.transform(
-        F.sequence(F.lit(1), F.lit(len(margins))),
-        lambda k: F.aggregate(F.slice("_steps", 1, k), F.lit(0.0), lambda a, b: a + b),
-    )
+    steps = F.array(*[F.col(f"_tree_{i}") * F.lit(float(weight)) for i, (_, weight) in enumerate(trees)])
+    n_stages = len(trees) // every
+
+    def margin(stage):
+        return F.aggregate(F.slice("_steps", 1, stage * every), F.lit(0.0), lambda total, step: total + step)
+
     staged = (
-        rows.select("target", F.array(*margins).alias("_steps"))
-        .select("target", running.alias("_margins"))
+        rows.select("target", steps.alias("_steps"))
+        .select("target", F.transform(F.sequence(F.lit(1), F.lit(n_stages)), margin).alias("_margins"))
         .select("target", F.posexplode("_margins").alias("epoch", "margin"))
     )
-    scored = roc_auc(staged, "margin", "target", ("epoch",), plan=_stage_plan(staged, validation, len(margins)))
+    count = validation.count() * n_stages
+    plan = OrderPlan(count) if count <= ROWS_PER_BUCKET else plan_order(staged, "margin")
+    scored = roc_auc(staged, "margin", "target", ("epoch",), plan=plan)
     return scored.select(F.lit("boost").alias("run"), "epoch", F.col("auc").alias("val_auc"))
 
 
-def _stage_plan(staged: DataFrame, validation: DataFrame, stages: int) -> OrderPlan:
-    """One cheap count decides whether the margins need cut points at all."""
-    rows = validation.count() * stages
-    return OrderPlan(rows) if rows <= ROWS_PER_BUCKET else plan_order(staged, "margin")
-
-
 def fit_fold(
     table: DataFrame,
     params: BoostParams = BoostParams(),
     estimator: str = "boosted_trees",
+    is_cached: bool = False,
 ) -> FittedModel:
     """Fit on the rows with ``is_val`` false; choose the tree count on the others.
 
@@ -122,27 +130,35 @@ def fit_fold(
     no better validation AUC or ``max_trees`` is reached; a last fit keeps the best count.
     """
     ensure_checkpoint_dir(table.sparkSession)
-    factory = ESTIMATORS[estimator]
     narrow = table.select(VECTOR, F.col("target").cast("double").alias("target"), "is_val")
-    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    if not is_cached:
+        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train = narrow.where(~F.col("is_val")).drop("is_val")
         validation = narrow.where(F.col("is_val")).drop("is_val")
-        limit = min(params.first_trees, params.max_trees)
-        while True:
-            model = factory(params, limit).fit(train)
-            if not isinstance(model, GBTClassificationModel):
-                auc = roc_auc(positive_probability(validation, model), "p", "target").head()
-                return FittedModel(model, 1, auc["auc"])
-            choice = early_stop(staged_auc(model, validation), params.patience).head()
-            if choice is None or choice["best_val_auc"] is None:
-                return FittedModel(model, limit, None)
-            if choice["stop_epoch"] is not None or limit >= params.max_trees:
-                break
-            limit = min(2 * limit, params.max_trees)
-        best = int(choice["best_epoch"]) + 1
-        if best < limit:
-            model = factory(params, best).fit(train)
-        return FittedModel(model, best, choice["best_val_auc"])
+        return _fit_best(train, validation, params, ESTIMATORS[estimator])
     finally:
-        narrow.unpersist()
+        if not is_cached:
+            narrow.unpersist()
+
+
+def _fit_best(
+    train: DataFrame, validation: DataFrame, params: BoostParams, factory: EstimatorFactory
+) -> FittedModel:
+    limit = min(params.first_trees, params.max_trees)
+    patience = max(1, params.patience // params.auc_every)
+    while True:
+        model = factory(params, limit).fit(train)
+        if not isinstance(model, GBTClassificationModel):
+            auc = roc_auc(positive_probability(validation, model), "p", "target").head()
+            return FittedModel(model, 1, auc["auc"])
+        choice = early_stop(staged_auc(model, validation, params.auc_every), patience).head()
+        if choice is None or choice["best_val_auc"] is None:
+            return FittedModel(model, limit, None)
+        if choice["stop_epoch"] is not None or limit >= params.max_trees:
+            break
+        limit = min(2 * limit, params.max_trees)
+    best = (int(choice["best_epoch"]) + 1) * params.auc_every
+    if best < limit:
+        model = factory(params, best).fit(train)
+    return FittedModel(model, best, choice["best_val_auc"])

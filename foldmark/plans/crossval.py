@@ -3,31 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldmark.operators.passes import mean_over_folds
 from foldmark.operators.splits import check_split_count, in_folds, validation_folds
-from foldmark.plans.boosting import BoostParams, FittedModel, fit_fold, positive_probability
+from foldmark.plans.boosting import VECTOR, BoostParams, FittedModel, fit_fold, positive_probability
 from foldmark.schemas import ID
+from foldmark.session import ensure_checkpoint_dir
 
 
 def fit_folds(
-    table: DataFrame, n_splits: int = 4, params: BoostParams = BoostParams(), estimator: str = "boosted_trees"
+    table: DataFrame,
+    n_splits: int = 4,
+    params: BoostParams = BoostParams(),
+    estimator: str = "boosted_trees",
+    parallelism: int = 4,
 ) -> dict[int, FittedModel]:
-    """One model per split. ``table`` has ``fold``, ``target`` and the feature vector; it is cached once for all fits."""
+    """One model per split. ``table`` has ``fold``, ``target`` and the feature vector.
+
+    The narrow table is cached once for all fits. The fits are independent jobs,
+    submitted from ``parallelism`` driver threads so that none leaves executors idle.
+    """
     check_split_count(n_splits)
-    cached = table.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(table.sparkSession)
+    narrow = table.select(VECTOR, "target", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+
+    @inheritable_thread_target(table.sparkSession)
+    def fit(i: int) -> FittedModel:
+        marked = narrow.withColumn("is_val", in_folds(validation_folds(i, n_splits)))
+        return fit_fold(marked, params, estimator, is_cached=True)
+
     try:
-        return {
-            i: fit_fold(cached.withColumn("is_val", in_folds(validation_folds(i, n_splits))), params, estimator)
-            for i in range(n_splits)
-        }
+        narrow.count()
+        with ThreadPool(min(parallelism, n_splits)) as pool:
+            return dict(enumerate(pool.map(fit, range(n_splits))))
     finally:
-        cached.unpersist()
+        narrow.unpersist()
 
 
 def score_with_all(df: DataFrame, models: Mapping[int, Model], key: str = ID) -> DataFrame:
