@@ -16,6 +16,7 @@ from foldmark.plans import scoring, views
 from foldmark.plans.boosting import join_features
 from foldmark.plans.views import CHANNEL_MEAN, CHANNEL_STD
 from foldmark.schemas import ID
+from foldmark.session import spread
 
 SIDE = 8
 SEED = 47
@@ -205,6 +206,22 @@ def score_all_folds(spark, sf):
     return scored.select("vec_id", "fold", r6(F.col("p")).alias("p"))
 
 
+# Every vector by the model of its fold, here its label modulo four.
+@query(
+    "score_own_fold",
+    f"""
+    SELECT vec_id, label % 4 AS val_index,
+           round(1 / (1 + exp(-(label % 4 + 1) * sum(embedding[pos + 1]::DOUBLE * {_WEIGHT_SQL}))), 6) AS p
+    FROM embeddings, range(64) t(pos) GROUP BY vec_id, label
+    """,
+)
+def score_own_fold(spark, sf):
+    models = [linear_predictor(float(k + 1)) for k in range(4)]
+    rows = vectors(spark, sf).withColumn("val_index", F.col("label") % 4)
+    scored = scoring.score_own_fold(rows, models, 64, "vec_id", "embedding")
+    return scored.select("vec_id", "val_index", r6(F.col("p")).alias("p"))
+
+
 @query(
     "tta_score",
     with_tables(
@@ -276,7 +293,7 @@ def images(spark: SparkSession, sf: str) -> DataFrame:
             )
 
     schema = f"dataset string, {ID} string, height int, width int, n_channels int, data binary"
-    return vectors(spark, sf).select(image_id(), "embedding").mapInPandas(run, schema)
+    return spread(vectors(spark, sf).select(image_id(), "embedding"), ID).mapInPandas(run, schema)
 
 
 _PIXEL_SQL = """

@@ -64,21 +64,29 @@ def flip(
     horizontal: Column | bool = False,
     vertical: Column | bool = False,
 ) -> Column:
-    """Mirror an image held row by row, channels interleaved. A flip may depend on the row."""
+    """Mirror an image held row by row, channels interleaved. A flip may depend on the table's row.
 
-    def mirrored(place: Column, size: int, flipped: Column | bool) -> Column:
-        other = F.lit(size - 1) - place
-        if isinstance(flipped, bool):
-            return other if flipped else place
-        return F.when(flipped, other).otherwise(place)
+    Works on whole pixel rows: slices of the array, reordered and reversed.
+    """
+
+    def mirrored(line: Column) -> Column:
+        if channels == 1:
+            return F.reverse(line)
+        backwards = F.sequence(F.lit(width - 1), F.lit(0))
+        return F.flatten(F.transform(backwards, lambda c: F.slice(line, c * channels + 1, F.lit(channels))))
+
+    def pixel_row(r: Column) -> Column:
+        line = F.slice(pixels, r * (width * channels) + 1, F.lit(width * channels))
+        return _choose(horizontal, mirrored(line), line)
+
+    down, up = F.sequence(F.lit(0), F.lit(height - 1)), F.sequence(F.lit(height - 1), F.lit(0))
+    return F.flatten(F.transform(_choose(vertical, up, down), pixel_row))
 
-    def source(i: Column) -> Column:
-        cell = F.floor(i / channels).cast("int")
-        row = mirrored(F.floor(cell / width).cast("int"), height, vertical)
-        column = mirrored(cell % width, width, horizontal)
-        return (row * width + column) * channels + i % channels
 
-    return F.transform(pixels, lambda _, i: F.get(pixels, source(i)))
+def _choose(condition: Column | bool, yes: Column, no: Column) -> Column:
+    if isinstance(condition, bool):
+        return yes if condition else no
+    return F.when(condition, yes).otherwise(no)
 
 
 def hash_coin(key: Column, stage: str, tta_index: Column, seed: int) -> Column:

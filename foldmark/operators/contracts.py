@@ -68,6 +68,26 @@ def align_predictions(
     return joined.where(checked).drop("_present")
 
 
+def align_models(labels: DataFrame, long: DataFrame, models: Sequence[str], key: str = ID) -> DataFrame:
+    """Label rows x models as (id, labels..., model, p); every model must predict every labelled id, once."""
+
+    def of(model: str) -> Column:
+        return F.col("model") == model
+
+    cells = long.groupBy(key).agg(
+        *[F.struct(F.count(F.when(of(m), 1)).alias("n"), F.max(F.when(of(m), F.col("p"))).alias("p")).alias(f"_{i}")
+          for i, m in enumerate(models)]
+    )
+    joined = labels.join(cells, key, "left")
+    entries = []
+    for i, model in enumerate(models):
+        n = F.coalesce(F.col(f"_{i}.n"), F.lit(0))
+        value = fail_if(n == 0, f"no prediction by {model} for id", key, F.col(f"_{i}.p"))
+        value = fail_if(n > 1, f"more than one prediction by {model} for id", key, value)
+        entries.append(F.struct(F.lit(model).alias("model"), value.alias("p")))
+    return joined.select(*labels.columns, F.inline(F.array(*entries)))
+
+
 def collect_models(tables: Mapping[str, DataFrame], key: str = ID, score: str = "target") -> DataFrame:
     """Prediction tables of several models as one long table (id, model, p): a union, not N joins."""
     parts = [

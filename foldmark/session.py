@@ -44,3 +44,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Compute the table once and go on from its reliable checkpoint: for tables several branches read."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a table read from files if it has fewer partitions than there are cores.
+
+    For work that is heavy per row, such as images. At scale a table has more
+    partitions than that and is left alone. Not for tables behind a shuffle:
+    asking those for their partitions would run them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
