@@ -101,26 +101,22 @@ def roc_curve(
     sums = prefix_sums(hist, score, order.cuts, group, ("pos", "neg"))
     # Counts at or above the threshold: the group's total less everything below.
     tp, fp = F.col("pos_total") - F.col("pos_before"), F.col("neg_total") - F.col("neg_before")
-    shown = sums.where(_bends(tp, fp)) if drop_collinear else sums
-    points = shown.select(
-        *group,
-        F.try_divide(fp, F.nullif(F.col("neg_total"), F.lit(0))).cast("double").alias("fpr"),
-        F.try_divide(tp, F.nullif(F.col("pos_total"), F.lit(0))).cast("double").alias("tpr"),
-        F.col(score).alias("threshold"),
+    is_first = (tp == F.col("pos")) & (fp == F.col("neg"))
+    if drop_collinear:
+        following = F.col("_next")
+        bends = (following["pos"] != F.col("pos")) | (following["neg"] != F.col("neg"))
+        sums = sums.where(following.isNull() | is_first | bends)
+
+    def point(fpr: Column, tpr: Column, threshold: Column) -> Column:
+        return F.struct(fpr.alias("fpr"), tpr.alias("tpr"), threshold.alias("threshold"))
+
+    here = point(
+        F.try_divide(fp, F.nullif(F.col("neg_total"), F.lit(0))).cast("double"),
+        F.try_divide(tp, F.nullif(F.col("pos_total"), F.lit(0))).cast("double"),
+        F.col(score),
     )
-    start = order.hist.groupBy(*group).agg((F.max(score) + 1).alias("threshold"))
-    return points.unionByName(
-        start.where(F.col("threshold").isNotNull()).select(
-            *group, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), "threshold"
-        )
-    )
-
-
-def _bends(tp: Column, fp: Column) -> Column:
-    """First and last points stay; an inner one stays if the next step differs from the step into it."""
-    following = F.col("_next")
-    first = (tp == F.col("pos")) & (fp == F.col("neg"))
-    return following.isNull() | first | (following["pos"] != F.col("pos")) | (following["neg"] != F.col("neg"))
+    start = point(F.lit(0.0), F.lit(0.0), F.col(score) + 1)
+    return sums.select(*group, F.inline(F.when(is_first, F.array(start, here)).otherwise(F.array(here))))
 
 
 def accuracy(df: DataFrame, score: str, target: str, group: Sequence[str] = ()) -> DataFrame:

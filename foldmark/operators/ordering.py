@@ -32,7 +32,8 @@ from foldmark.functions.scores import clean_score
 from foldmark.session import cut_lineage
 
 ROWS_PER_BUCKET = 1 << 20
-MAX_BUCKETS = 8192
+MAX_BUCKETS = 16384
+SAMPLES_PER_BUCKET = 256
 HOT_VALUES = 1024
 BROADCAST_ROWS = 100_000
 SALTS = 64
@@ -49,22 +50,32 @@ class OrderPlan:
     cuts: tuple[float, ...] = ()
 
 
-def _quantiles(df: DataFrame, value: Column, buckets: int) -> tuple[float, ...]:
+def _quantiles(df: DataFrame, value: Column, rows: int, buckets: int) -> tuple[float, ...]:
+    """Cut points of about even buckets.
+
+    They steer balance and never the result, so a sample is enough for them, as it
+    is for Spark's own range partitioning. Unsampled, every task would send its
+    whole quantile digest to one reducer.
+    """
+    fraction = SAMPLES_PER_BUCKET * buckets / rows
+    values = df.select(value.alias("_value"))
+    if fraction < 1:
+        values = values.sample(fraction, seed=47)
     fractions = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(F.percentile_approx(value, fractions, 10 * buckets)).head()[0]
+    cuts = values.select(F.percentile_approx("_value", fractions, 10 * buckets)).head()[0] or ()
     return tuple(sorted(set(cuts)))
 
 
 def plan_order(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> OrderPlan:
     """Count the rows and, if they exceed one bucket, cut the column at its quantiles.
 
-    Both passes read this one column. Rows between two cuts number about
-    ``rows_per_bucket``, ties aside.
+    Both passes read this one column and shuffle next to nothing. Rows between two
+    cuts number about ``rows_per_bucket``, ties aside.
     """
     value = clean_score(F.col(column))
     rows = df.select(F.count(value)).head()[0]
     buckets = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
-    return OrderPlan(rows) if buckets < 2 else OrderPlan(rows, _quantiles(df, value, buckets))
+    return OrderPlan(rows) if buckets < 2 else OrderPlan(rows, _quantiles(df, value, rows, buckets))
 
 
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
@@ -153,7 +164,7 @@ def order_scores(
     hist = cut_lineage(hist)
     values = hist.count()
     buckets = min(MAX_BUCKETS, math.ceil(values / rows_per_bucket))
-    cuts = _quantiles(hist, F.col(score), buckets) if buckets > 1 else ()
+    cuts = _quantiles(hist, F.col(score), values, buckets) if buckets > 1 else ()
     return ScoreOrder(hist, score, tuple(group), rows, cuts, values)
 
 
@@ -306,8 +317,9 @@ def hashed_row_numbers(
     """Number the rows by (classes, seeded hash of key): a reproducible shuffle, class by class.
 
     Hex digits of md5 are uniform, so the first ``digits`` of them cut every
-    class into 16**digits even buckets. The offset table has one row per
-    (class, bucket); ``classes`` must be of low cardinality, as labels are.
+    class into 16**digits even buckets: 4096, or 65536 with four digits, which pay
+    from some billion rows on. The offset table has one row per (class, bucket);
+    ``classes`` must be of low cardinality, as labels are.
     """
     hashed = df.withColumn("_hash", seeded_hash(F.col(key), seed)).withColumn(
         _BUCKET, F.substring("_hash", 1, digits)

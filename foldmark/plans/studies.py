@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from foldmark import schemas
 from foldmark.operators import ensemble
@@ -58,9 +60,12 @@ def validate_ensemble(
         scores = ensemble.consensus_ensemble(aligned, best, *cutoffs)
     else:
         scores = ensemble.apply_rule(rule, aligned.select(ID, "model", "p"))
-    scores = scores.withColumnRenamed("target", "p")
-    auc = roc_auc(truth.join(scores, ID), "p", "target")
-    return write_scored(scores.withColumnRenamed("p", "target"), auc, out)
+    scores = scores.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        labelled = truth.join(scores.select(ID, F.col("target").alias("p")), ID)
+        return write_scored(scores, roc_auc(labelled, "p", "target"), out)
+    finally:
+        scores.unpersist()
 
 
 def average_submissions(spark: SparkSession, paths: Sequence[str] | Mapping[str, str], out: str) -> None:

@@ -35,10 +35,11 @@ def fold_predictions(long: DataFrame, folds: Sequence[int], key: str = ID) -> Da
 
 def write_scored(scores: DataFrame, metric: DataFrame, path: str, name: str = "cv_auc") -> str:
     """Scores to ``{path}/{name}_{auc}`` and the one-row metric table beside them; returns the scores' folder."""
-    value = metric.select("auc").head()[0]
-    target = f"{path}/{name}_{value}"
+    row = metric.head()
+    target = f"{path}/{name}_{row['auc']}"
     write_csv(scores, target)
-    metric.write.mode("overwrite").parquet(f"{path}/{name}_metric")
+    measured = metric.sparkSession.createDataFrame([row], metric.schema)
+    measured.write.mode("overwrite").parquet(f"{path}/{name}_metric")
     return target
 
 
