@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -15,7 +17,6 @@ from pyspark.sql import functions as F
 from foldmark.functions.encode import SHORT_FEATURES, quoted
 from foldmark.operators.metrics import roc_auc
 from foldmark.operators.ordering import ROWS_PER_BUCKET, OrderPlan, plan_order
-from foldmark.operators.training_log import early_stop
 from foldmark.session import ensure_checkpoint_dir
 
 VECTOR = "features_vector"
@@ -90,24 +91,39 @@ def positive_probability(df: DataFrame, model: Model, out: str = "p") -> DataFra
     return scored.withColumn(out, vector_to_array("_probability")[1]).drop("_probability")
 
 
+# Fixed value: how a tree's debug string shows the prediction of a leaf, leaves from left to right.
+_LEAF_VALUE = re.compile(r"Predict: (\S+)")
+
+
+def _leaf_values(model: GBTClassificationModel) -> list[list[float]]:
+    """Weighted prediction of every leaf, by tree and leaf number."""
+    return [
+        [weight * float(value) for value in _LEAF_VALUE.findall(tree.toDebugString)]
+        for tree, weight in zip(model.trees, model.treeWeights)
+    ]
+
+
 def staged_auc(model: GBTClassificationModel, validation: DataFrame, every: int = 1) -> DataFrame:
     """(run, epoch, val_auc): AUC of the first every, 2 * every, ... trees, all from one scan of the rows.
 
-    Ties collapse on the map side, so with few distinct feature vectors little is shuffled.
+    The model gives a row's leaf in every tree; a constant table of leaf values turns
+    them into margins. Ties collapse on the map side, so with few distinct feature
+    vectors little is shuffled.
     """
-    rows = validation.select(VECTOR, "target")
-    trees = list(zip(model.trees, model.treeWeights))
-    trees = trees[: len(trees) - len(trees) % every]
-    for i, (tree, _) in enumerate(trees):
-        rows = tree.setFeaturesCol(VECTOR).setPredictionCol(f"_tree_{i}").transform(rows)
-    steps = F.array(*[F.col(f"_tree_{i}") * F.lit(float(weight)) for i, (_, weight) in enumerate(trees)])
-    n_stages = len(trees) // every
+    values = F.from_json(F.lit(json.dumps(_leaf_values(model))), "array<array<double>>")
+    n_stages = len(model.trees) // every
+    quiet = model.copy()
+    quiet.setLeafCol("_leaves").setProbabilityCol("").setRawPredictionCol("").setPredictionCol("")
+    steps = F.transform(
+        vector_to_array("_leaves"), lambda leaf, tree: F.get(F.get(values, tree), leaf.cast("int"))
+    )
 
     def margin(stage):
         return F.aggregate(F.slice("_steps", 1, stage * every), F.lit(0.0), lambda total, step: total + step)
 
     staged = (
-        rows.select("target", steps.alias("_steps"))
+        quiet.transform(validation.select(VECTOR, "target"))
+        .select("target", steps.alias("_steps"))
         .select("target", F.transform(F.sequence(F.lit(1), F.lit(n_stages)), margin).alias("_margins"))
         .select("target", F.posexplode("_margins").alias("epoch", "margin"))
     )
@@ -152,13 +168,29 @@ def _fit_best(
         if not isinstance(model, GBTClassificationModel):
             auc = roc_auc(positive_probability(validation, model), "p", "target").head()
             return FittedModel(model, 1, auc["auc"])
-        choice = early_stop(staged_auc(model, validation, params.auc_every), patience).head()
-        if choice is None or choice["best_val_auc"] is None:
+        stages = staged_auc(model, validation, params.auc_every).orderBy("epoch").collect()
+        stopped, best, auc = stop_point([r["val_auc"] for r in stages], patience)
+        if best is None:
             return FittedModel(model, limit, None)
-        if choice["stop_epoch"] is not None or limit >= params.max_trees:
+        if stopped or limit >= params.max_trees:
             break
         limit = min(2 * limit, params.max_trees)
-    best = (int(choice["best_epoch"]) + 1) * params.auc_every
-    if best < limit:
-        model = factory(params, best).fit(train)
-    return FittedModel(model, best, choice["best_val_auc"])
+    n_trees = (best + 1) * params.auc_every
+    if n_trees < limit:
+        model = factory(params, n_trees).fit(train)
+    return FittedModel(model, n_trees, auc)
+
+
+def stop_point(values: Sequence[float | None], patience: int) -> tuple[bool, int | None, float | None]:
+    """Whether ``patience`` values in a row brought nothing better, and the best until then.
+
+    The values of one fit, at most one per tree; for tables of runs there is
+    ``operators.training_log.early_stop``.
+    """
+    best = None
+    for i, value in enumerate(values):
+        if value is not None and (best is None or value > values[best]):
+            best = i
+        elif i - (-1 if best is None else best) >= patience:
+            return True, best, None if best is None else values[best]
+    return False, best, None if best is None else values[best]

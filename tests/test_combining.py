@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foldmark.operators import contracts, ensemble, passes
 from foldmark.operators.training_log import best_checkpoint, early_stop
+from foldmark.plans.boosting import stop_point
 
 
 def table(spark, rows, schema="image_name string, target double"):
@@ -179,6 +180,9 @@ def test_early_stop(spark, chunk):
     log = spark.createDataFrame(rows, "run string, epoch long, val_auc double").repartition(4)
     got = {r.run: (r.stop_epoch, r.best_epoch, r.best_val_auc) for r in early_stop(log, 4, epochs_per_chunk=chunk).collect()}
     assert got == {run: brute_stop(values, 4) for run, values in runs.items()}
+    for values in runs.values():
+        stop, best, value = brute_stop(values, 4)
+        assert stop_point(values, 4) == (stop is not None, best, value)
 
 
 def test_best_checkpoint_takes_the_earliest_tie(spark):

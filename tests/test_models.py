@@ -11,7 +11,9 @@ from foldmark.plans.baseline import run_baseline
 from foldmark.plans.boosting import BoostParams, fit_fold, positive_probability, staged_auc, with_vector
 from foldmark.schemas import ID, SITE
 from foldmark.sinks.models import load_model, save_model
+from foldmark.sinks.tables import write_csv
 from foldmark.sources.experiments import build_index, checkpoints, find_checkpoint, list_saved_models
+from foldmark.sources.tables import read_submission
 
 PARAMS = BoostParams(max_trees=6, patience=2, max_depth=2, first_trees=3, step_size=0.3)
 
@@ -69,11 +71,13 @@ def test_staged_auc_equals_shorter_fits(table):
     assert every == {0: pytest.approx(staged[1]), 1: pytest.approx(staged[3])}
 
 
-def test_out_of_fold_uses_the_blind_model(table, fitted):
+def test_out_of_fold_uses_the_blind_model(table, fitted, tmp_path):
     models = {i: f.model for i, f in fitted.items()}
     scored = crossval.out_of_fold(table, models, 4)
     assert scored.count() == table.count() == scored.select(ID).distinct().count()
     assert roc_auc(scored, "p", "target").head()["auc"] > 0.7
+    write_csv(scored.select(ID, F.col("p").alias("target")), f"{tmp_path}/cv_val")
+    assert read_submission(table.sparkSession, f"{tmp_path}/cv_val").count() == table.count()
     everywhere = crossval.score_with_all(table, models)
     assert everywhere.count() == 4 * table.count()
     same = scored.join(everywhere.withColumnRenamed("p", "q"), ID).where("val_index = fold")
