@@ -13,7 +13,6 @@ from foldmark.operators.ordering import (
     ROWS_PER_BUCKET,
     OrderPlan,
     ScoreOrder,
-    join_null_safe,
     order_scores,
     pack_group,
     plan_order,
@@ -152,7 +151,7 @@ def epoch_metrics(
         F.avg(is_correct(F.col(score), F.col(target))).alias("val_acc"),
     )
     ranked = roc_auc(df, score, target, group, 0.5, rows_per_bucket)
-    return join_null_safe(plain, ranked.select(*group, F.col("auc").alias("val_auc")), group, "left")
+    return _merge(plain, ranked.select(*group, F.col("auc").alias("val_auc")), group)
 
 
 def describe(
@@ -185,10 +184,12 @@ def describe(
         lower, upper = F.col(f"_{name}_low"), F.col(f"_{name}_high")
         outputs.append((lower + (upper - lower) * F.col(f"_{name}_part")).alias(name))
     quartiles = sums.groupBy(*group).agg(*picks).select(*group, *outputs)
-    if group:
-        joined = join_null_safe(moments, quartiles, group, "left")
-    else:
-        joined = join_null_safe(
-            moments.withColumn("_one", F.lit(1)), quartiles.withColumn("_one", F.lit(1)), ["_one"], "left"
-        )
-    return joined.select(*group, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    merged = _merge(moments, quartiles, group)
+    return merged.select(*group, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def _merge(first: DataFrame, second: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Two one-row-per-group tables as one, by union: null groups meet, and no group at all is no special case."""
+    values = [c for df in (first, second) for c in df.columns if c not in group]
+    both = first.unionByName(second, allowMissingColumns=True)
+    return both.groupBy(*group).agg(*[F.max(c).alias(c) for c in values])

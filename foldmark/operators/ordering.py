@@ -95,18 +95,6 @@ def pack_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str
     return (df.withColumn(_GROUP, F.struct(*group)), [_GROUP]) if group else (df, [])
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join in which null keys meet each other; the left side's key columns are kept."""
-    renamed = right.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys], *[F.col(c) for c in right.columns if c not in keys]
-    )
-    condition = None
-    for key in keys:
-        same = left[key].eqNullSafe(renamed[f"_r_{key}"])
-        condition = same if condition is None else condition & same
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def score_histogram(
     df: DataFrame, score: str, group: Sequence[str] = (), target: str | None = None
 ) -> DataFrame:

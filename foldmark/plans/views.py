@@ -12,10 +12,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldmark.functions.arrays import BLOCK, zigzag_order
+from foldmark.operators.ordering import hashed_row_numbers, pack_group
 from foldmark.schemas import ID
 
 # Channel statistics (RGB) of the pretrained networks' training images.
@@ -110,9 +111,22 @@ class CircularMask:
         return image * inside[:, :, None].astype(image.dtype)
 
 
+def lay_over(image: np.ndarray, piece: np.ndarray, rng: np.random.Generator) -> None:
+    """Draw an overlay into the image, flipped, turned and placed at random; its dark pixels are transparent."""
+    piece = (piece[::-1], piece[:, ::-1], piece[::-1, ::-1])[rng.integers(3)]
+    piece = np.rot90(piece, rng.integers(1, 4))
+    height, width = piece.shape[:2]
+    if height > image.shape[0] or width > image.shape[1]:
+        raise ValueError("an overlay is larger than the image")
+    top = rng.integers(0, image.shape[0] - height + 1)
+    left = rng.integers(0, image.shape[1] - width + 1)
+    shown = piece @ np.array([0.299, 0.587, 0.114]) > 10
+    image[top : top + height, left : left + width][shown] = piece[shown]
+
+
 @dataclass(frozen=True)
 class Overlay:
-    """Up to ``most`` overlays, each flipped, turned and placed at random; their dark pixels are transparent."""
+    """Up to ``most`` overlays of a library small enough for every worker to hold."""
 
     overlays: Sequence[np.ndarray] = field(repr=False)
     most: int = 5
@@ -120,16 +134,20 @@ class Overlay:
     def __call__(self, image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         out = image.copy()
         for _ in range(rng.integers(0, self.most, endpoint=True) if len(self.overlays) else 0):
-            piece = self.overlays[rng.integers(len(self.overlays))]
-            piece = (piece[::-1], piece[:, ::-1], piece[::-1, ::-1])[rng.integers(3)]
-            piece = np.rot90(piece, rng.integers(1, 4))
-            height, width = piece.shape[:2]
-            if height > out.shape[0] or width > out.shape[1]:
-                raise ValueError("an overlay is larger than the image")
-            top = rng.integers(0, out.shape[0] - height + 1)
-            left = rng.integers(0, out.shape[1] - width + 1)
-            shown = piece @ np.array([0.299, 0.587, 0.114]) > 10
-            out[top : top + height, left : left + width][shown] = piece[shown]
+            lay_over(out, self.overlays[rng.integers(len(self.overlays))], rng)
+        return out
+
+
+@dataclass(frozen=True)
+class AttachedOverlay:
+    """All overlays that ``attach_overlays`` chose for the view."""
+
+    pieces: Sequence[np.ndarray] = field(default=(), repr=False)
+
+    def __call__(self, image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        out = image.copy()
+        for piece in self.pieces:
+            lay_over(out, piece, rng)
         return out
 
 
@@ -188,18 +206,58 @@ def collect_overlays(overlays: DataFrame, limit_bytes: int = OVERLAY_LIMIT_BYTES
     """The overlay images on the driver, after a check of their total size."""
     total = overlays.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).head()[0]
     if total > limit_bytes:
-        raise ValueError(f"overlays hold {total} bytes, more than the {limit_bytes} that may go to every worker")
+        raise ValueError(
+            f"overlays hold {total} bytes, more than the {limit_bytes} every worker may hold; use attach_overlays"
+        )
     rows = overlays.orderBy(ID).collect()
     return [decode(r["data"], r["height"], r["width"], r["n_channels"]) for r in rows]
 
 
-def _view(image: np.ndarray, name: str, tta_index: int, stages: Sequence[Stage], seed: int) -> np.ndarray:
-    rng = view_rng(name, tta_index, seed)
+def attach_overlays(images: DataFrame, overlays: DataFrame, n_passes: int = 5, most: int = 5, seed: int = 47) -> DataFrame:
+    """Images with the overlays of their views, for a library too large to give to every worker.
+
+    Every view draws its overlays by hash and meets them in a join on their number;
+    an image carries at most ``n_passes * most``. Use with the stage ``AttachedOverlay``.
+    """
+    library = hashed_row_numbers(overlays.select(ID, "height", "width", "n_channels", "data"), ID, seed, "_number")
+    size = overlays.count()
+    if size == 0:
+        raise ValueError("no overlay given")
+
+    def draw(*parts: str) -> Column:
+        return F.xxhash64(*parts, F.lit(seed))
+
+    views = images.select("dataset", ID, F.explode(F.sequence(F.lit(0), F.lit(n_passes - 1))).alias("tta_index"))
+    amount = F.pmod(draw("dataset", ID, "tta_index"), F.lit(most + 1)).cast("int")
+    slots = views.select("*", F.explode(F.when(amount > 0, F.sequence(F.lit(1), amount))).alias("slot"))
+    numbered = slots.withColumn("_number", F.pmod(draw("dataset", ID, "tta_index", "slot"), F.lit(size)) + 1)
+    chosen = numbered.join(library.drop(ID), "_number")
+    piece = F.struct("tta_index", "slot", "height", "width", "n_channels", "data")
+    packed, keys = pack_group(images, ("dataset", ID))
+    attached, _ = pack_group(chosen.groupBy("dataset", ID).agg(F.collect_list(piece).alias("overlays")), ("dataset", ID))
+    return packed.join(attached.select(*keys, "overlays"), keys, "left").drop(*keys)
+
+
+def _pieces(row, tta_index: int) -> tuple[np.ndarray, ...]:
+    found = getattr(row, "overlays", None)
+    mine = sorted((o for o in (() if found is None else found) if o["tta_index"] == tta_index), key=lambda o: o["slot"])
+    return tuple(decode(o["data"], o["height"], o["width"], o["n_channels"]) for o in mine)
+
+
+def _view(image: np.ndarray, row, tta_index: int, stages: Sequence[Stage], seed: int) -> np.ndarray:
+    rng = view_rng(_name(row), tta_index, seed)
     for stage in stages:
+        if isinstance(stage, AttachedOverlay):
+            stage = AttachedOverlay(_pieces(row, tta_index))
         image = stage(image, rng)
     return image
 
 
+def _pixel_columns(images: DataFrame) -> list[str]:
+    attached = ["overlays"] if "overlays" in images.columns else []
+    return ["dataset", ID, "height", "width", "n_channels", "data", *attached]
+
+
 def _name(row) -> str:
     return f"{row.dataset or ''}/{getattr(row, ID)}"
 
@@ -212,7 +270,7 @@ def image_views(images: DataFrame, stages: Sequence[Stage], n_passes: int = 5, s
         for batch in batches:
             for row in batch.itertuples(index=False):
                 image = decode(row.data, row.height, row.width, row.n_channels)
-                views = [_view(image, _name(row), i, stages, seed) for i in range(n_passes)]
+                views = [_view(image, row, i, stages, seed) for i in range(n_passes)]
                 yield pd.DataFrame(
                     {
                         "dataset": [row.dataset] * n_passes,
@@ -225,7 +283,7 @@ def image_views(images: DataFrame, stages: Sequence[Stage], n_passes: int = 5, s
                 )
 
     schema = f"dataset string, {ID} string, tta_index int, height int, width int, pixels array<float>"
-    return images.select("dataset", ID, "height", "width", "n_channels", "data").mapInPandas(run, schema)
+    return images.select(*_pixel_columns(images)).mapInPandas(run, schema)
 
 
 # () -> ((images, meta rows or None) -> (scores, features or None)); the outer call loads the model.
@@ -258,7 +316,7 @@ def score_image_views(
                 decoded = [decode(r.data, r.height, r.width, r.n_channels) for r in rows]
                 extra = np.stack([np.asarray(m, dtype=np.float32) for m in part[meta]]) if meta else None
                 for i in range(n_passes):
-                    views = np.stack([_view(d, _name(r), i, stages, seed) for d, r in zip(decoded, rows)])
+                    views = np.stack([_view(d, r, i, stages, seed) for d, r in zip(decoded, rows)])
                     scores, features = predict(views, extra)
                     yield pd.DataFrame(
                         {
@@ -272,7 +330,7 @@ def score_image_views(
                         }
                     )
 
-    columns = ["dataset", ID, "height", "width", "n_channels", "data"] + ([meta] if meta else [])
+    columns = _pixel_columns(images) + ([meta] if meta else [])
     schema = f"dataset string, {ID} string, tta_index int, p double, features array<float>"
     return images.select(*columns).mapInPandas(run, schema)
 

@@ -124,6 +124,35 @@ def test_overlay_library_is_size_checked(spark, pictures):
         views.collect_overlays(pictures[1], limit_bytes=100)
 
 
+def test_large_overlay_library_is_joined(spark, pictures):
+    stored, df = pictures
+    stroke = overlays()[0]
+    library = spark.createDataFrame(
+        [(f"o{i}", 3, 7, 3, bytearray((stroke // (i + 1)).tobytes())) for i in range(4)],
+        f"{ID} string, height int, width int, n_channels int, data binary",
+    )
+    attached = views.attach_overlays(df, library, 3, most=2)
+    assert attached.count() == 5
+    assert attached.agg(F.max(F.size("overlays"))).head()[0] <= 6
+    got = _collect(views.image_views(attached, [views.AttachedOverlay()], 3))
+    again = _collect(views.image_views(views.attach_overlays(df.repartition(3), library, 3, most=2), [views.AttachedOverlay()], 3))
+    drawn = {(r[ID], o.tta_index): 0 for r in attached.collect() for o in r.overlays or []}
+    for key, view in got.items():
+        np.testing.assert_array_equal(view, again[key])
+        assert np.array_equal(view, stored[key[0]]) == (key not in drawn)
+    scored = views.score_image_views(attached, [views.AttachedOverlay()], _mean, 3, batch_size=1)
+    for r in scored.collect():
+        assert r.p == pytest.approx(got[r[ID], r.tta_index].mean())
+    single = attached.withColumn("dataset", F.lit(None).cast("string")).drop("overlays")
+    assert views.attach_overlays(single, library, 3, most=2).where("overlays is not null").count() > 0
+    with pytest.raises(ValueError):
+        views.attach_overlays(df, library.limit(0))
+
+
+def _mean():
+    return lambda batch, meta: (batch.mean(axis=(1, 2, 3)), None)
+
+
 def brute_dct(block):
     x = np.arange(8)
     out = np.zeros((8, 8))
