@@ -33,5 +33,8 @@ def blend(first: Column, second: Column, weight: float) -> Column:
 
 
 def clean_score(score: Column) -> Column:
-    """NaN stands for a missing score at the file boundary; inside the toolkit it is null."""
-    return F.nanvl(score.cast("double"), F.lit(None).cast("double"))
+    """NaN stands for a missing score at the file boundary; inside the toolkit it is null.
+
+    Adding zero makes negative zero positive, so that bucketing agrees with equality.
+    """
+    return F.nanvl(score.cast("double"), F.lit(None).cast("double")) + F.lit(0.0)

@@ -4,22 +4,24 @@
 one task. Everything here that needs an order over many rows goes through
 buckets that follow that order:
 
-* A histogram of the scores comes first: a partial aggregate collapses ties on
-  the map side, so a value that holds a third of the rows is one row per task.
+* What needs one row per distinct score starts from a histogram: a partial
+  aggregate collapses ties on the map side, so a value that holds a third of the
+  rows is one row per task. What needs every row sets frequent values apart.
 * Cut points between buckets are literals on the driver. A row's bucket is then
   a pure function of its value, and a retried task cannot disagree with the
   first attempt.
-* Sums inside a bucket, plus the bucket's offset, are the global prefix sums.
+* Sums or ranks inside a bucket, plus the bucket's offset, are the global ones.
   Offsets join back on the keys the bucket window is partitioned by, so that join
   costs no shuffle of its own.
 
 One count decides whether a table is small enough for plain windows. Beyond
-that, a histogram that several branches read is checkpointed, so the input is
-scanned and shuffled once.
+that, a histogram that several branches read is written to the checkpoint folder,
+so the input is scanned and shuffled once for it.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -34,12 +36,11 @@ from foldmark.session import cut_lineage
 ROWS_PER_BUCKET = 1 << 20
 MAX_BUCKETS = 16384
 SAMPLES_PER_BUCKET = 256
-HOT_VALUES = 1024
-BROADCAST_ROWS = 100_000
-SALTS = 64
+HOT_PAIRS = 4096
 
 _BUCKET = "_bucket"
 _GROUP = "_group"
+_SLOT = "_slot"
 
 
 @dataclass(frozen=True)
@@ -50,20 +51,22 @@ class OrderPlan:
     cuts: tuple[float, ...] = ()
 
 
-def _quantiles(df: DataFrame, value: Column, rows: int, buckets: int) -> tuple[float, ...]:
-    """Cut points of about even buckets.
+def _sample_values(df: DataFrame, value: Column, rows: int, buckets: int) -> DataFrame:
+    """About SAMPLES_PER_BUCKET values per bucket, for cut points.
 
-    They steer balance and never the result, so a sample is enough for them, as it
-    is for Spark's own range partitioning. Unsampled, every task would send its
-    whole quantile digest to one reducer.
+    Cut points steer balance and never the result, so a sample is enough for them,
+    as it is for Spark's own range partitioning. Unsampled, every task would send
+    its whole quantile digest to one reducer.
     """
     fraction = SAMPLES_PER_BUCKET * buckets / rows
-    values = df.select(value.alias("_value"))
-    if fraction < 1:
-        values = values.sample(fraction, seed=47)
+    values = df.select(value.alias("_value")).where(F.col("_value").isNotNull())
+    return values.sample(fraction, seed=47) if fraction < 1 else values
+
+
+def _quantiles(values: DataFrame, buckets: int) -> list[float]:
     fractions = [i / buckets for i in range(1, buckets)]
     cuts = values.select(F.percentile_approx("_value", fractions, 10 * buckets)).head()[0] or ()
-    return tuple(sorted(set(cuts)))
+    return sorted({c for c in cuts if math.isfinite(c)})
 
 
 def plan_order(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> OrderPlan:
@@ -75,7 +78,9 @@ def plan_order(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKE
     value = clean_score(F.col(column))
     rows = df.select(F.count(value)).head()[0]
     buckets = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
-    return OrderPlan(rows) if buckets < 2 else OrderPlan(rows, _quantiles(df, value, rows, buckets))
+    if buckets < 2:
+        return OrderPlan(rows)
+    return OrderPlan(rows, tuple(_quantiles(_sample_values(df, value, rows, buckets), buckets)))
 
 
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
@@ -113,23 +118,12 @@ def score_histogram(
 
 @dataclass(frozen=True)
 class ScoreOrder:
-    """A score histogram with what is known of its size."""
+    """A score histogram and the cut points of its order."""
 
     hist: DataFrame
     score: str
     group: tuple[str, ...]
-    rows: int
     cuts: tuple[float, ...] = ()
-    values: int | None = None  # histogram rows, if counted
-
-    @property
-    def is_large(self) -> bool:
-        return self.values is not None
-
-    @property
-    def hot_rows(self) -> int:
-        """Scores with this many rows are hot; no more than HOT_VALUES can be."""
-        return self.rows // HOT_VALUES + 1
 
 
 def order_scores(
@@ -148,12 +142,12 @@ def order_scores(
         rows = df.select(F.count(clean_score(F.col(score)))).head()[0]
     hist = score_histogram(df, score, group, target)
     if rows <= rows_per_bucket:
-        return ScoreOrder(hist, score, tuple(group), rows)
+        return ScoreOrder(hist, score, tuple(group))
     hist = cut_lineage(hist)
     values = hist.count()
     buckets = min(MAX_BUCKETS, math.ceil(values / rows_per_bucket))
-    cuts = _quantiles(hist, F.col(score), values, buckets) if buckets > 1 else ()
-    return ScoreOrder(hist, score, tuple(group), rows, cuts, values)
+    cuts = _quantiles(_sample_values(hist, F.col(score), values, buckets), buckets) if buckets > 1 else ()
+    return ScoreOrder(hist, score, tuple(group), tuple(cuts))
 
 
 def prefix_sums(
@@ -193,51 +187,6 @@ def prefix_sums(
     )
 
 
-def rank_table(order: ScoreOrder) -> DataFrame:
-    """(group, score) -> rows ``n``, average rank and minimum rank among the group's non-null scores."""
-    sums = prefix_sums(order.hist, order.score, order.cuts, order.group)
-    return sums.select(
-        *order.group,
-        order.score,
-        "n",
-        (F.col("n_before") + (F.col("n") + 1) / 2.0).cast("double").alias("avg_rank"),
-        (F.col("n_before") + 1).cast("bigint").alias("min_rank"),
-    )
-
-
-def lookup_skewed(rows: DataFrame, table: DataFrame, order: ScoreOrder, spread_by: Column) -> DataFrame:
-    """Left join of rows with a table of one row per (group, score), when one score may hold a third of the rows.
-
-    Three ways by size. A small table is left to the planner. A large one with few
-    distinct scores is broadcast, its row count being known. Otherwise scores of at
-    least ``hot_rows`` rows are broadcast: they number HOT_VALUES at most, as their
-    weights add up to the row count. Rows of hot scores, and those without a score,
-    then enter the shuffled join with a salt made from the row instead of the one
-    made from the key: they spread over the tasks and match nothing there.
-    """
-    score, group = order.score, order.group
-    values = [c for c in table.columns if c not in (*group, score, "n")]
-    left, outer = pack_group(rows, group)
-    right, _ = pack_group(table, group)
-    keys = [score, *outer]
-    if not order.is_large or order.values <= BROADCAST_ROWS:
-        found = right.select(*keys, *values)
-        if order.is_large:
-            found = F.broadcast(found)
-        return left.join(found, keys, "left").select(*rows.columns, *values)
-
-    key_salt = F.pmod(F.xxhash64(*keys), F.lit(SALTS))
-    is_hot = F.col("n") >= order.hot_rows
-    hot = right.where(is_hot).select(*keys, F.struct(*values).alias("_hot"))
-    cold = right.where(~is_hot).select(*keys, key_salt.alias("_salt"), F.struct(*values).alias("_cold"))
-    marked = left.join(F.broadcast(hot), keys, "left")
-    settled = F.col("_hot").isNotNull() | F.col(score).isNull()
-    salt = F.when(settled, F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(key_salt)
-    joined = marked.withColumn("_salt", salt).join(cold, [*keys, "_salt"], "left")
-    found = F.coalesce("_hot", "_cold")
-    return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
-
-
 def with_ranks(
     df: DataFrame,
     score: str,
@@ -248,12 +197,90 @@ def with_ranks(
 ) -> DataFrame:
     """Add ``avg_rank`` and ``min_rank`` of the score in its group; a null score keeps null ranks.
 
-    The table is read for its histogram and again for the join: give it as files,
-    or checkpointed, where computing it is dear.
+    ``rows`` is the row count, or an upper bound of it, where the caller knows one.
+    A large table is read for the cut points, for the bucket sizes and for the rows:
+    give it as files where computing it is dear. Its rows are shuffled once.
     """
-    cleaned = df.withColumn(score, clean_score(F.col(score)))
-    order = order_scores(cleaned, score, group, None, rows_per_bucket, rows)
-    return lookup_skewed(cleaned, rank_table(order), order, F.col(key))
+    value = clean_score(F.col(score))
+    cleaned = df.withColumn(score, value)
+    if rows is None:
+        rows = df.select(F.count(value)).head()[0]
+    buckets = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
+    if buckets < 2:
+        ranked = cleaned.withColumns(_window_ranks(score, group))
+    else:
+        ranked = _bucket_ranks(cleaned, score, key, group, rows, buckets)
+    known = F.col(score).isNotNull()
+    return ranked.select(
+        *df.columns,
+        F.when(known, F.col("_rank") + (F.col("_ties") - 1) / 2.0).cast("double").alias("avg_rank"),
+        F.when(known, F.col("_rank")).cast("bigint").alias("min_rank"),
+    )
+
+
+def _window_ranks(score: str, partition: Sequence[str]) -> dict[str, Column]:
+    """Minimum rank, nulls after all others, and number of ties. Both windows share one sort."""
+    ordered = Window.partitionBy(*partition).orderBy(F.col(score).asc_nulls_last())
+    return {
+        "_rank": F.rank().over(ordered),
+        "_ties": F.count("*").over(Window.partitionBy(*partition, score)),
+    }
+
+
+def _bucket_ranks(
+    df: DataFrame, score: str, key: str, group: Sequence[str], rows: int, buckets: int
+) -> DataFrame:
+    """Ranks inside buckets plus the buckets' offsets.
+
+    A value frequent in the sample gets a slot of its own, in which every row has
+    the same rank: the slot's offset says it. Such (slot, group) pairs of at least
+    1/HOT_PAIRS of the rows number HOT_PAIRS at most and are broadcast; their rows,
+    and those without a score, spread by a hash of the key instead of meeting in
+    one task.
+    """
+    sample = cut_lineage(_sample_values(df, F.col(score), rows, buckets))
+    frequent = sample.groupBy("_value").count().where(F.col("count") * 2 * buckets >= sample.count())
+    hot = {r["_value"] for r in frequent.collect() if math.isfinite(r["_value"])}  # two per bucket at most
+    cuts = sorted(hot.union(_quantiles(sample, buckets)))
+    starts = F.from_json(F.lit(json.dumps([None, *[c if c in hot else None for c in cuts]])), "array<double>")
+
+    scored = df.where(F.col(score).isNotNull())
+    slot = F.col(_BUCKET).cast("int") * 2 + F.when(
+        F.col(score) == F.get(starts, F.col(_BUCKET).cast("int")), 0
+    ).otherwise(1)
+
+    def slotted(table: DataFrame) -> tuple[DataFrame, list[str]]:
+        # Rows without a score take part in no bucket; the bucketing itself does not accept nulls.
+        filled = table.withColumn("_filled", F.coalesce(score, F.lit(0.0)))
+        return pack_group(with_bucket(filled, "_filled", cuts).withColumn(_SLOT, slot), group)
+
+    packed, outer = slotted(scored)
+    keys = [_SLOT, *outer]
+    lower = Window.partitionBy(*outer).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        packed.groupBy(*keys)
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_offset", F.coalesce(F.sum("_n").over(lower), F.lit(0)))
+    )
+    settled = F.broadcast(
+        offsets.where((F.col(_SLOT) % 2 == 0) & (F.col("_n") > rows // HOT_PAIRS)).select(
+            *keys, F.col("_offset").alias("_hot_offset"), F.col("_n").alias("_hot_n")
+        )
+    )
+    every, _ = slotted(df)
+    marked = every.join(settled, keys, "left")
+    apart = F.col("_hot_n").isNotNull() | F.col(score).isNull()
+    salt = -1 - F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    placed = marked.withColumn(_SLOT, F.when(apart, salt).otherwise(F.col(_SLOT)))
+    local = placed.withColumns(_window_ranks(score, keys))
+    joined = local.join(offsets.drop("_n"), keys, "left")
+    is_hot = F.col("_hot_n").isNotNull()
+    return joined.withColumns(
+        {
+            "_rank": F.when(is_hot, F.col("_hot_offset") + 1).otherwise(F.col("_offset") + F.col("_rank")),
+            "_ties": F.when(is_hot, F.col("_hot_n")).otherwise(F.col("_ties")),
+        }
+    )
 
 
 def row_numbers(

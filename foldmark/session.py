@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,13 +38,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="foldmark-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute the table once and go on from its reliable checkpoint: for tables several branches read."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the table to the checkpoint folder and go on from there: for tables several branches read.
+
+    A written table is computed once and read by column; ``checkpoint()`` would
+    compute the last stage twice and keep rows.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
