@@ -86,7 +86,9 @@ def plan_order(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKE
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
     """Bucket number that never decreases as the column grows."""
     splits = [-math.inf, *cuts, math.inf]
-    return Bucketizer(splits=splits, inputCol=column, outputCol=_BUCKET).transform(df)
+    bucketed = Bucketizer(splits=splits, inputCol=column, outputCol=_BUCKET).transform(df)
+    # An integer: partitioning by a double is by a normalised copy, which later operators do not recognise.
+    return bucketed.withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
 
 
 def pack_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -213,18 +215,16 @@ def with_ranks(
     known = F.col(score).isNotNull()
     return ranked.select(
         *df.columns,
-        F.when(known, F.col("_rank") + (F.col("_ties") - 1) / 2.0).cast("double").alias("avg_rank"),
-        F.when(known, F.col("_rank")).cast("bigint").alias("min_rank"),
+        F.when(known, (F.col("_first") + F.col("_last")) / 2.0).cast("double").alias("avg_rank"),
+        F.when(known, F.col("_first")).cast("bigint").alias("min_rank"),
     )
 
 
 def _window_ranks(score: str, partition: Sequence[str]) -> dict[str, Column]:
-    """Minimum rank, nulls after all others, and number of ties. Both windows share one sort."""
+    """First and last place of a score among its ties, nulls after all others; one window for both."""
     ordered = Window.partitionBy(*partition).orderBy(F.col(score).asc_nulls_last())
-    return {
-        "_rank": F.rank().over(ordered),
-        "_ties": F.count("*").over(Window.partitionBy(*partition, score)),
-    }
+    ties_included = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return {"_first": F.rank().over(ordered), "_last": F.count("*").over(ties_included)}
 
 
 def _bucket_ranks(
@@ -245,9 +245,7 @@ def _bucket_ranks(
     starts = F.from_json(F.lit(json.dumps([None, *[c if c in hot else None for c in cuts]])), "array<double>")
 
     scored = df.where(F.col(score).isNotNull())
-    slot = F.col(_BUCKET).cast("int") * 2 + F.when(
-        F.col(score) == F.get(starts, F.col(_BUCKET).cast("int")), 0
-    ).otherwise(1)
+    slot = F.col(_BUCKET) * 2 + F.when(F.col(score) == F.get(starts, F.col(_BUCKET)), 0).otherwise(1)
 
     def slotted(table: DataFrame) -> tuple[DataFrame, list[str]]:
         # Rows without a score take part in no bucket; the bucketing itself does not accept nulls.
@@ -257,7 +255,7 @@ def _bucket_ranks(
     packed, outer = slotted(scored)
     keys = [_SLOT, *outer]
     lower = Window.partitionBy(*outer).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    offsets = cut_lineage(
         packed.groupBy(*keys)
         .agg(F.count("*").alias("_n"))
         .withColumn("_offset", F.coalesce(F.sum("_n").over(lower), F.lit(0)))
@@ -277,8 +275,10 @@ def _bucket_ranks(
     is_hot = F.col("_hot_n").isNotNull()
     return joined.withColumns(
         {
-            "_rank": F.when(is_hot, F.col("_hot_offset") + 1).otherwise(F.col("_offset") + F.col("_rank")),
-            "_ties": F.when(is_hot, F.col("_hot_n")).otherwise(F.col("_ties")),
+            "_first": F.when(is_hot, F.col("_hot_offset") + 1).otherwise(F.col("_offset") + F.col("_first")),
+            "_last": F.when(is_hot, F.col("_hot_offset") + F.col("_hot_n")).otherwise(
+                F.col("_offset") + F.col("_last")
+            ),
         }
     )
 

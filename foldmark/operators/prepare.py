@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foldmark.operators.splits import stratified_folds
 from foldmark.schemas import DROPPED_COLUMNS, ID, SITE
+from foldmark.session import cut_lineage
 
 # Site variants and the site they stand for.
 CANONICAL_SITES = {
@@ -59,7 +60,9 @@ def flag_sanity_rows(
     """Add ``sanity_check`` = 1 for the first rows of every (fold, class).
 
     The numbering is filtered at once, so each map task passes on ``per_group``
-    rows per group; what joins back is one bound per (fold, class).
+    rows per group; what joins back is one bound per (fold, class): eight times the
+    number of labels, so it is broadcast, and the rows are not shuffled by their class.
+    The table is read twice.
     """
     window = Window.partitionBy("fold", class_column).orderBy(*order)
     place = F.struct(*[F.col(c) for c in order])
@@ -70,7 +73,7 @@ def flag_sanity_rows(
         .groupBy("fold", class_column)
         .agg(F.max(place).alias("_last"))
     )
-    flagged = df.join(bounds, ["fold", class_column], "left")
+    flagged = df.join(F.broadcast(bounds), ["fold", class_column], "left")
     flag = F.coalesce((place <= F.col("_last")).cast("int"), F.lit(0))
     return flagged.select(*df.columns, flag.alias("sanity_check"))
 
@@ -85,9 +88,12 @@ def prepare_training_table(
     drop: Sequence[str] = DROPPED_COLUMNS,
     seed: int = 47,
 ) -> DataFrame:
-    """Union, clean, assign folds and flag the sanity rows. Without ``denied`` no row is left out."""
+    """Union, clean, assign folds and flag the sanity rows. Without ``denied`` no row is left out.
+
+    The table with its folds is written to the checkpoint folder once, as the flags read it again.
+    """
     merged = drop_columns(union_sources(tables), drop)
     if denied is not None:
         merged = drop_denied(merged, denied)
     folded = stratified_folds(canonical_sites(merged), seed=seed, tiebreak=("dataset",))
-    return flag_sanity_rows(folded)
+    return flag_sanity_rows(cut_lineage(folded))
