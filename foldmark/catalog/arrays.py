@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldmark.catalog.fixtures import SAMPLES, VECTORS, fixture, sql_text, with_tables
+from foldmark.catalog.fixtures import SAMPLES, VECTORS, fixture, with_tables
 from foldmark.catalog.registry import query, r6
 from foldmark.functions import arrays
 from foldmark.functions.encode import SHORT_FEATURES, encode_features, feature_array
@@ -35,7 +35,10 @@ def _cells(df: DataFrame, column: str) -> DataFrame:
 
 
 def _cells_sql(value: str, length: int = SIDE * SIDE) -> str:
-    return f"SELECT vec_id, pos::INTEGER AS pos, ({value})::DOUBLE + 0.0 AS value FROM embeddings, range({length}) t(pos)"
+    return f"""
+    SELECT vec_id, pos::INTEGER AS pos, ({value})::DOUBLE + 0.0 AS value
+    FROM embeddings, range({length}) t(pos)
+    """
 
 
 @query("zigzag", _cells_sql(f"embedding[{ZIGZAG_SQL}[pos + 1] + 1]", 8))
@@ -159,7 +162,7 @@ _WEIGHT_SQL = "((pos * 37 % 64 - 31.5) / 64)::DOUBLE"
 
 
 def linear_predictor(scale: float):
-    """A predictor with fixed weights: a logistic score, and the signed halves of the input as features."""
+    """A predictor with fixed weights: a logistic score, and the first two inputs as features."""
 
     def make():
         weights = np.array(WEIGHTS) * scale

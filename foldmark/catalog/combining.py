@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foldmark.catalog.fixtures import PREDS, TRUTH, TTA, fixture, with_tables
-from foldmark.catalog.measuring import LONG_SQL, MODELS, preds, preds_long, truth
+from foldmark.catalog.measuring import LONG_SQL, preds, preds_long, truth
 from foldmark.catalog.registry import query, r6
 from foldmark.operators import ensemble, passes
 from foldmark.operators.contracts import to_wide
@@ -249,7 +249,10 @@ def fold_column_mean(spark, sf):
 @query(
     "pass_numbers",
     _tta_sql(
-        "SELECT id, fold, event_id, row_number() OVER (PARTITION BY id, fold ORDER BY event_id) - 1 AS tta_index FROM tta"
+        """
+        SELECT id, fold, event_id, row_number() OVER (PARTITION BY id, fold ORDER BY event_id) - 1 AS tta_index
+        FROM tta
+        """
     ),
 )
 def pass_numbers(spark, sf):

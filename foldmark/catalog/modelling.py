@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf: str) -> DataFrame:
     return with_vector(encode_features(folded(spark, sf)), FULL_FEATURES)
 
 
-def test_table(spark: SparkSession, sf: str) -> DataFrame:
+def unlabelled_table(spark: SparkSession, sf: str) -> DataFrame:
     return with_vector(encode_features(fixture(spark, sf, TEST_SAMPLES)), FULL_FEATURES)
 
 
@@ -70,7 +70,7 @@ def gbt_oof(spark, sf):
 
 @query("cv_mean")
 def cv_mean(spark, sf):
-    return crossval.cross_validate(table(spark, sf), test_table(spark, sf), 4, PARAMS)
+    return crossval.cross_validate(table(spark, sf), unlabelled_table(spark, sf), 4, PARAMS)
 
 
 @query("baseline_submission")

@@ -31,7 +31,9 @@ def power_mean_ensemble(long: DataFrame, key: str = ID, exponent: float = 2.0) -
     return long.groupBy(key).agg(F.avg(F.pow("p", F.lit(exponent))).alias("target"))
 
 
-def mean_ranks(long: DataFrame, key: str = ID, rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None) -> DataFrame:
+def mean_ranks(
+    long: DataFrame, key: str = ID, rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None
+) -> DataFrame:
     """Mean over models of the average rank within each model; a null score has no rank."""
     ranked = with_ranks(long, "p", key, ("model",), rows_per_bucket, rows)
     return ranked.groupBy(key).agg(F.avg("avg_rank").alias("mean_rank"))

@@ -74,7 +74,9 @@ def with_vector(df: DataFrame, columns: Sequence[str] = SHORT_FEATURES, arrays:
     return df.withColumn(VECTOR, array_to_vector(F.concat(*parts)))
 
 
-def join_features(left: DataFrame, right: DataFrame, keys: Sequence[str], first: str, second: str, out: str) -> DataFrame:
+def join_features(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], first: str, second: str, out: str
+) -> DataFrame:
     """Two feature arrays of the same id as one."""
     other = right.select(*keys, F.col(second).alias("_second"))
     joined = left.join(other, list(keys), "inner")

@@ -38,7 +38,12 @@ def load_fold_models(spark: SparkSession, root: str) -> tuple[str, int, dict[int
 
 
 def score_test(
-    spark: SparkSession, root: str, test: DataFrame, template: DataFrame, out: str, features: Sequence[str] = SHORT_FEATURES
+    spark: SparkSession,
+    root: str,
+    test: DataFrame,
+    template: DataFrame,
+    out: str,
+    features: Sequence[str] = SHORT_FEATURES,
 ) -> str:
     """Write (id, fold-0, ...) for the template's ids to ``{out}/cv_test_{model type}``."""
     model_type, _, models = load_fold_models(spark, root)

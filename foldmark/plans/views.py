@@ -213,7 +213,9 @@ def collect_overlays(overlays: DataFrame, limit_bytes: int = OVERLAY_LIMIT_BYTES
     return [decode(r["data"], r["height"], r["width"], r["n_channels"]) for r in rows]
 
 
-def attach_overlays(images: DataFrame, overlays: DataFrame, n_passes: int = 5, most: int = 5, seed: int = 47) -> DataFrame:
+def attach_overlays(
+    images: DataFrame, overlays: DataFrame, n_passes: int = 5, most: int = 5, seed: int = 47
+) -> DataFrame:
     """Images with the overlays of their views, for a library too large to give to every worker.
 
     Every view draws its overlays by hash and meets them in a join on their number;
@@ -234,7 +236,8 @@ def attach_overlays(images: DataFrame, overlays: DataFrame, n_passes: int = 5, m
     chosen = numbered.join(library.drop(ID), "_number")
     piece = F.struct("tta_index", "slot", "height", "width", "n_channels", "data")
     packed, keys = pack_group(images, ("dataset", ID))
-    attached, _ = pack_group(chosen.groupBy("dataset", ID).agg(F.collect_list(piece).alias("overlays")), ("dataset", ID))
+    collected = chosen.groupBy("dataset", ID).agg(F.collect_list(piece).alias("overlays"))
+    attached, _ = pack_group(collected, ("dataset", ID))
     return packed.join(attached.select(*keys, "overlays"), keys, "left").drop(*keys)
 
 

@@ -13,7 +13,9 @@ from foldmark.schemas import ID
 _STEM = r"([^/]+)\.[^./]+$"
 
 
-def image_path(roots: str | Mapping[str, str], name: Column, dataset: Column | None = None, suffix: str = ".jpg") -> Column:
+def image_path(
+    roots: str | Mapping[str, str], name: Column, dataset: Column | None = None, suffix: str = ".jpg"
+) -> Column:
     """``{root}/{name}.jpg`` with one root, or the root of the row's dataset (null if it has none)."""
     root = F.lit(roots) if isinstance(roots, str) else lookup(dataset, roots, None)
     return F.concat(F.regexp_replace(root, "/+$", ""), F.lit("/"), name, F.lit(suffix))
@@ -55,13 +57,15 @@ def list_images(spark: SparkSession, roots: str | Mapping[str, str], glob: str =
     return _by_dataset(roots, load)
 
 
-def _keys(samples: DataFrame, roots: str | Mapping[str, str]) -> list[str]:
+def _keys(roots: str | Mapping[str, str]) -> list[str]:
     return [ID] if isinstance(roots, str) else ["dataset", ID]
 
 
-def missing_images(samples: DataFrame, spark: SparkSession, roots: str | Mapping[str, str], glob: str = "*.jpg") -> DataFrame:
+def missing_images(
+    samples: DataFrame, spark: SparkSession, roots: str | Mapping[str, str], glob: str = "*.jpg"
+) -> DataFrame:
     """Samples without an image file, found from names alone."""
-    keys = _keys(samples, roots)
+    keys = _keys(roots)
     return samples.join(list_images(spark, roots, glob).select(*keys), keys, "left_anti")
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldmark import schemas
-from foldmark.operators import ensemble, metrics, splits
+from foldmark.operators import ensemble, metrics
 from foldmark.operators.passes import mean_over_folds
 from foldmark.schemas import ID, SITE
 from foldmark.sinks import tables as sinks
