@@ -135,6 +135,11 @@ def staged_auc(model: GBTClassificationModel, validation: DataFrame, every: int
     return scored.select(F.lit("boost").alias("run"), "epoch", F.col("auc").alias("val_auc"))
 
 
+def without_small_tasks(cached: DataFrame, rows_per_task: int = 10_000) -> DataFrame:
+    """Fill the cache and merge small partitions: a fit is dozens of jobs over all of them. No shuffle."""
+    return cached.coalesce(max(1, -(-cached.count() // rows_per_task)))
+
+
 def fit_fold(
     table: DataFrame,
     params: BoostParams = BoostParams(),
@@ -152,8 +157,9 @@ def fit_fold(
     if not is_cached:
         narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train = narrow.where(~F.col("is_val")).drop("is_val")
-        validation = narrow.where(F.col("is_val")).drop("is_val")
+        rows = narrow if is_cached else without_small_tasks(narrow)
+        train = rows.where(~F.col("is_val")).drop("is_val")
+        validation = rows.where(F.col("is_val")).drop("is_val")
         return _fit_best(train, validation, params, ESTIMATORS[estimator])
     finally:
         if not is_cached:

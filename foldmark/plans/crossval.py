@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 
 from foldmark.operators.passes import mean_over_folds
 from foldmark.operators.splits import check_split_count, in_folds, validation_folds
-from foldmark.plans.boosting import VECTOR, BoostParams, FittedModel, fit_fold, positive_probability
+from foldmark.plans.boosting import (
+    VECTOR,
+    BoostParams,
+    FittedModel,
+    fit_fold,
+    positive_probability,
+    without_small_tasks,
+)
 from foldmark.schemas import ID
 from foldmark.session import ensure_checkpoint_dir
 
@@ -35,11 +42,11 @@ def fit_folds(
 
     @inheritable_thread_target(table.sparkSession)
     def fit(i: int) -> FittedModel:
-        marked = narrow.withColumn("is_val", in_folds(validation_folds(i, n_splits)))
+        marked = rows.withColumn("is_val", in_folds(validation_folds(i, n_splits)))
         return fit_fold(marked, params, estimator, is_cached=True)
 
     try:
-        narrow.count()
+        rows = without_small_tasks(narrow)
         with ThreadPool(min(parallelism, n_splits)) as pool:
             return dict(enumerate(pool.map(fit, range(n_splits))))
     finally:
