@@ -36,7 +36,7 @@ BLOCK_IDS = 1 << 18
 #: States stay in [LOW, LOW << 32).
 LOW = np.uint64(1 << 31)
 MAGIC = b"fmr1"
-HEADER = struct.Struct("<4sQIQI")
+HEADER = "<4sQIQI"
 
 PACKS = "part int, pack int, first long, doc_ids array<long>, lengths array<int>, ids binary"
 BLOCKS = "first long, n_ids long, doc_ids array<long>, lengths array<int>, payload binary"
@@ -87,14 +87,14 @@ class Coder:
             state[: len(symbols)] = (q << np.uint64(SCALE_BITS)) + (x - q * f) + self.start[symbols]
         stream = np.concatenate(words[::-1]) if words else np.empty(0, "<u4")
         crc = zlib.crc32(ids.astype(ID).tobytes())
-        return HEADER.pack(MAGIC, n, lanes, len(stream), crc) + state.astype("<u8").tobytes() + stream.tobytes()
+        return struct.pack(HEADER, MAGIC, n, lanes, len(stream), crc) + state.astype("<u8").tobytes() + stream.tobytes()
 
     def decode(self, payload: bytes) -> np.ndarray:
-        magic, n, lanes, n_words, crc = HEADER.unpack_from(payload)
-        if magic != MAGIC or len(payload) != HEADER.size + 8 * lanes + 4 * n_words:
+        magic, n, lanes, n_words, crc = struct.unpack_from(HEADER, payload)
+        if magic != MAGIC or len(payload) != struct.calcsize(HEADER) + 8 * lanes + 4 * n_words:
             raise ValueError("not a block of this format")
-        state = np.frombuffer(payload, "<u8", lanes, HEADER.size).astype("uint64")
-        words = np.frombuffer(payload, "<u4", n_words, HEADER.size + 8 * lanes).astype("uint64")
+        state = np.frombuffer(payload, "<u8", lanes, struct.calcsize(HEADER)).astype("uint64")
+        words = np.frombuffer(payload, "<u4", n_words, struct.calcsize(HEADER) + 8 * lanes).astype("uint64")
         out, at = np.empty(n, ID), 0
         mask = np.uint64((1 << SCALE_BITS) - 1)
         for i in range(0, n, lanes or 1):
