@@ -1,26 +1,46 @@
 """Token ids of whole texts by a tokenizer file, quick for texts that repeat their words.
 
 A text is cut only where the tokenizer would cut it anyway, the library encodes each distinct piece once a
-task, and a text's ids are its pieces' ids in order. Tests hold this to the library's ids of whole texts.
+worker, and a text's ids are its pieces' ids in order. Tests hold this to the library's ids of whole texts.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
+import struct
+import sys
+import types
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
 #: A space between two non-spaces: it starts a piece of its own in a tokenizer that keeps spaces.
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: What separates pieces in a tokenizer that drops spaces.
-_BLANKS = re.compile(r"[ \t\n\r]+")
-#: A task's memory of pieces starts anew beyond this many.
-REMEMBERED = 500_000
+#: A worker's memory of pieces starts anew beyond this many.
+REMEMBERED = 1_200_000
+#: Characters of text that are cut into pieces at a time.
+AT_A_TIME = 1 << 21
 ID = np.dtype("<u4")
 
 
+def _worker_memory(key: tuple) -> dict[str, bytes]:
+    """Pieces that this Python worker has met: functions travel by value, so their own globals end with a task."""
+    held = sys.modules.setdefault("_foldmark_worker", types.ModuleType("_foldmark_worker"))
+    return vars(held).setdefault("pieces", {}).setdefault(key, {})
+
+
+def _in_groups(texts: Sequence[str]) -> Iterator[list[str]]:
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= AT_A_TIME:
+            yield group
+            group, size = [], 0
+    yield group
+
+
 class Encoder:
     """``encode`` gives each text's ids as little-endian unsigned 32-bit integers.
 
@@ -34,36 +54,49 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.lead = " " if keeps_spaces else ""
         self.keeps_spaces = keeps_spaces
-        self.known: dict[str, bytes] = {"": b""}
+        self.lead = " " if keeps_spaces else ""
+        self.known = _worker_memory((path, keeps_spaces))
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        for at in range(0, len(pieces), 10_000):
-            some = pieces[at : at + 10_000]
-            found = self.tokenizer.encode_batch([self.lead + p for p in some], add_special_tokens=False)
-            self.known.update((p, np.array(e.ids, ID).tobytes()) for p, e in zip(some, found, strict=True))
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Pieces that a space may precede or follow: with a blank at an end, where to cut is the library's choice."""
+        new = [p for p in pieces if not self.keeps_spaces or (p and not p[0].isspace() and not p[-1].isspace())]
+        for at in range(0, len(new), 10_000):
+            some = new[at : at + 10_000]
+            self.known.update(zip(some, self._library([self.lead + p for p in some]), strict=True))
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        if not self.keeps_spaces:
-            return self._of_pieces([_BLANKS.split(t) for t in texts])
-        split = [_INNER_SPACE.split(t) for t in texts]
-        heads = self.tokenizer.encode_batch([s[0] for s in split], add_special_tokens=False)
-        rest = self._of_pieces([s[1:] for s in split])
-        return [np.array(h.ids, ID).tobytes() + r for h, r in zip(heads, rest, strict=True)]
-
-    def _of_pieces(self, split: list[list[str]]) -> list[bytes]:
-        known, new = self.known, set()
-        for s in split:
-            new.update(s)
-        new = [p for p in new if p not in known]
-        if len(known) + len(new) > REMEMBERED:
-            self.known, new = {"": b""}, list({p for s in split for p in s} - {""})
-        self._learn(new)
+        return [ids for group in _in_groups(texts) for ids in self._encode(group)]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        if self.keeps_spaces:
+            split = [t.split(" ") for t in texts]
+        else:
+            split = [t.replace("\n", " ").split(" ") for t in texts]
+        met = set().union(*split)
+        if len(self.known) + len(met) > REMEMBERED:
+            self.known.clear()
+        self._learn(met.difference(self.known))
+        return [self._joined(t, s) for t, s in zip(texts, split, strict=True)]
+
+    def _joined(self, text: str, pieces: list[str]) -> bytes:
         get = self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        if not self.keeps_spaces:
+            return b"".join(map(get, pieces))
+        if len(pieces) > 1:
+            try:
+                if pieces[0] and not pieces[0][-1].isspace():
+                    return self._library(pieces[:1])[0] + b"".join(map(get, pieces[1:]))
+            except KeyError:
+                pass  # a blank beside a space
+            pieces = _INNER_SPACE.split(text)
+            self._learn(set(pieces[1:]).difference(self.known))
+        rest = (get(p) if p in self.known else self._library([" " + p])[0] for p in pieces[1:])
+        return b"".join([*self._library(pieces[:1]), *rest])
 
 
 def public_path(name: str) -> str:
