@@ -1,44 +1,40 @@
 """Token ids of whole texts by a tokenizer file, quick for texts that repeat their words.
 
-A text is cut only where the tokenizer would cut it anyway, the library encodes each distinct piece once a
-worker, and a text's ids are its pieces' ids in order. Tests hold this to the library's ids of whole texts.
+A text is cut only where the tokenizer would cut it anyway: at spaces into pieces, and a piece by the tokenizer's own
+pattern into words. The library's model merges each word that a worker has not met lately, and a text's ids
+are its pieces' ids in order. Tests hold this to the library's ids of whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import struct
 import sys
 import types
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable
 
 import numpy as np
+import regex
 
 #: A space between two non-spaces: it starts a piece of its own in a tokenizer that keeps spaces.
-_INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: A worker's memory of pieces starts anew beyond this many.
-REMEMBERED = 1_200_000
-#: Characters of text that are cut into pieces at a time.
-AT_A_TIME = 1 << 21
+_INNER_SPACE = regex.compile(r"(?<=\S) (?=\S)")
+#: A worker's memory of pieces, and that of words, starts anew beyond this many.
+REMEMBERED = 400_000
 ID = np.dtype("<u4")
 
 
 def _worker_memory(key: tuple) -> dict[str, bytes]:
-    """Pieces that this Python worker has met: functions travel by value, so their own globals end with a task."""
+    """What this Python worker has met: functions travel by value, so their own globals end with a task."""
     held = sys.modules.setdefault("_foldmark_worker", types.ModuleType("_foldmark_worker"))
-    return vars(held).setdefault("pieces", {}).setdefault(key, {})
+    return vars(held).setdefault("met", {}).setdefault(key, {})
 
 
-def _in_groups(texts: Sequence[str]) -> Iterator[list[str]]:
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= AT_A_TIME:
-            yield group
-            group, size = [], 0
-    yield group
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: visible Latin-1 for itself, others from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + rest.index(b)) if b in rest else chr(b) for b in range(256)}
 
 
 class Encoder:
@@ -50,53 +46,79 @@ class Encoder:
 
     def __init__(self, path: str, keeps_spaces: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keeps_spaces = keeps_spaces
         self.lead = " " if keeps_spaces else ""
-        self.known = _worker_memory((path, keeps_spaces))
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        """Pieces that a space may precede or follow: with a blank at an end, where to cut is the library's choice."""
-        new = [p for p in pieces if not self.keeps_spaces or (p and not p[0].isspace() and not p[-1].isspace())]
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            self.known.update(zip(some, self._library([self.lead + p for p in some]), strict=True))
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        return [ids for group in _in_groups(texts) for ids in self._encode(group)]
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        self.known = _worker_memory((path, "pieces"))
+        self.words = _worker_memory((path, "words"))
+        with open(path, encoding="utf-8") as file:
+            steps = json.load(file)["pre_tokenizer"]
+        own = [s["pattern"]["Regex"] for s in steps.get("pretokenizers", [steps]) if "pattern" in s]
+        self.pattern = regex.compile(own[0] if own else public_tokenizers.PATTERN)
+        self.characters = _byte_characters()
+        self.merges = self.tokenizer.model
+        self.merges._resize_cache(0)  # what was met is remembered here
+
+    def _merged(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            ids = [t.id for t in self.merges.tokenize(word.encode().decode("latin-1").translate(self.characters))]
+            found = self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def _ids(self, text: str) -> bytes:
+        if self.tokenizer.normalizer is not None:
+            text = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
+        return b"".join(map(self._merged, self.pattern.findall(text)))
+
+    def _piece(self, piece: str) -> bytes | None:
+        """Of a piece between spaces. None if it has a blank at an end: where to cut there is the pattern's choice."""
         if self.keeps_spaces:
-            split = [t.split(" ") for t in texts]
+            if not piece or piece[0].isspace() or piece[-1].isspace():
+                return None
+            if piece.isalpha():  # one word by the pattern
+                ids = self._merged(" " + piece)
+            elif piece[-1] in ".," and piece[:-1].isalpha():
+                ids = self._merged(" " + piece[:-1]) + self._merged(piece[-1])
+            else:
+                ids = self._ids(" " + piece)
         else:
-            split = [t.replace("\n", " ").split(" ") for t in texts]
-        met = set().union(*split)
-        if len(self.known) + len(met) > REMEMBERED:
+            ids = self._ids(piece)
+        if len(self.known) >= REMEMBERED:
             self.known.clear()
-        self._learn(met.difference(self.known))
-        return [self._joined(t, s) for t, s in zip(texts, split, strict=True)]
+        self.known[piece] = ids
+        return ids
+
+    def encode(self, texts: Iterable[str]) -> list[bytes]:
+        return [self._text(t) for t in texts]
 
-    def _joined(self, text: str, pieces: list[str]) -> bytes:
-        get = self.known.__getitem__
+    def _text(self, text: str) -> bytes:
         if not self.keeps_spaces:
-            return b"".join(map(get, pieces))
-        if len(pieces) > 1:
-            try:
-                if pieces[0] and not pieces[0][-1].isspace():
-                    return self._library(pieces[:1])[0] + b"".join(map(get, pieces[1:]))
-            except KeyError:
-                pass  # a blank beside a space
-            pieces = _INNER_SPACE.split(text)
-            self._learn(set(pieces[1:]).difference(self.known))
-        rest = (get(p) if p in self.known else self._library([" " + p])[0] for p in pieces[1:])
-        return b"".join([*self._library(pieces[:1]), *rest])
+            text = text.replace("\n", " ")
+        pieces = text.split(" ")
+        found = list(map(self.known.get, pieces))
+        if self.keeps_spaces:
+            if pieces[0] and pieces[0][-1].isspace():
+                return self._oddly_spaced(text)
+            found[0] = self._ids(pieces[0])
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = ids = self._piece(pieces[i])
+                    if ids is None:
+                        return self._oddly_spaced(text)
+        return b"".join(found)
+
+    def _oddly_spaced(self, text: str) -> bytes:
+        first, *rest = _INNER_SPACE.split(text)
+        found = (self.known.get(p) or self._piece(p) or self._ids(" " + p) for p in rest)
+        return b"".join([self._ids(first), *found])
 
 
 def public_path(name: str) -> str:

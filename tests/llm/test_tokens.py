@@ -30,7 +30,6 @@ def test_pieces_give_the_librarys_ids(name, keeps):
 
 def test_memory_of_pieces_starts_anew(monkeypatch):
     monkeypatch.setattr("foldmark.llm.vocab.REMEMBERED", 3)
-    monkeypatch.setattr("foldmark.llm.vocab.AT_A_TIME", 5)
     texts = ["a b c d e", "f g a b", "h"]
     got = Encoder(public_path("byte_bpe_50k.json"), True)
     assert [np.frombuffer(x, ID).tolist() for t in texts for x in got.encode([t])] == plain_ids("byte_bpe_50k.json", texts)
