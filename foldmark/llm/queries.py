@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from foldmark.catalog.registry import query
-from foldmark.llm import licenses, packing, pii, sharding, simhash, token_files, topk, toxicity
+from foldmark.llm import decontamination, licenses, packing, pii, sharding, simhash, token_files, topk, toxicity
 from foldmark.llm.common import table
 
 
@@ -47,3 +47,8 @@ def op8_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_rans_token_files")
 def op9_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op10_seeded_alignment_leaks")
+def op10_seeded_alignment_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

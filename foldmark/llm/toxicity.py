@@ -5,7 +5,8 @@ probabilities of the categories before it. What a later model learns from are ou
 models that have not seen the row, so training and scoring meet the same kind of input. Equal texts share a fold.
 
 The models are fitted on at most ``SAMPLE`` labelled documents, picked by a hash of the id; all documents are
-scored. Features are the words that occur in ``MIN_DOCS`` documents of the sample at least.
+scored. Features are the words that occur in ``MIN_DOCS`` documents of the sample at least: counts, weighted by rarity,
+at unit length, so that what counts is a word's share of the text.
 
 Defined results: a null or empty text has no features and the models' base rates; a document with several labels counts by
 the largest; rows without an id are scored too; equal rows give equal rows; an empty table gives an empty
@@ -17,8 +18,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,14 +35,14 @@ MIN_DOCS = 4
 WORDS = 1 << 16
 FOLDS = 3
 BEGINNING = 5
-REGULARIZATION = 1e-4
+REGULARIZATION = 1e-5
 ITERATIONS = 60
 THRESHOLD = 0.5
 
 
 @dataclass(frozen=True)
 class ChainModel:
-    words: CountVectorizerModel | None
+    words: PipelineModel | None
     models: dict[str, object]  # a fitted model, or the rate where there was nothing to tell apart
 
     def score(self, docs: DataFrame) -> DataFrame:
@@ -58,8 +60,8 @@ def _terms(text: Column) -> Column:
     return F.concat(words, F.transform(words, lambda w: F.concat(F.lit("^"), F.left(w, F.lit(BEGINNING)))))
 
 
-def _features(rows: DataFrame, words: CountVectorizerModel | None) -> DataFrame:
-    return rows if words is None else words.transform(rows).drop("_terms")
+def _features(rows: DataFrame, words: PipelineModel | None) -> DataFrame:
+    return rows if words is None else words.transform(rows).drop("_terms", "_tf", "_idf")
 
 
 def _assembled(rows: DataFrame, before: list[str]) -> DataFrame:
@@ -104,7 +106,9 @@ def fit_chain(docs: DataFrame, labels: DataFrame, chain: dict[str, str] = CHAIN,
     if used.isEmpty():
         rates = rows.agg(*[F.avg(t).alias(t) for t in targets]).first()
         return ChainModel(None, {c: float(rates[f"y_{c}"] or 0.0) for c in chain})
-    words = CountVectorizer(inputCol="_terms", outputCol="_x", vocabSize=WORDS, minDF=MIN_DOCS, binary=True).fit(rows)
+    counted = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=WORDS, minDF=MIN_DOCS)
+    weighted, unit = IDF(inputCol="_tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol="_x")
+    words = Pipeline(stages=[counted, weighted, unit]).fit(rows)
     rows = cut_lineage(_features(rows, words))
 
     models: dict[str, object] = {}
