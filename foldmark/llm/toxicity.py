@@ -35,7 +35,8 @@ MIN_DOCS = 4
 WORDS = 1 << 16
 FOLDS = 3
 BEGINNING = 5
-REGULARIZATION = 1e-5
+#: An absolute penalty: few words tell, and the others shall weigh nothing.
+REGULARIZATION = 1e-3
 ITERATIONS = 60
 THRESHOLD = 0.5
 
@@ -82,7 +83,7 @@ def _fit(rows: DataFrame, target: str, before: list[str]):
         return float(seen["rate"] or 0.0)
     kind = LogisticRegression(
         featuresCol="_in", labelCol=target, rawPredictionCol="_raw", probabilityCol="_p", predictionCol="_y",
-        maxIter=ITERATIONS, regParam=REGULARIZATION, standardization=False,
+        maxIter=ITERATIONS, regParam=REGULARIZATION, elasticNetParam=1.0,
     )
     return kind.fit(_assembled(rows, before))
 
