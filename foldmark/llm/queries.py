@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from foldmark.catalog.registry import query
-from foldmark.llm import decontamination, licenses, packing, pii, sharding, simhash, token_files, topk, toxicity
+from foldmark.llm import decontamination, licenses, packing, pii, repeats, sharding, simhash, token_files, topk, toxicity
 from foldmark.llm.common import table
 
 
@@ -39,6 +39,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op7_suffix_sorted_repeats")
+def op7_suffix_sorted_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op8_rare_token_licenses")
 def op8_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
