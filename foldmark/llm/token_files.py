@@ -31,8 +31,8 @@ from foldmark.session import cut_lineage, ensure_checkpoint_dir
 
 END_ID = 0
 SCALE_BITS = 20
-LANES = 1024
-BLOCK_IDS = 1 << 18
+LANES = 4096
+BLOCK_IDS = 1 << 19
 #: States stay in [LOW, LOW << 32).
 LOW = np.uint64(1 << 31)
 MAGIC = b"fmr1"
@@ -71,14 +71,15 @@ class Coder:
     def __init__(self, freq: np.ndarray):
         self.freq = freq.astype("uint64")
         self.start = np.concatenate([[0], np.cumsum(freq, dtype="uint64")[:-1]]).astype("uint64")
-        self.owner = np.repeat(np.arange(len(freq), dtype=ID), freq)
+        self.owner = np.repeat(np.arange(len(freq), dtype="i4"), freq)
 
     def encode(self, ids: np.ndarray) -> bytes:
         n, lanes = len(ids), min(LANES, len(ids))
         state, words = np.full(lanes, LOW, "uint64"), []
         shift = np.uint64(63 - SCALE_BITS)
+        numbers = ids.astype("intp")
         for at in range((n - 1) // lanes * lanes if n else 0, -1, -lanes) if n else ():
-            symbols = ids[at : at + lanes]
+            symbols = numbers[at : at + lanes]
             x, f = state[: len(symbols)], self.freq[symbols]
             full = x >= (f << shift)
             words.append(x[full].astype("<u4"))
@@ -100,7 +101,7 @@ class Coder:
         for i in range(0, n, lanes or 1):
             x = state[: min(lanes, n - i)]
             slot = x & mask
-            symbols = self.owner[slot]
+            symbols = self.owner[slot.view("i8")]
             out[i : i + len(x)] = symbols
             x = self.freq[symbols] * (x >> np.uint64(SCALE_BITS)) + slot - self.start[symbols]
             low = x < LOW
@@ -146,17 +147,17 @@ def token_packs(docs: DataFrame, path: str, keeps_spaces: bool = True, end_id: i
 def id_counts(packs: DataFrame) -> np.ndarray:
     """How often each id occurs in all packs; the table of counts is as long as the vocabulary."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, "int64")
         for batch in batches:
-            for ids in batch["ids"]:
-                found = np.bincount(np.frombuffer(ids, ID), minlength=len(total))
+            for ids in batch.column("ids"):
+                found = np.bincount(np.frombuffer(ids.as_buffer(), ID), minlength=len(total))
                 found[: len(total)] += total
                 total = found
         used = np.flatnonzero(total)
-        yield pd.DataFrame({"id": used, "n": total[used]})
+        yield arrow_rows(list(zip(used.tolist(), total[used].tolist(), strict=True)), "id long, n long")
 
-    rows = packs.select("ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    rows = packs.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 0, "int64")
     counts[rows["id"].to_numpy("int64")] = rows["n"].to_numpy("int64")
     return counts

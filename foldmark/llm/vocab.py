@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import json
 import os
-import struct
 import sys
 import types
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -19,8 +19,13 @@ import regex
 
 #: A space between two non-spaces: it starts a piece of its own in a tokenizer that keeps spaces.
 _INNER_SPACE = regex.compile(r"(?<=\S) (?=\S)")
-#: A worker's memory of pieces, and that of words, starts anew beyond this many.
-REMEMBERED = 400_000
+#: Punctuation that is a word of its own after letters.
+_STOPS = (".", ",")
+#: Below, lower case is one letter's own and composed forms stay.
+_BEYOND_LATIN = "\u0100"
+#: A worker's memory of pieces, and that of words in pieces of several, starts anew beyond this many.
+REMEMBERED = 750_000
+REMEMBERED_WORDS = 150_000
 ID = np.dtype("<u4")
 
 
@@ -63,13 +68,15 @@ class Encoder:
         self.merges = self.tokenizer.model
         self.merges._resize_cache(0)  # what was met is remembered here
 
+    def _merge(self, word: str) -> bytes:
+        return array("I", [t.id for t in self.merges.tokenize(word.encode().decode("latin-1").translate(self.characters))]).tobytes()
+
     def _merged(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            if len(self.words) >= REMEMBERED:
+            if len(self.words) >= REMEMBERED_WORDS:
                 self.words.clear()
-            ids = [t.id for t in self.merges.tokenize(word.encode().decode("latin-1").translate(self.characters))]
-            found = self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
+            found = self.words[word] = self._merge(word)
         return found
 
     def _ids(self, text: str) -> bytes:
@@ -78,20 +85,18 @@ class Encoder:
         return b"".join(map(self._merged, self.pattern.findall(text)))
 
     def _piece(self, piece: str) -> bytes | None:
-        """Of a piece between spaces. None if it has a blank at an end: where to cut there is the pattern's choice."""
-        if self.keeps_spaces:
-            if not piece or piece[0].isspace() or piece[-1].isspace():
-                return None
-            if piece.isalpha():  # one word by the pattern
-                ids = self._merged(" " + piece)
-            elif piece[-1] in ".," and piece[:-1].isalpha():
-                ids = self._merged(" " + piece[:-1]) + self._merged(piece[-1])
-            else:
-                ids = self._ids(" " + piece)
+        """Of a piece between spaces, or between a line's end, which it keeps, and a space. None if it has another blank
+        at an end: where to cut there is the pattern's choice."""
+        if piece.isalpha() and (self.keeps_spaces or max(piece) < _BEYOND_LATIN):  # one word by the pattern
+            ids = self._merge(" " + piece if self.keeps_spaces else piece.lower())
+        elif self.keeps_spaces and piece[:1] == "\n" and piece[1:2].strip() and piece[-1].strip():
+            ids = self._merged("\n") + self._ids(piece[1:])
+        elif self.keeps_spaces and (not piece or piece[0].isspace() or piece[-1].isspace()):
+            return None
+        elif piece[-1:] in _STOPS and piece[:-1].isalpha():  # two
+            ids = (self.known.get(piece[:-1]) or self._piece(piece[:-1])) + self._merged(piece[-1])
         else:
-            ids = self._ids(piece)
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
+            ids = self._ids(self.lead + piece)
         self.known[piece] = ids
         return ids
 
@@ -99,20 +104,21 @@ class Encoder:
         return [self._text(t) for t in texts]
 
     def _text(self, text: str) -> bytes:
-        if not self.keeps_spaces:
-            text = text.replace("\n", " ")
-        pieces = text.split(" ")
+        # A line's end is a word of its own between two words, and nothing where blanks are dropped.
+        pieces = text.replace("\n", " \n" if self.keeps_spaces else " ").split(" ")
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
         found = list(map(self.known.get, pieces))
         if self.keeps_spaces:
             if pieces[0] and pieces[0][-1].isspace():
                 return self._oddly_spaced(text)
             found[0] = self._ids(pieces[0])
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = ids = self._piece(pieces[i])
-                    if ids is None:
-                        return self._oddly_spaced(text)
+        at, unknown = 0, found.count(None)
+        for _ in range(unknown):
+            at = found.index(None, at)
+            found[at] = self._piece(pieces[at])
+            if found[at] is None:
+                return self._oddly_spaced(text)
         return b"".join(found)
 
     def _oddly_spaced(self, text: str) -> bytes:
