@@ -5,6 +5,12 @@ most one bit in one of the segments. So each distinct fingerprint lies in a tabl
 and asks that table for each value within one bit of its own: a ball of 33. Of two values one bit apart only the
 one with the bit set asks for the other, which halves the asking. Every answer is checked on all 64 bits.
 
+``near_copies`` serves similarity of shingle sets instead of a few bits: texts whose sets of five words have a Jaccard
+similarity of 0.8 differ in 15 of 100 bits, far beyond a ball. It takes ``WIDE`` bits in segments of 16, asks for one bit of
+difference in any segment, and checks complete fingerprints. One of a segment's two halves is then equal, so texts meet
+under (segment, half, value) and the ball is enumerated over the other half, inside the meeting. A meeting reports
+each local group as a star, not as pairs; one of more than ``MEETING`` fingerprints is a grid of smaller ones.
+
 Equal fingerprints are one node, however many documents have them. Components: rounds of large-star and
 small-star over the links, each round written to the checkpoint folder.
 
@@ -127,3 +133,111 @@ def simhash_components(docs: DataFrame, k: int = 3, distance: int = DISTANCE) ->
     named = of_print.join(names, "root").select("fingerprint", "component_id")
     hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
     return prints.join(named, "fingerprint").select("doc_id", hexed, "component_id")
+
+
+#: For similar sets: bits, bits of a segment, and the bits by which complete fingerprints may differ. A similarity of 0.8
+#: means 39 bits on average with a deviation of 6: the limit is two deviations above.
+WIDE = 256
+NARROW = 16
+WIDE_DISTANCE = 50
+SHINGLE = 5
+MEETING = 8192
+WORDS = [f"w{i}" for i in range(WIDE // BITS)]
+
+
+def wide_fingerprint(hashes: np.ndarray) -> list[int]:
+    """One fingerprint for each of several hashes derived from a shingle's."""
+    out = []
+    for i in range(len(WORDS)):
+        x = (hashes + np.uint64((i * 0x9E3779B97F4A7C15) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        out.append(fingerprint((x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) if i else hashes))
+    return out
+
+
+def wide_fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+    """(doc_id, k1, k2, w0, w1, ...): a row's own hashes and its fingerprint."""
+    schema = ", ".join(["doc_id long", "k1 long", "k2 long", *[f"{w} long" for w in WORDS]])
+
+    def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wide_fingerprint(shingle_hashes(t, k)) for t in batch.column("text").to_pylist()]
+            keys = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "k1", "k2")), strict=True)
+            yield arrow_rows([(*key, *w) for key, w in zip(keys, found, strict=True)], schema)
+
+    return spread_texts(docs).select("*", *_row_hashes()).mapInArrow(of_batch, schema)
+
+
+def _row_hashes() -> list[Column]:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return [F.xxhash64(F.col("doc_id").cast("long"), text).alias("k1"), F.crc32(text.cast("binary")).alias("k2")]
+
+
+def _stars(left: np.ndarray, nodes: np.ndarray, words: np.ndarray, side: np.ndarray, distance: int) -> list[tuple[int, int]]:
+    """(node, smallest node of its group) for the links between fingerprints of a meeting.
+
+    ``left``: the values of the segment's other half. With two sides, only links between them are looked for.
+    """
+    root = np.arange(len(nodes))
+    order = np.argsort(left, kind="stable")
+    cuts = np.searchsorted(left[order], np.arange(257))
+    both = bool(side.any()) and not side.all()
+    for value in range(256):
+        mine = order[cuts[value] : cuts[value + 1]]
+        if not len(mine):
+            continue
+        balls = [value, *[value ^ (1 << b) for b in range(8) if value >> b & 1]]
+        near = np.concatenate([order[cuts[v] : cuts[v + 1]] for v in balls])
+        for i in mine.tolist():
+            bits = np.bitwise_count(words[near] ^ words[i]).sum(axis=1)
+            linked = near[(bits <= distance) & (side[near] != side[i])] if both else near[bits <= distance]
+            roots = np.unique(np.append(root[linked], root[i]))
+            if len(roots) > 1:
+                root[np.isin(root, roots)] = roots[0]
+    sizes = np.bincount(root, minlength=len(root))
+    member = np.flatnonzero(sizes[root] > 1)
+    least = np.full(len(root), np.iinfo("i8").max)
+    np.minimum.at(least, root[member], nodes[member])
+    found = zip(nodes[member].tolist(), least[root[member]].tolist(), strict=True)
+    return [(a, b) for a, b in found if a != b]
+
+
+def similar_fingerprints(nodes: DataFrame, distance: int = WIDE_DISTANCE, meeting: int = MEETING) -> DataFrame:
+    """(a, b): links that connect what the pairs of nodes (node, w0, ...) within the distance connect."""
+    halves = []
+    for word in WORDS:
+        for at in range(0, BITS, NARROW):
+            low, high = (F.shiftrightunsigned(word, at + 8 * h).bitwiseAND(255).cast("int") for h in (0, 1))
+            for one, other in ((low, high), (high, low)):
+                halves.append(F.struct((F.lit(256 * len(halves)) + one).alias("key"), other.alias("other")))
+    rows = nodes.select("node", *WORDS, F.inline(F.array(*halves)))
+    sizes = nodes.select(F.inline(F.array(*halves))).groupBy("key").agg((F.floor(F.count("*") / meeting) + 1).cast("int").alias("blocks"))
+    # One row per meeting place: 256 for each half of a segment, whatever the table's size.
+    rows = rows.join(F.broadcast(sizes), "key")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    rows = rows.withColumn("own", block).withColumn("with", F.explode(others))
+    rows = rows.withColumn("x", F.least("own", "with")).withColumn("y", F.greatest("own", "with"))
+
+    def meet(table: pa.Table) -> pa.Table:
+        columns = {c: table.column(c).to_numpy() for c in table.column_names}
+        words = np.stack([columns[w] for w in WORDS], axis=1).view("u8")
+        found = _stars(columns["other"], columns["node"], words, columns["own"] != columns["x"], distance)
+        return pa.Table.from_batches([arrow_rows(found, "a long, b long")])
+
+    return rows.groupBy("key", "x", "y").applyInArrow(meet, "a long, b long").distinct()
+
+
+def near_copies(docs: DataFrame, k: int = SHINGLE, distance: int = WIDE_DISTANCE) -> DataFrame:
+    """The documents, with all their columns, one of each group of near copies: that with the smallest id (nulls last).
+
+    Rows of the same id and equal texts are one. Texts without words are copies of each other.
+    """
+    prints = cut_lineage(wide_fingerprints(docs, k))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("best")
+    nodes = cut_lineage(prints.groupBy(*WORDS).agg(best).withColumn("node", F.monotonically_increasing_id()))
+    roots = components(similar_fingerprints(nodes, distance))
+    grouped = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
+    kept = grouped.select(F.col("best.k1").alias("_k1"), F.col("best.k2").alias("_k2"))
+    k1, k2 = _row_hashes()
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), k1.alias("_k1"), k2.alias("_k2"))
+    return rows.join(kept, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]).select("_row.*")
