@@ -266,7 +266,8 @@ def tta_score(spark, sf):
 )
 def feature_concat(spark, sf):
     meta = encode_features(fixture(spark, sf, SAMPLES)).select(ID, feature_array(SHORT_FEATURES).alias("meta"))
-    images = vectors(spark, sf).select(image_id(), F.col("embedding"))
+    # Vectors without a sample are left out in so many words; the join itself loses none.
+    images = vectors(spark, sf).select(image_id(), F.col("embedding")).join(meta.select(ID), ID, "left_semi")
     joined = join_features(images, meta, (ID,), "embedding", "meta", "features")
     cells = joined.select(ID, F.posexplode("features").alias("pos", "value"))
     return cells.withColumn("value", r6(F.col("value")))

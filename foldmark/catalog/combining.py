@@ -159,6 +159,46 @@ def unanimous(spark, sf):
     return votes.select("id", *[F.col(c).cast("int").alias(c) for c in ("all_above", "all_below")])
 
 
+# One model has no row for part of the ids.
+ABSENT = "SELECT id, m0, CASE WHEN m1 BETWEEN 0.2 AND 0.8 THEN m1 END AS m1, m2 FROM preds"
+
+
+def votes_with_gaps(spark, sf):
+    held = (F.col("model") != "m1") | F.col("p").between(0.2, 0.8)
+    return preds_long(spark, sf).where(held)
+
+
+@query(
+    "ens_consensus_absent",
+    _long_sql(
+        f"""
+        SELECT id, round(CASE WHEN m0 > 0.66 AND m1 > 0.66 AND m2 > 0.66 THEN greatest(m0, m1, m2)
+                              WHEN m0 < 0.33 AND m1 < 0.33 AND m2 < 0.33 THEN least(m0, m1, m2) ELSE m0 END, 6) AS target
+        FROM ({ABSENT}) WHERE m0 IS NOT NULL OR m1 IS NOT NULL OR m2 IS NOT NULL
+        """
+    ),
+)
+def ens_consensus_absent(spark, sf):
+    votes = votes_with_gaps(spark, sf).where(F.col("p").isNotNull())
+    return _rounded(ensemble.consensus_ensemble(votes, "m0", key="id"), "target")
+
+
+@query(
+    "unanimous_absent",
+    _long_sql(
+        f"""
+        SELECT id, coalesce(m0 > 0.66 AND m1 > 0.66 AND m2 > 0.66, false)::INTEGER AS all_above,
+               coalesce(m0 < 0.33 AND m1 < 0.33 AND m2 < 0.33, false)::INTEGER AS all_below
+        FROM ({ABSENT}) WHERE m0 IS NOT NULL OR m1 IS NOT NULL OR m2 IS NOT NULL
+        """
+    ),
+)
+def unanimous_absent(spark, sf):
+    votes = votes_with_gaps(spark, sf).where(F.col("p").isNotNull())
+    voted = ensemble.unanimous(votes, 0.66, 0.33, "id", models=("m0", "m1", "m2"))
+    return voted.select("id", *[F.col(c).cast("int").alias(c) for c in ("all_above", "all_below")])
+
+
 @query(
     "row_median",
     _long_sql(

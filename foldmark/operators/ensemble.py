@@ -6,13 +6,16 @@ Input is the long table (id, model, p); every rule but the rank rule is one
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldmark.functions.encode import lookup
 from foldmark.functions.scores import blend
+from foldmark.operators.contracts import align_predictions
 from foldmark.operators.ordering import ROWS_PER_BUCKET, with_ranks
 from foldmark.schemas import ID
 from foldmark.session import cut_lineage
@@ -56,26 +59,26 @@ def consensus_ensemble(
     below: float = VALIDATION_CUTOFFS[1],
     key: str = ID,
     base_votes: bool = True,
+    models: Sequence[str] | None = None,
 ) -> DataFrame:
     """Largest score where all models exceed ``above``, smallest where all stay under ``below``, else the base.
 
     ``base`` names a model of the long table (read in the same aggregate) or is a
-    table (id, p) joined by id. A missing vote rules out a consensus. With
-    ``base_votes=False`` a base model from the long table is not asked.
+    table (id, p), one row per id, joined by id. A model without a score for the id, in
+    a null or by no row at all, rules out a consensus. ``models`` are those asked; if not given, all
+    that occur in the long table (one pass over it). With ``base_votes=False`` a base model from
+    the long table is not asked.
     """
     named = isinstance(base, str)
-    votes = F.col("p") if not named or base_votes else F.when(F.col("model") != base, F.col("p"))
-    asked = F.lit(1) if not named or base_votes else F.when(F.col("model") != base, 1)
-    summary = [
-        F.max(votes).alias("_max"),
-        F.min(votes).alias("_min"),
-        (F.count(votes) == F.count(asked)).alias("_full"),
-    ]
+    asked = [m for m in (model_names(long) if models is None else models) if not named or base_votes or m != base]
+    votes = F.when(F.col("model").isin(asked), F.col("p"))
+    summary = [F.max(votes).alias("_max"), F.min(votes).alias("_min"), _all_voted(asked).alias("_full")]
     if named:
         summary.append(F.max(F.when(F.col("model") == base, F.col("p"))).alias("_base"))
     grouped = long.groupBy(key).agg(*summary)
     if not named:
-        grouped = grouped.join(base.select(key, F.col("p").alias("_base")), key, "left")
+        best = base.select(key, F.col("p").alias("_base"))
+        grouped = align_predictions(grouped, best, key, ("_base",), strict=False, unique=True)
     full = F.col("_full")
     target = (
         F.when(full & (F.col("_min") > above), F.col("_max"))
@@ -86,10 +89,10 @@ def consensus_ensemble(
 
 
 def blend_two(first: DataFrame, second: DataFrame, weight: float, key: str = ID, score: str = "target") -> DataFrame:
-    """(1 - weight) * first + weight * second, matched by id."""
+    """(1 - weight) * first + weight * second, matched by id; an id without a partner, or with two, is an error."""
     a = first.select(key, F.col(score).alias("_a"))
     b = second.select(key, F.col(score).alias("_b"))
-    return a.join(b, key, "left").select(key, blend(F.col("_a"), F.col("_b"), weight).alias(score))
+    return align_predictions(a, b, key, ("_b",), unique=True).select(key, blend(F.col("_a"), F.col("_b"), weight).alias(score))
 
 
 def scale_scores(long: DataFrame, factors: float | Mapping[str, float]) -> DataFrame:
@@ -105,11 +108,24 @@ def row_statistics(long: DataFrame, key: str = ID) -> DataFrame:
     )
 
 
-def unanimous(long: DataFrame, above: float, below: float, key: str = ID) -> DataFrame:
-    """Whether every model of a row exceeds / stays under a cutoff; a missing vote is no vote for either."""
+def _all_voted(models: Sequence[str]) -> Column:
+    """Whether each of the models has a score for the id; repeats by one don't stand in for another."""
+    scores = [F.count(F.when(F.col("model") == m, F.col("p"))) > 0 for m in models]
+    return functools.reduce(operator.and_, scores, F.lit(True))
+
+
+def unanimous(
+    long: DataFrame, above: float, below: float, key: str = ID, models: Sequence[str] | None = None
+) -> DataFrame:
+    """Whether every model exceeds / stays under a cutoff; a missing vote, null or no row, is no vote for either.
+
+    ``models`` are those asked; if not given, all that occur in the long table.
+    """
+    asked = model_names(long) if models is None else models
+    votes, full = F.when(F.col("model").isin(list(asked)), F.col("p")), _all_voted(asked)
     return long.groupBy(key).agg(
-        F.coalesce(F.bool_and(F.coalesce(F.col("p") > above, F.lit(False))), F.lit(False)).alias("all_above"),
-        F.coalesce(F.bool_and(F.coalesce(F.col("p") < below, F.lit(False))), F.lit(False)).alias("all_below"),
+        F.coalesce(full & (F.min(votes) > above), F.lit(False)).alias("all_above"),
+        F.coalesce(full & (F.max(votes) < below), F.lit(False)).alias("all_below"),
     )
 
 

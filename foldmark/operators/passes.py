@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldmark.operators.contracts import to_long
+from foldmark.operators.contracts import fail_if, to_long
 from foldmark.schemas import ID
 
 
-def mean_over_passes(df: DataFrame, key: str = ID, fold: str = "fold", score: str = "p") -> DataFrame:
+def mean_over_passes(df: DataFrame, key: str | Sequence[str] = ID, fold: str = "fold", score: str = "p") -> DataFrame:
     """(id, fold, mean score). Averages combine on the map side, so a hot id shuffles one row per task."""
-    return df.groupBy(key, fold).agg(F.avg(score).alias(score))
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.groupBy(*keys, fold).agg(F.avg(score).alias(score))
 
 
 def mean_over_folds(df: DataFrame, key: str = ID, score: str = "p") -> DataFrame:
@@ -46,7 +47,15 @@ def stack_features(
     """``array<array<float>>`` per id in pass order.
 
     One slot per pass instead of a collected list: the state of a group has a
-    fixed size and combines on the map side whatever the number of rows.
+    fixed size and combines on the map side whatever the number of rows. A pass
+    outside 0 to n_passes - 1 and a pass given twice are errors; a missing one is null.
     """
-    slots = [F.max(F.when(F.col(tta_index) == i, F.col(features))).alias(f"_{i}") for i in range(n_passes)]
-    return df.groupBy(key).agg(*slots).select(key, F.array(*[f"_{i}" for i in range(n_passes)]).alias(features))
+    of = [F.col(tta_index) == i for i in range(n_passes)]
+    inside = F.coalesce(F.col(tta_index).between(0, n_passes - 1), F.lit(False))
+    slots = [F.max(F.when(c, F.col(features))).alias(f"_{i}") for i, c in enumerate(of)]
+    most = F.greatest(*[F.count(F.when(c, 1)) for c in of], F.lit(0))
+    checks = [F.count(F.when(~inside, 1)).alias("_outside"), most.alias("_most")]
+    stack = F.array(*[f"_{i}" for i in range(n_passes)])
+    stack = fail_if(F.col("_most") > 1, "a pass occurs twice for id", key, stack)
+    stack = fail_if(F.col("_outside") > 0, f"a pass beyond the {n_passes} for id", key, stack)
+    return df.groupBy(key).agg(*slots, *checks).select(key, stack.alias(features))

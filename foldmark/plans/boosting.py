@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldmark.functions.encode import SHORT_FEATURES, quoted
+from foldmark.operators.contracts import join_all
 from foldmark.operators.metrics import roc_auc
 from foldmark.operators.ordering import ROWS_PER_BUCKET, OrderPlan, plan_order
 from foldmark.session import ensure_checkpoint_dir
@@ -77,9 +78,9 @@ def with_vector(df: DataFrame, columns: Sequence[str] = SHORT_FEATURES, arrays:
 def join_features(
     left: DataFrame, right: DataFrame, keys: Sequence[str], first: str, second: str, out: str
 ) -> DataFrame:
-    """Two feature arrays of the same id as one."""
+    """Two feature arrays of the same id as one; a left row without a partner is an error."""
     other = right.select(*keys, F.col(second).alias("_second"))
-    joined = left.join(other, list(keys), "inner")
+    joined = join_all(left, other, keys, f"no {second} for id")
     return joined.withColumn(out, F.concat(F.col(first), F.col("_second"))).drop("_second")
 
 

@@ -116,8 +116,13 @@ def score_views(
     return scored.select(key, "tta_index", F.col("_scored.score").alias("p"), "_scored.features")
 
 
-def mean_score(views: DataFrame, key: str = ID) -> DataFrame:
-    """Mean over passes of one model; the passes of an id leave one task, so they combine before the shuffle."""
+def mean_score(views: DataFrame, key: str | Sequence[str] | None = None) -> DataFrame:
+    """Mean over passes of one model; the passes of an id leave one task, so they combine before the shuffle.
+
+    Names repeat between data sets: without a given key it is (dataset, image_name), as far as the table has them.
+    """
+    if key is None:
+        key = [c for c in ("dataset", ID) if c in views.columns]
     return mean_over_passes(views.withColumn("fold", F.lit(0)), key).drop("fold")
 
 

@@ -57,7 +57,7 @@ def validate_ensemble(
         if base is None:
             raise ValueError("the consensus rule needs a base prediction file")
         best = align_predictions(truth.select(ID), read_predictions(spark, {"base": base}), unique=True)
-        scores = ensemble.consensus_ensemble(aligned, best, *cutoffs)
+        scores = ensemble.consensus_ensemble(aligned, best, *cutoffs, models=models)
     else:
         scores = ensemble.apply_rule(rule, aligned.select(ID, "model", "p"))
     scores = scores.persist(StorageLevel.MEMORY_AND_DISK)
@@ -89,4 +89,6 @@ def consensus_submission(
     cutoffs: tuple[float, float] = ensemble.SUBMISSION_CUTOFFS,
 ) -> None:
     best = read_predictions(spark, {"base": base})
-    write_csv(ensemble.consensus_ensemble(read_predictions(spark, paths), best, *cutoffs), out)
+    models = list(paths) if isinstance(paths, Mapping) else [file_stem(p) for p in paths]
+    votes = read_predictions(spark, paths)
+    write_csv(ensemble.consensus_ensemble(votes, best, *cutoffs, models=models), out)

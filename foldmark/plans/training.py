@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from foldmark.functions.encode import SHORT_FEATURES
+from foldmark.operators.contracts import join_all
 from foldmark.operators.splits import in_folds, validation_folds
 from foldmark.plans.boosting import BoostParams, FittedModel, fit_fold, with_vector
 from foldmark.plans.views import coefficient_features
@@ -52,5 +53,5 @@ def train_fold_on_coefficients(
     """Trees on image coefficients and encoded columns. Pixels become features before the join by id."""
     keys = [ID] if isinstance(source.roots, str) else ["dataset", ID]
     computed = coefficient_features(images, k).select(*keys, "features")
-    table = with_vector(source.df.join(computed, keys), features, ("features",))
+    table = with_vector(join_all(source.df, computed, keys, "no image for sample"), features, ("features",))
     return _fit_and_save(table, fold_index, n_fold, root, params)

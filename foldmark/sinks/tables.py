@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldmark.operators.contracts import to_wide
+from foldmark.operators.contracts import align_predictions, to_wide
 from foldmark.schemas import ID
 
 
@@ -22,9 +22,9 @@ def write_prepared(df: DataFrame, path: str) -> None:
 
 
 def fill_submission(template: DataFrame, result: DataFrame, key: str = ID, score: str = "target") -> DataFrame:
-    """Template ids with the new scores; ids without one keep the template's value."""
+    """Template ids with the new scores; ids without one keep the template's value, an id scored twice is an error."""
     fresh = result.select(key, F.col(score).cast("double").alias("_fresh"))
-    joined = template.join(fresh, key, "left")
+    joined = align_predictions(template, fresh, key, ("_fresh",), strict=False, unique=True)
     return joined.select(key, F.coalesce("_fresh", F.col("target").cast("double")).alias("target"))
 
 
@@ -48,5 +48,7 @@ def write_features(df: DataFrame, path: str) -> None:
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    """One JSON object; the index is a single small row."""
-    index.coalesce(1).write.mode("overwrite").json(path)
+    """One JSON array of the index's rows, one per experiment: a single file, as a reader of whole files expects."""
+    rows = index.select(F.to_json(F.struct(*index.columns)).alias("row")).agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    text = F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")).alias("value")
+    rows.select(text).coalesce(1).write.mode("overwrite").text(path)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldmark.schemas import EXPERIMENT_INDEX
 
@@ -50,8 +51,10 @@ def build_index(files: DataFrame, model_type: str, image_size: int, experiment:
     )
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EXPERIMENT_INDEX).option("multiLine", True).json(path)
+def read_index(spark: SparkSession, path: str, experiment: Sequence[str] = ()) -> DataFrame:
+    """Rows of one JSON object or of an array of them per file, with the columns that name the experiment."""
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in experiment], *EXPERIMENT_INDEX.fields])
+    return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
 def checkpoints(index: DataFrame, stored_minus_one: bool = False) -> DataFrame:

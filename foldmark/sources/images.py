@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldmark.functions.encode import lookup
+from foldmark.operators.contracts import join_all
 from foldmark.schemas import ID
 
 _STEM = r"([^/]+)\.[^./]+$"
@@ -70,10 +71,10 @@ def missing_images(
 
 
 def join_samples(samples: DataFrame, images: DataFrame, keys=("dataset", ID)) -> DataFrame:
-    """Samples with their image columns.
+    """Samples with their image columns; a sample without an image is an error (``missing_images`` lists them).
 
     Join what was computed from the pixels rather than the pixels, where the job
     allows it: then only narrow rows are shuffled.
     """
     shared = [c for c in images.columns if c in samples.columns and c not in keys]
-    return samples.join(images.drop(*shared), list(keys), "inner")
+    return join_all(samples, images.drop(*shared), keys, "no image for sample")

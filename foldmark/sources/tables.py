@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,10 @@ def read_text_table(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 
 def cast_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and type the columns by name. Empty fields and NaN are null; ``1.0`` is a valid integer."""
+    return _cast(df, schema, [])
+
+
+def _cast(df: DataFrame, schema: T.StructType, others: Sequence[Column]) -> DataFrame:
     absent = [f.name for f in schema if f.name not in df.columns]
     if absent:
         raise ValueError(f"columns not found: {', '.join(absent)}")
@@ -37,7 +41,7 @@ def cast_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif isinstance(field.dataType, T.DoubleType):
             value = clean_score(value)
         columns.append(value.alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *others)
 
 
 def read_table(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
@@ -46,12 +50,13 @@ def read_table(spark: SparkSession, paths: str | Sequence[str], schema: T.Struct
 
 
 def read_raw_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Raw label tables by dataset name; each file carries its own subset of the raw columns."""
+    """Raw label tables by dataset name; each file carries its own subset of the raw columns, and others as strings."""
     tables = {}
     for name, path in paths.items():
         text = read_text_table(spark, path)
         known = [c for c in text.columns if c in schemas.RAW_COLUMNS]
-        tables[name] = cast_columns(text, schemas.raw_schema(*known))
+        others = [quoted(c) for c in text.columns if c not in known]
+        tables[name] = _cast(text, schemas.raw_schema(*known), others)
     return tables
 
 

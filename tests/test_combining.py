@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from foldmark.plans import scoring
 from foldmark.operators import contracts, ensemble, passes
 from foldmark.operators.training_log import best_checkpoint, early_stop
 from foldmark.plans.boosting import stop_point
@@ -47,6 +48,43 @@ def test_consensus_with_base_table_and_missing_vote(spark, long):
     assert got["a"] == 0.9 and got["d"] == 0.25 and got["c"] is None
 
 
+def test_an_absent_row_is_no_vote(spark):
+    rows = [("x", "a", 0.9), ("x", "b", 0.8), ("y", "a", 0.9), ("z", "a", 0.9), ("z", "a", 0.8), ("z", "b", None)]
+    long = spark.createDataFrame(rows, "image_name string, model string, p double")
+    base = spark.createDataFrame([(i, 0.5) for i in "xyz"], "image_name string, p double")
+    for models in (None, ("a", "b")):
+        assert _targets(ensemble.consensus_ensemble(long, base, models=models)) == {"x": 0.9, "y": 0.5, "z": 0.5}
+        got = {r.image_name: r.all_above for r in ensemble.unanimous(long, 0.66, 0.33, models=models).collect()}
+        assert got == {"x": True, "y": False, "z": False}
+    with pytest.raises(PySparkException, match="more than one prediction for id: x"):
+        ensemble.consensus_ensemble(long, base.union(base.where("image_name = 'x'"))).collect()
+
+
+def test_nothing_is_lost_without_a_word(spark, long):
+    with pytest.raises(PySparkException, match="a model not asked for"):
+        contracts.to_wide(long, "image_name", ("m0", "m1")).collect()
+    with pytest.raises(PySparkException, match="more than one cell of m0 for id"):
+        contracts.to_wide(long.union(long).where("model = 'm0'"), "image_name", ("m0",)).collect()
+    labels = long.select("image_name").distinct()
+    with pytest.raises(PySparkException, match="by a model not asked for"):
+        contracts.align_models(labels, long, ("m0",)).collect()
+    first, second = table(spark, [("a", 0.2), ("b", 0.4)]), table(spark, [("a", 1.0)])
+    with pytest.raises(PySparkException, match="no prediction for id: b"):
+        ensemble.blend_two(first, second, 0.25).collect()
+    passes_of = spark.createDataFrame([("a", 0, [1.0]), ("a", 3, [2.0])], "image_name string, tta_index int, features array<float>")
+    with pytest.raises(PySparkException, match="a pass beyond the 3"):
+        passes.stack_features(passes_of, 3).collect()
+    with pytest.raises(PySparkException, match="a pass occurs twice"):
+        passes.stack_features(passes_of.withColumn("tta_index", F.lit(1)), 3).collect()
+
+
+def test_equal_names_of_two_data_sets_stay_apart(spark):
+    rows = [("one", "a", 0, 0.2), ("one", "a", 1, 0.4), ("two", "a", 0, 0.9)]
+    views = spark.createDataFrame(rows, "dataset string, image_name string, tta_index int, p double")
+    got = {(r.dataset, r.image_name): r.p for r in scoring.mean_score(views).collect()}
+    assert got == {("one", "a"): pytest.approx(0.3), ("two", "a"): 0.9}
+
+
 def test_unanimous_needs_every_vote(long):
     got = {r.image_name: (r.all_above, r.all_below) for r in ensemble.unanimous(long, 0.66, 0.33).collect()}
     assert got == {"a": (True, False), "b": (False, True), "c": (False, False), "d": (False, False)}
@@ -126,10 +164,20 @@ def test_outer_alignment_and_positional_relabel(spark, tmp_path):
     renamed = wide.toDF("image_name", "ext-b3", "ext-b4")
     assert renamed.columns[1:] == ["ext-b3", "ext-b4"]
 
-    values = spark.createDataFrame([(float(i),) for i in range(10)], "p double").coalesce(1)
-    ids = spark.createDataFrame([(f"i{i}",) for i in range(10)], "image_name string").coalesce(1)
+    sizes = {"values": (3, 40, 7), "ids": (30, 2, 18)}  # files of unlike size, read largest first
+    for name, counts in sizes.items():
+        (tmp_path / name).mkdir()
+        at = 0
+        for part, n in enumerate(counts):
+            lines = ["p" if name == "values" else "image_name", *[str(float(i)) if name == "values" else f"i{i}" for i in range(at, at + n)]]
+            (tmp_path / name / f"part-{part}.csv").write_text("\n".join(lines) + "\n")
+            at += n
+    values, ids = (spark.read.option("header", True).csv(str(tmp_path / name)) for name in sizes)
     got = contracts.relabel_by_position(values, ids)
-    assert {r.image_name: r.p for r in got.collect()} == {f"i{i}": float(i) for i in range(10)}
+    assert {r.image_name: float(r.p) for r in got.collect()} == {f"i{i}": float(i) for i in range(50)}
+    (tmp_path / "values" / "part-9.csv").write_text("p\n9\n")
+    with pytest.raises(ValueError, match="51 rows of values against 50 ids"):
+        contracts.relabel_by_position(spark.read.option("header", True).csv(str(tmp_path / "values")), ids)
 
 
 def test_to_long_keeps_the_partitioning(spark):

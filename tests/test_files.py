@@ -2,6 +2,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from foldmark import schemas
@@ -23,8 +24,9 @@ def test_raw_tables_are_read_by_name(spark, tmp_path):
     a = put(tmp_path / "a.csv", f"target,{ID},sex,age_approx,{SITE},diagnosis,extra\n1,x,male,45.0,torso,nevus,9\n0,y,,,,,\n")
     b = put(tmp_path / "b.csv", f"{ID},tfrecord,width,height,target\nz,1.0,600,450,0\n")
     tables = sources.read_raw_tables(spark, {"a": a, "b": b})
-    assert tables["a"].columns == ["target", ID, "sex", "age_approx", SITE, "diagnosis"]
+    assert tables["a"].columns == ["target", ID, "sex", "age_approx", SITE, "diagnosis", "extra"]
     x, y = tables["a"].orderBy(ID).collect()
+    assert (x.extra, y.extra) == ("9", None)
     assert (x.target, x.age_approx, x.sex) == (1, 45.0, "male")
     assert (y.target, y.age_approx, y.sex, y[SITE]) == (0, None, None, None)
     assert tables["b"].head().tfrecord == 1
@@ -100,6 +102,21 @@ def test_submission(spark, tmp_path):
     assert back == {"a": 0.125, "b": 0.25, "c": 0.5}
 
 
+def test_an_id_scored_twice_is_no_submission(spark):
+    template = spark.createDataFrame([("a", 0.0)], schemas.PREDICTION)
+    twice = spark.createDataFrame([("a", 0.1), ("a", 0.2)], schemas.PREDICTION)
+    with pytest.raises(PySparkException, match="more than one prediction for id: a"):
+        sinks.fill_submission(template, twice).collect()
+
+
+def test_index_of_several_experiments(spark, tmp_path):
+    files = spark.createDataFrame([("e1", "fold_0_4_a"), ("e1", "fold_1_4_b"), ("e2", "fold_0_5_c")], "name string, file string")
+    index = experiments.build_index(files, "m", 256, ("name",))
+    sinks.write_index(index, f"{tmp_path}/index")
+    back = experiments.read_index(spark, f"{tmp_path}/index", ("name",))
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, index.collect())) and back.count() == 2
+
+
 def test_scored_sink_names_the_auc(spark, tmp_path):
     scores = spark.createDataFrame([("a", 0.9, 1), ("b", 0.1, 0)], f"{ID} string, p double, target int")
     path = sinks.write_scored(scores.select(ID, "p"), metrics.roc_auc(scores, "p", "target"), str(tmp_path))
@@ -161,7 +178,9 @@ def test_images(spark, picture_roots):
     assert single.count() == 2 and single.head().dataset is None
 
     samples = spark.createDataFrame([("one", "img0"), ("two", "img1"), ("two", "img9")], f"dataset string, {ID} string")
-    assert images.join_samples(samples, df).count() == 2
+    assert images.join_samples(samples.where(f"{ID} != 'img9'"), df).count() == 2
+    with pytest.raises(PySparkException, match="no image for sample: img9"):
+        images.join_samples(samples, df).collect()
     gone = images.missing_images(samples, spark, picture_roots, "*.png").collect()
     assert [(r.dataset, r[ID]) for r in gone] == [("two", "img9")]
 
