@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,10 @@ LENGTH = 50
 GRAM = 20
 GRAMS = LENGTH - GRAM + 1
 #: Bytes of text per bin of anchors, and per part of the documents.
-BIN_BYTES = 16 << 20
-PART_BYTES = 8 << 20
+BIN_BYTES = 8 << 20
+PART_BYTES = 4 << 20
+#: Bytes of text that a task holds runs of at a time.
+BATCH_BYTES = 4 << 20
 #: Windows of a text that are hashed at a time.
 SLICE = 1 << 20
 LAST = np.iinfo("i8").max  # stands for a null id
@@ -144,6 +147,17 @@ def _widened(values: np.ndarray) -> np.ndarray:
     return out.reshape(-1).view(">u8").astype("u8")
 
 
+def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about BATCH_BYTES of text."""
+    size = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = int(size[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(size, before + BATCH_BYTES)))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def anchored_runs(batch: pa.RecordBatch, bins: int) -> list[tuple[int, bytes]]:
     """A batch's runs by bin; those settled by a smaller document of the batch are marked by no hash at all (n_docs)."""
     ids = [LAST if i is None else i for i in batch.column("doc_id").to_pylist()]
@@ -403,7 +417,8 @@ def remove_repeats(docs: DataFrame, bin_bytes: int = BIN_BYTES, part_bytes: int
 
     def to_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield arrow_rows(anchored_runs(batch, bins), BLOB)
+            for part in bounded(batch):
+                yield arrow_rows(anchored_runs(part, bins), BLOB)
 
     def settle(table: pa.Table) -> pa.Table:
         return pa.Table.from_batches([arrow_rows(settle_bin(table), PART_BLOB)])
