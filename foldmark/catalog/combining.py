@@ -60,15 +60,22 @@ FROM long
 """
 
 
-@query(
-    "avg_rank",
-    _long_sql(f"SELECT id, model, avg_rank::DOUBLE AS avg_rank, min_rank::BIGINT AS min_rank FROM ({_RANKED})"),
-)
+AVG_RANK = _long_sql(f"SELECT id, model, avg_rank::DOUBLE AS avg_rank, min_rank::BIGINT AS min_rank FROM ({_RANKED})")
+
+
+@query("avg_rank", AVG_RANK)
 def avg_rank(spark, sf):
     ranked = with_ranks(preds_long(spark, sf), "p", "id", ("model",))
     return ranked.select("id", "model", "avg_rank", "min_rank")
 
 
+# Buckets far smaller than a task's share, so that small tables run through dozens of them.
+@query("rank_bucketed", AVG_RANK)
+def rank_bucketed(spark, sf):
+    ranked = with_ranks(preds_long(spark, sf), "p", "id", ("model",), rows_per_bucket=100)
+    return ranked.select("id", "model", "avg_rank", "min_rank")
+
+
 # Models that scored only some ids: a null score has no rank, the others are ranked without it.
 @query(
     "avg_rank_nulls",
@@ -87,19 +94,24 @@ def avg_rank_nulls(spark, sf):
     return with_ranks(holes, "p", "id").select("id", "p", "avg_rank")
 
 
-@query(
-    "ens_rank",
-    _long_sql(
-        f"""
-        SELECT id, rank() OVER (ORDER BY mean_rank)::BIGINT AS target
-        FROM (SELECT id, round(avg(avg_rank), 6) AS mean_rank FROM ({_RANKED}) GROUP BY id)
-        """
-    ),
+ENS_RANK = _long_sql(
+    f"""
+    SELECT id, rank() OVER (ORDER BY mean_rank)::BIGINT AS target
+    FROM (SELECT id, round(avg(avg_rank), 6) AS mean_rank FROM ({_RANKED}) GROUP BY id)
+    """
 )
+
+
+@query("ens_rank", ENS_RANK)
 def ens_rank(spark, sf):
     return ensemble.apply_rule("rank", preds_long(spark, sf), "id")
 
 
+@query("ens_rank_bucketed", ENS_RANK)
+def ens_rank_bucketed(spark, sf):
+    return ensemble.rank_ensemble(preds_long(spark, sf), "id", rows_per_bucket=100)
+
+
 @query(
     "lowest_mean_rank",
     _long_sql(

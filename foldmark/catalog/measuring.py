@@ -92,6 +92,13 @@ def auc_large(spark, sf):
     return result.withColumn("auc", r6(F.col("auc")))
 
 
+# Buckets far smaller than a task's share, so that small tables run through dozens of them.
+@query("auc_bucketed", with_tables(_auc_sql("lines", "l_extendedprice", None), lines=LINE_SCORES))
+def auc_bucketed(spark, sf):
+    result = metrics.roc_auc(line_scores(spark, sf), "l_extendedprice", "target", rows_per_bucket=1000)
+    return result.withColumn("auc", r6(F.col("auc")))
+
+
 @query("auc_tied", with_tables(_auc_sql("lines", "l_discount", None), lines=LINE_SCORES))
 def auc_tied(spark, sf):
     result = metrics.roc_auc(line_scores(spark, sf), "l_discount", "target")
@@ -141,8 +148,8 @@ def _roc_sql(bends: bool) -> str:
     )
 
 
-def _roc(spark, sf, drop_collinear):
-    points = metrics.roc_curve(scored_long(spark, sf), "p", "target", ("model",), drop_collinear=drop_collinear)
+def _roc(spark, sf, drop_collinear, **size):
+    points = metrics.roc_curve(scored_long(spark, sf), "p", "target", ("model",), drop_collinear=drop_collinear, **size)
     return points.select("model", *[r6(F.col(c)).alias(c) for c in ("fpr", "tpr", "threshold")])
 
 
@@ -151,6 +158,11 @@ def roc_bends(spark, sf):
     return _roc(spark, sf, True)
 
 
+@query("roc_bucketed", _roc_sql(bends=True))
+def roc_bucketed(spark, sf):
+    return _roc(spark, sf, True, rows_per_bucket=100)
+
+
 @query("roc_curve_full", _roc_sql(bends=False))
 def roc_full(spark, sf):
     return _roc(spark, sf, False)
@@ -229,20 +241,28 @@ def epoch_metrics(spark, sf):
     return result.select("run", "fold", *[r6(F.col(c)).alias(c) for c in ("val_loss", "val_acc", "val_auc")])
 
 
-@query(
-    "describe_predictions",
-    with_tables(
-        """
-        SELECT model, count(p) AS count, round(avg(p), 6) AS mean, round(stddev_samp(p), 6) AS std,
-               round(min(p), 6) AS min, round(quantile_cont(p, 0.25), 6) AS p25, round(quantile_cont(p, 0.5), 6) AS p50,
-               round(quantile_cont(p, 0.75), 6) AS p75, round(max(p), 6) AS max
-        FROM long GROUP BY model
-        """,
-        preds=PREDS,
-        long=LONG_SQL,
-    ),
+DESCRIBE = with_tables(
+    """
+    SELECT model, count(p) AS count, round(avg(p), 6) AS mean, round(stddev_samp(p), 6) AS std,
+           round(min(p), 6) AS min, round(quantile_cont(p, 0.25), 6) AS p25, round(quantile_cont(p, 0.5), 6) AS p50,
+           round(quantile_cont(p, 0.75), 6) AS p75, round(max(p), 6) AS max
+    FROM long GROUP BY model
+    """,
+    preds=PREDS,
+    long=LONG_SQL,
 )
-def describe(spark, sf):
-    result = metrics.describe(preds_long(spark, sf), "p")
+
+
+def _described(result):
     numbers = ("mean", "std", "min", "p25", "p50", "p75", "max")
     return result.select("model", "count", *[r6(F.col(c)).alias(c) for c in numbers])
+
+
+@query("describe_predictions", DESCRIBE)
+def describe(spark, sf):
+    return _described(metrics.describe(preds_long(spark, sf), "p"))
+
+
+@query("describe_bucketed", DESCRIBE)
+def describe_bucketed(spark, sf):
+    return _described(metrics.describe(preds_long(spark, sf), "p", rows_per_bucket=100))

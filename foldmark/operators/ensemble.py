@@ -18,7 +18,7 @@ from foldmark.functions.scores import blend
 from foldmark.operators.contracts import align_predictions
 from foldmark.operators.ordering import ROWS_PER_BUCKET, with_ranks
 from foldmark.schemas import ID
-from foldmark.session import cut_lineage
+from foldmark.session import cut_lineage, ensure_checkpoint_dir
 
 # The cutoff pairs in use, above/below.
 VALIDATION_CUTOFFS = (0.66, 0.33)
@@ -44,6 +44,7 @@ def mean_ranks(
 
 def rank_ensemble(long: DataFrame, key: str = ID, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Minimum rank of the mean rank. The mean ranks of a large table are checkpointed, as they are read twice."""
+    ensure_checkpoint_dir(long.sparkSession)
     rows = long.count()
     means = mean_ranks(long, key, rows_per_bucket, rows)
     if rows > rows_per_bucket:

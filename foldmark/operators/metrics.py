@@ -182,7 +182,8 @@ def describe(
             picks.append(F.max(F.when(holds, F.col(value))).alias(f"_{name}_{side}"))
         picks.append(F.max(place - low).alias(f"_{name}_part"))
         lower, upper = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        outputs.append((lower + (upper - lower) * F.col(f"_{name}_part")).alias(name))
+        between = lower + (upper - lower) * F.col(f"_{name}_part")
+        outputs.append(F.when(lower == upper, lower).otherwise(between).alias(name))  # two infinities too
     quartiles = sums.groupBy(*group).agg(*picks).select(*group, *outputs)
     merged = _merge(moments, quartiles, group)
     return merged.select(*group, "count", "mean", "std", "min", "p25", "p50", "p75", "max")

@@ -14,9 +14,10 @@ buckets that follow that order:
   Offsets join back on the keys the bucket window is partitioned by, so that join
   costs no shuffle of its own.
 
-One count decides whether a table is small enough for plain windows. Beyond
-that, a histogram that several branches read is written to the checkpoint folder,
-so the input is scanned and shuffled once for it.
+One count decides whether a table is one bucket, which a plain window orders. With
+more, a histogram that several branches read is written to the checkpoint folder,
+so the input is scanned and shuffled once for it. The folder is asked for at any size: what runs
+on a sample runs on the whole table.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldmark.functions.scores import clean_score
-from foldmark.session import cut_lineage
+from foldmark.session import cut_lineage, ensure_checkpoint_dir
 
 ROWS_PER_BUCKET = 1 << 20
 MAX_BUCKETS = 16384
@@ -140,6 +141,7 @@ def order_scores(
 
     ``rows`` is the row count, or an upper bound of it, where the caller knows one.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     if rows is None:
         rows = df.select(F.count(clean_score(F.col(score)))).head()[0]
     hist = score_histogram(df, score, group, target)
@@ -203,6 +205,7 @@ def with_ranks(
     A large table is read for the cut points, for the bucket sizes and for the rows:
     give it as files where computing it is dear. Its rows are shuffled once.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     value = clean_score(F.col(score))
     cleaned = df.withColumn(score, value)
     if rows is None:
@@ -233,7 +236,7 @@ def _bucket_ranks(
     """Ranks inside buckets plus the buckets' offsets.
 
     A value frequent in the sample gets a slot of its own, in which every row has
-    the same rank: the slot's offset says it. Such (slot, group) pairs of at least
+    the same rank: the slot's offset says it. So do the two infinities. Such (slot, group) pairs of at least
     1/HOT_PAIRS of the rows number HOT_PAIRS at most and are broadcast; their rows,
     and those without a score, spread by a hash of the key instead of meeting in
     one task.
@@ -245,7 +248,9 @@ def _bucket_ranks(
     starts = F.from_json(F.lit(json.dumps([None, *[c if c in hot else None for c in cuts]])), "array<double>")
 
     scored = df.where(F.col(score).isNotNull())
-    slot = F.col(_BUCKET) * 2 + F.when(F.col(score) == F.get(starts, F.col(_BUCKET)), 0).otherwise(1)
+    between = F.col(_BUCKET) * 2 + F.when(F.col(score) == F.get(starts, F.col(_BUCKET)), 2).otherwise(3)
+    last = 2 * (len(cuts) + 1) + 2
+    slot = F.when(F.col(score) == -math.inf, 0).when(F.col(score) == math.inf, last).otherwise(between)
 
     def slotted(table: DataFrame) -> tuple[DataFrame, list[str]]:
         # Rows without a score take part in no bucket; the bucketing itself does not accept nulls.

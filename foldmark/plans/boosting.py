@@ -7,6 +7,8 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -121,13 +123,15 @@ def staged_auc(model: GBTClassificationModel, validation: DataFrame, every: int
         vector_to_array("_leaves"), lambda leaf, tree: F.get(F.get(values, tree), leaf.cast("int"))
     )
 
-    def margin(stage):
-        return F.aggregate(F.slice("_steps", 1, stage * every), F.lit(0.0), lambda total, step: total + step)
+    @F.pandas_udf("array<double>")
+    def running(steps: pd.Series) -> pd.Series:
+        """The margin after every stage: one pass over a row's trees."""
+        return steps.map(lambda row: np.cumsum(row)[every - 1 :: every][:n_stages])
 
     staged = (
         quiet.transform(validation.select(VECTOR, "target"))
         .select("target", steps.alias("_steps"))
-        .select("target", F.transform(F.sequence(F.lit(1), F.lit(n_stages)), margin).alias("_margins"))
+        .select("target", running("_steps").alias("_margins"))
         .select("target", F.posexplode("_margins").alias("epoch", "margin"))
     )
     count = validation.count() * n_stages
@@ -170,7 +174,9 @@ def fit_fold(
 def _fit_best(
     train: DataFrame, validation: DataFrame, params: BoostParams, factory: EstimatorFactory
 ) -> FittedModel:
-    limit = min(params.first_trees, params.max_trees)
+    if params.auc_every > params.max_trees:
+        raise ValueError("auc_every exceeds max_trees: no stage would be measured")
+    limit = min(max(params.first_trees, params.auc_every), params.max_trees)
     patience = max(1, params.patience // params.auc_every)
     while True:
         model = factory(params, limit).fit(train)

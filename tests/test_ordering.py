@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from foldmark.operators import ordering
+from foldmark.operators import metrics, ordering
 from foldmark.operators.ordering import (
     hashed_row_numbers,
     order_scores,
@@ -137,3 +137,20 @@ def test_empty_table(spark, skewed):
     none = skewed.where("false")
     assert with_ranks(none, "p", "id", ("g",)).count() == 0
     assert hashed_row_numbers(none, "id", 1, "k").count() == 0
+
+
+def test_infinite_scores_share_slots_of_their_own(spark):
+    """A third of the rows at one infinity: ranks as by a plain window, and no task holds them all."""
+    rows = [(i, float("inf") if i % 3 == 0 else float("-inf") if i % 7 == 0 else float(i % 50)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, p double")
+    small, large = ({r.id: (r.avg_rank, r.min_rank) for r in with_ranks(df, "p", "id", rows_per_bucket=n).collect()} for n in (1 << 20, 60))
+    assert small == large
+    ranked = with_ranks(df, "p", "id", rows_per_bucket=60).where("p = double('infinity')")
+    per_task = [r["n"] for r in ranked.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert max(per_task) < 200
+
+
+def test_quartiles_between_equal_infinities(spark):
+    df = spark.createDataFrame([("a", float("inf"))] * 5 + [("a", 1.0)], "model string, p double")
+    row = metrics.describe(df, "p").head()
+    assert row["p50"] == row["p75"] == float("inf")
