@@ -8,7 +8,7 @@ A feature is a word's count over the square root of the text's length: how far t
 no other word of the text. The models are fitted on
 at most ``SAMPLE`` labelled documents, picked by a hash of the id, in three steps: words that occur in ``MIN_DOCS`` of them;
 of these the ``TELLING`` that go best with the category; of these those that an absolute penalty leaves. So what a
-model knows are a few hundred words, whatever the corpus. All documents are scored, by column expressions.
+model knows are a few hundred words, whatever the corpus. All documents are scored, each in its row.
 
 Defined results: a null or empty text has no features, the models' base rates, and is not toxic; a document with several labels counts by
 the largest; rows without an id are scored too; equal rows give equal rows; an empty table gives an empty
@@ -19,16 +19,18 @@ by ``score_toxicity`` and kept by ``keep_clean``.
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldmark.llm.common import texts
-from foldmark.session import cut_lineage
+from foldmark.llm.common import arrow_rows, spread_texts, texts
+from foldmark.session import cut_lineage, spread
 
 #: Categories in the chain's order, with what a row of labels says about them.
 CHAIN = {"junk": "1 - quality", "toxic": "toxic"}
@@ -37,8 +39,9 @@ MIN_DOCS = 4
 WORDS = 1 << 16
 TELLING = 200
 FOLDS = 3
-#: Beginnings of words that are features beside the words, by their letters.
-BEGINNINGS = (5,)
+#: Letters of a word's beginning, a feature beside the word.
+BEGINNING = 5
+WORD = re.compile(r"[^\W_]+")
 PENALTY = 1e-3
 STEPS = 400
 #: Of 1200 clean texts held out one is above a half, so a lower bar costs next to nothing.
@@ -54,46 +57,33 @@ class Linear:
     before: list[float]
 
 
-@dataclass(frozen=True)
-class ChainModel:
-    models: dict[str, Linear]
-
-    def score(self, docs: DataFrame) -> DataFrame:
-        """(_row, p_<category> ..., toxic): each document whole, its probabilities, and whether the last reaches THRESHOLD (1 or 0)."""
-        words = sorted({w for m in self.models.values() for w in m.words})
-        terms = _terms(F.coalesce("text", F.lit(""))).alias("_terms")
-        rows = docs.select(F.struct(*docs.columns).alias("_row"), terms)
-        if words:
-            counter = CountVectorizerModel.from_vocabulary(words, "_terms", "_counts")
-            counts = vector_to_array("_counts")
-            share = F.transform(counts, lambda n: n / F.sqrt(F.greatest(F.col("_n"), F.lit(1))))
-            rows = counter.transform(rows.withColumn("_n", _length())).withColumn("_x", share)
-        before: list[str] = []
-        for name, model in self.models.items():
-            margin = F.lit(model.intercept)
-            if model.words:
-                weights = F.array(*[F.lit(float(model.words.get(w, 0.0))) for w in words])
-                margin = margin + F.aggregate(F.zip_with("_x", weights, lambda x, w: x * w), F.lit(0.0), lambda a, v: a + v)
-            for p, weight in zip(before, model.before, strict=True):
-                margin = margin + F.col(p) * weight
-            rows = rows.withColumn(f"p_{name}", 1 / (1 + F.exp(-margin)))
-            before.append(f"p_{name}")
-        toxic = (F.col(before[-1]) >= THRESHOLD) & (F.size("_terms") > 0)
-        return rows.select("_row", *before, toxic.cast("int").alias("toxic"))
+def counted(text: str) -> tuple[int, Counter[str]]:
+    """How many words a text has, and how often each occurs."""
+    words = WORD.findall(text.lower())
+    return len(words), Counter(words)
 
 
-def _terms(text: Column) -> Column:
-    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
-    return F.concat(words, *[F.transform(words, _beginning(n)) for n in BEGINNINGS])
+def beginnings(words: Counter[str]) -> Counter[str]:
+    out: Counter[str] = Counter()
+    for word, n in words.items():
+        out["^" + word[:BEGINNING]] += n
+    return out
 
 
-def _beginning(n: int):
-    return lambda w: F.concat(F.lit(f"{n}^"), F.left(w, F.lit(n)))
-
+@dataclass(frozen=True)
+class ChainModel:
+    models: dict[str, Linear]
 
-def _length() -> Column:
-    """Words of the text."""
-    return F.size("_terms") / (1 + len(BEGINNINGS))
+    def score(self, text: str) -> tuple[list[float], bool]:
+        """The categories' probabilities in order, and whether the last reaches THRESHOLD."""
+        n, words = counted(text)
+        words.update(beginnings(words))
+        before: list[float] = []
+        for model in self.models.values():
+            margin = model.intercept + sum(w * words[t] for t, w in model.words.items() if t in words) / math.sqrt(max(n, 1))
+            margin += sum(w * p for w, p in zip(model.before, before, strict=True) if w)
+            before.append(1 / (1 + math.exp(-margin)) if margin > -700 else 0.0)
+        return before, n > 0 and before[-1] >= THRESHOLD
 
 
 def fit_penalised(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[float, np.ndarray]:
@@ -176,19 +166,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, chain: dict[str, str], s
 
 
 def read_sample(docs: DataFrame, labels: DataFrame, chain: dict[str, str], sample: int) -> Sample:
-    targets = [f"y_{c}" for c in chain]
     fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).alias("_fold")
-    rows = labelled_sample(docs, labels, chain, sample).select("doc_id", *targets, fold, _terms(F.col("text")).alias("_terms"))
-    rows = cut_lineage(rows)
-    found = rows.select("doc_id", _length().alias("_n"), F.explode("_terms").alias("t")).groupBy("doc_id", "_n", "t").agg(F.count("*").alias("n"))
+    rows = cut_lineage(labelled_sample(docs, labels, chain, sample).select("doc_id", *[f"y_{c}" for c in chain], fold, "text"))
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                n, words = counted(text)
+                words.update(beginnings(words))
+                yield arrow_rows([(doc_id, t, k / math.sqrt(n)) for t, k in words.items()], "doc_id long, t string, x double")
+
+    found = rows.select("doc_id", "text").mapInArrow(entries, "doc_id long, t string, x double")
     used = found.groupBy("t").agg(F.count("*").alias("docs")).where(F.col("docs") >= MIN_DOCS).orderBy(F.desc("docs"), "t").limit(WORDS)
     words = sorted(r["t"] for r in used.collect())
     known = docs.sparkSession.createDataFrame(list(enumerate(words)), "word int, t string")
     # At most WORDS words, and at most ``sample`` documents.
-    entries = found.join(F.broadcast(known), "t").select("doc_id", "word", (F.col("n") / F.sqrt("_n")).alias("x"))
-    entries, heads = entries.toArrow(), rows.drop("_terms").orderBy("doc_id").toArrow()
+    entries_, heads = found.join(F.broadcast(known), "t").select("doc_id", "word", "x").toArrow(), rows.drop("text").orderBy("doc_id").toArrow()
     ids = heads.column("doc_id").to_numpy()
-    columns = [entries.column(c).to_numpy() for c in ("doc_id", "word", "x")]
+    columns = [entries_.column(c).to_numpy() for c in ("doc_id", "word", "x")]
     order = np.lexsort((columns[1], columns[0]))  # the same sums in every run
     doc, word, x = (c[order] for c in columns)
     y = {c: heads.column(f"y_{c}").to_numpy() for c in chain}
@@ -212,10 +207,24 @@ def fit_chain(docs: DataFrame, labels: DataFrame, chain: dict[str, str] = CHAIN,
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, p_<category> ..., toxic) of every document."""
-    scored = fit_chain(docs, labels, CHAIN, sample).score(texts(docs))
-    return scored.select("_row.doc_id", *[f"p_{c}" for c in CHAIN], "toxic")
+    model = fit_chain(docs, labels, CHAIN, sample)
+    schema = ", ".join(["doc_id long", *[f"p_{c} double" for c in CHAIN], "toxic int"])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scored = [model.score(t) for t in batch.column("text").to_pylist()]
+            yield arrow_rows([(i, *p, int(toxic)) for i, (p, toxic) in zip(batch.column("doc_id").to_pylist(), scored, strict=True)], schema)
+
+    return spread_texts(docs).mapInArrow(score, schema)
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents, with all their columns, that the chain does not call toxic."""
-    return fit_chain(docs, labels, CHAIN, sample).score(docs).where("toxic = 0").select("_row.*")
+    model = fit_chain(docs, labels, CHAIN, sample)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [not model.score(t or "")[1] for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return spread(docs).mapInArrow(clean, docs.schema)
