@@ -34,7 +34,7 @@ from foldmark.session import cut_lineage, spread
 
 #: Categories in the chain's order, with what a row of labels says about them.
 CHAIN = {"junk": "1 - quality", "toxic": "toxic"}
-SAMPLE = 8_000
+SAMPLE = 4_000
 MIN_DOCS = 4
 WORDS = 1 << 16
 TELLING = 200
