@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from foldmark.operators.ensemble import SUBMISSION_CUTOFFS, VALIDATION_CUTOFFS
 from foldmark.plans import studies
 from foldmark.session import build_session
 
@@ -21,6 +22,7 @@ def parser() -> argparse.ArgumentParser:
     validate.add_argument("labels")
     validate.add_argument("predictions", nargs="+")
     validate.add_argument("--base", help="base predictions of the consensus rule")
+    validate.add_argument("--exponent", type=float, default=2.0, help="exponent of the power rule")
     validate.add_argument("--out", default=".")
 
     average = commands.add_parser("average", help="mean of submissions")
@@ -39,6 +41,10 @@ def parser() -> argparse.ArgumentParser:
     consensus.add_argument("base")
     consensus.add_argument("predictions", nargs="+")
 
+    for command, (above, below) in ((validate, VALIDATION_CUTOFFS), (consensus, SUBMISSION_CUTOFFS)):
+        command.add_argument("--above", type=float, default=above, help="score that all must exceed")
+        command.add_argument("--below", type=float, default=below, help="score that all must stay under")
+
     for command in (average, folds, blend, consensus):
         command.add_argument("--out", default="submission")
     return top
@@ -50,7 +56,12 @@ def main(arguments: list[str] | None = None) -> None:
     if args.command == "measure":
         print(f"auc: {studies.measure(spark, args.labels, args.predictions)}")
     elif args.command == "validate":
-        print(studies.validate_ensemble(spark, args.labels, args.predictions, args.rule, args.out, args.base))
+        cutoffs = (args.above, args.below)
+        print(
+            studies.validate_ensemble(
+                spark, args.labels, args.predictions, args.rule, args.out, args.base, cutoffs, args.exponent
+            )
+        )
     elif args.command == "average":
         studies.average_submissions(spark, args.predictions, args.out)
     elif args.command == "average-folds":
@@ -58,7 +69,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.command == "blend":
         studies.blend_submissions(spark, args.first, args.second, args.weight, args.out)
     else:
-        studies.consensus_submission(spark, args.base, args.predictions, args.out)
+        studies.consensus_submission(spark, args.base, args.predictions, args.out, (args.above, args.below))
 
 
 if __name__ == "__main__":

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldmark.operators.ordering import hashed_row_numbers
@@ -22,12 +22,13 @@ def stratified_folds(
     n_folds: int = N_STORED_FOLDS,
     seed: int = 47,
     tiebreak: Sequence[str] = (),
+    digits: int = 3,
 ) -> DataFrame:
-    """Add ``fold``: round robin over the class-sorted, seeded order.
+    """Add ``fold``: round robin over the class-sorted, seeded order, in 16**digits buckets a class.
 
     Sizes differ by at most one, per class and in total.
     """
-    numbered = hashed_row_numbers(df, key, seed, "_place", (class_column,), tiebreak=tiebreak)
+    numbered = hashed_row_numbers(df, key, seed, "_place", (class_column,), tiebreak=tiebreak, digits=digits)
     return numbered.select(*df.columns, ((F.col("_place") - 1) % n_folds).cast("int").alias("fold"))
 
 
@@ -75,19 +76,24 @@ def kfold_splits(source: SampleSet, n_splits: int = 4) -> Iterator[tuple[SampleS
     return (pick_split(source, i, n_splits) for i in range(n_splits))
 
 
-def holdout_split(df: DataFrame, key: str = ID, fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add boolean ``is_test`` for exactly ceil(fraction * rows) rows, the same rows in every run.
+def holdout_split(
+    df: DataFrame, key: str = ID, fraction: float = 0.2, seed: int = 42, digits: int = 3
+) -> DataFrame:
+    """Add boolean ``is_test`` for exactly ceil(fraction * rows) rows, the same rows in every run, in 16**digits buckets.
 
     The product is rounded before the ceiling so that 0.2 * 5 is 1, not a hair above.
     """
-    numbered = hashed_row_numbers(df, key, seed, "_place", total="_rows")
+    numbered = hashed_row_numbers(df, key, seed, "_place", total="_rows", digits=digits)
     size = F.ceil(F.round(F.col("_rows") * F.lit(fraction), 9))
     return numbered.select(*df.columns, (F.col("_place") <= size).alias("is_test"))
 
 
-def head_rows(df: DataFrame, n: int, key: str = ID) -> DataFrame:
-    """The first n rows by id, in place of file order."""
-    return df.orderBy(key).limit(n)
+def head_rows(df: DataFrame, n: int, key: str = ID, split: Sequence[str] = ()) -> DataFrame:
+    """The first n rows by id, in place of file order; with ``split``, of each split (n per split leave a task at most)."""
+    if not split:
+        return df.orderBy(key).limit(n)
+    place = F.row_number().over(Window.partitionBy(*split).orderBy(key))
+    return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
 def distinct_folds(df: DataFrame) -> list[int]:

@@ -44,10 +44,11 @@ def validate_ensemble(
     out: str,
     base: str | None = None,
     cutoffs: tuple[float, float] = ensemble.VALIDATION_CUTOFFS,
+    exponent: float = 2.0,
 ) -> str:
     """Combine prediction files by a rule, measure, and write the scores under their AUC.
 
-    The rule ``consensus`` takes ``base``, a prediction file that has no vote.
+    The rule ``consensus`` takes ``base``, a prediction file that has no vote, and the cutoffs; ``power`` the exponent.
     """
     truth = _labels(spark, labels)
     long = read_predictions(spark, predictions)
@@ -58,6 +59,8 @@ def validate_ensemble(
             raise ValueError("the consensus rule needs a base prediction file")
         best = align_predictions(truth.select(ID), read_predictions(spark, {"base": base}), unique=True)
         scores = ensemble.consensus_ensemble(aligned, best, *cutoffs, models=models)
+    elif rule == "power":
+        scores = ensemble.power_mean_ensemble(aligned, exponent=exponent)
     else:
         scores = ensemble.apply_rule(rule, aligned.select(ID, "model", "p"))
     scores = scores.persist(StorageLevel.MEMORY_AND_DISK)

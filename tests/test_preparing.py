@@ -164,3 +164,9 @@ def test_split_filters_prune_partitions(spark, raw, tmp_path):
     plan = validation.df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [fold" in plan or "PartitionFilters: [cast(fold" in plan
     assert splits.head_rows(validation.df, 3).count() == 3
+
+
+def test_head_of_each_split(spark):
+    df = spark.createDataFrame([(f"i{i:02}", i % 2) for i in range(20)], "image_name string, val_index int")
+    got = sorted((r.val_index, r.image_name) for r in splits.head_rows(df, 3, split=("val_index",)).collect())
+    assert got == [(0, "i00"), (0, "i02"), (0, "i04"), (1, "i01"), (1, "i03"), (1, "i05")]
