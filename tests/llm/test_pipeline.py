@@ -1,6 +1,5 @@
 import re
 
-import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
