@@ -92,3 +92,27 @@ def test_dropping(spark):
     assert len(rows_of(d.drop_leaks(docs_of(spark, ROWS), items_of(spark, [])))) == len(ROWS)
     assert d.find_leaks(docs_of(spark, []), items_of(spark, ITEMS)).collect() == []
     assert d.drop_leaks(docs_of(spark, []), items_of(spark, ITEMS)).collect() == []
+
+
+@pytest.mark.parametrize("every", [4, 5, 6])
+def test_regular_edits_against_alignment_of_everything(spark, tables, every):
+    items, rng = tables[1], random.Random(every)
+    rows = []
+    for i, (_, text) in enumerate(items):
+        w = words(text)
+        w[every - 1 :: every] = [f"other{rng.randrange(9)}" for _ in w[every - 1 :: every]]
+        rows.append((1000 + i, " ".join(["before it"] * 30 + w + ["after it"] * 30)))
+    got = rows_of(d.find_leaks(docs_of(spark, rows), items_of(spark, items)))
+    full = {(i, j): plain_score(words(x), words(t)) for i, t in rows for j, x in items}
+    want = {k: s for k, s in full.items() if s >= d.THRESHOLD}
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in got} == want and len(want) >= len(items)
+
+
+def test_words_put_in_and_left_out(spark):
+    item = [f"w{i}" for i in range(30)]
+    long = [x for i, w in enumerate(item) for x in ([w] if i % 3 or not i else ["more", w])]
+    late = [x for w in item[:15] for x in ("so", w)] + item[15:]
+    rows = [(1, " ".join(long)), (2, " ".join(item[:8] + item[12:])), (3, " ".join(late)), (4, " ".join(item[:8]))]
+    got = rows_of(d.find_leaks(docs_of(spark, rows), items_of(spark, [(7, " ".join(item))])))
+    want = {i: plain_score(item, words(t)) for i, t in rows if plain_score(item, words(t)) >= d.THRESHOLD}
+    assert {r["doc_id"]: r["score"] for r in got} == want and set(want) == {1, 2, 3}
