@@ -5,13 +5,16 @@ most one bit in one of the segments. So each distinct fingerprint lies in a tabl
 and asks that table for each value within one bit of its own: a ball of 33. Of two values one bit apart only the
 one with the bit set asks for the other, which halves the asking. Every answer is checked on all 64 bits.
 
-``near_copies`` serves similarity of shingle sets instead of a few bits: texts whose sets of five words have a Jaccard
-similarity of 0.8 differ in 15 of 100 bits, far beyond a ball. It takes ``WIDE`` bits in segments of 16, asks for one bit of
-difference in any segment, and checks complete fingerprints. One of a segment's two halves is then equal, so texts meet
-under (segment, half, value) and the ball is enumerated over the other half, inside the meeting. A meeting reports
-each local group as a star, not as pairs; one of more than ``MEETING`` fingerprints is a grid of smaller ones.
-
-Equal fingerprints are one node, however many documents have them. Components: rounds of large-star and
+``near_copies`` serves a Jaccard similarity of ``SIMILARITY`` between sets of five words, far beyond a ball of a few bits:
+0.8 is 15 of 100 bits. Each set's fingerprint (every shingle once, however often the text has it) takes ``WIDE`` bits in
+segments of 16; candidates have one bit of difference in any segment and ``WIDE_DISTANCE`` in all. One of a segment's two
+halves is then equal, so texts meet under (segment, half, value) and the ball is enumerated over the other half, inside the
+meeting. A meeting reports each local group as a star, not as pairs; one of more than ``MEETING`` fingerprints is a
+grid of smaller ones. Candidates are only where to look: the sets of each component of candidates are compared exactly, and
+only links of ``SIMILARITY`` count. Sets of at most ``FEW`` shingles need no fingerprint: two similar ones share one of
+their smallest hashes, under which they meet. Equal sets are one node.
+
+In ``simhash_components`` equal fingerprints are one node, however many documents have them. Components: rounds of large-star and
 small-star over the links, each round written to the checkpoint folder.
 
 Defined results: null and empty texts have fingerprint zero and link like any other; equal rows have one
@@ -135,11 +138,14 @@ def simhash_components(docs: DataFrame, k: int = 3, distance: int = DISTANCE) ->
     return prints.join(named, "fingerprint").select("doc_id", hexed, "component_id")
 
 
-#: For similar sets: bits, bits of a segment, and the bits by which complete fingerprints may differ. A similarity of 0.8
-#: means 39 bits on average with a deviation of 6: the limit is two deviations above.
+#: For similar sets: bits, bits of a segment, and the bits by which complete fingerprints of candidates may differ. A similarity of
+#: 0.8 means 39 bits on average with a deviation of 6: the limit is two deviations above.
 WIDE = 256
 NARROW = 16
 WIDE_DISTANCE = 50
+SIMILARITY = 0.8
+#: Sets of at most so many shingles meet without fingerprints.
+FEW = 0
 SHINGLE = 5
 MEETING = 8192
 WORDS = [f"w{i}" for i in range(WIDE // BITS)]
@@ -154,13 +160,29 @@ def wide_fingerprint(hashes: np.ndarray) -> list[int]:
     return out
 
 
+def least_shared(n: int | np.ndarray) -> np.ndarray:
+    """How many of a set's n shingles a similar set holds at least."""
+    return np.ceil(SIMILARITY * np.asarray(n) - 1e-9).astype("i8")
+
+
 def wide_fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, k1, k2, w0, w1, ...): a row's own hashes and its fingerprint."""
-    schema = ", ".join(["doc_id long", "k1 long", "k2 long", *[f"{w} long" for w in WORDS]])
+    """(doc_id, k1, k2, s1, s2, n, least, w0, w1, ...): a row's own hashes, its set's and its size, some of its least hashes, its fingerprint.
+
+    Of two similar sets of at most FEW shingles, each has one of the other's ``least``. Larger sets have none.
+    """
+    keys = ["doc_id long", "k1 long", "k2 long", "s1 long", "s2 long", "n long", "least array<long>"]
+    schema = ", ".join([*keys, *[f"{w} long" for w in WORDS]])
+
+    def of_text(text: str) -> tuple:
+        shingles = np.unique(shingle_hashes(text, k))
+        one, two = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), ">i8").tolist()
+        n = len(shingles)
+        least = shingles[: n - int(least_shared(n)) + 1].view("i8").tolist() if 0 < n <= FEW else []
+        return one, two, n, least, *wide_fingerprint(shingles)
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [wide_fingerprint(shingle_hashes(t, k)) for t in batch.column("text").to_pylist()]
+            found = [of_text(t) for t in batch.column("text").to_pylist()]
             keys = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "k1", "k2")), strict=True)
             yield arrow_rows([(*key, *w) for key, w in zip(keys, found, strict=True)], schema)
 
@@ -193,6 +215,11 @@ def _stars(left: np.ndarray, nodes: np.ndarray, words: np.ndarray, side: np.ndar
             roots = np.unique(np.append(root[linked], root[i]))
             if len(roots) > 1:
                 root[np.isin(root, roots)] = roots[0]
+    return _to_least(root, nodes)
+
+
+def _to_least(root: np.ndarray, nodes: np.ndarray) -> list[tuple[int, int]]:
+    """(node, smallest node of its group) for groups given by their roots."""
     sizes = np.bincount(root, minlength=len(root))
     member = np.flatnonzero(sizes[root] > 1)
     least = np.full(len(root), np.iinfo("i8").max)
@@ -201,6 +228,43 @@ def _stars(left: np.ndarray, nodes: np.ndarray, words: np.ndarray, side: np.ndar
     return [(a, b) for a, b in found if a != b]
 
 
+def _similar_sets(nodes: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """(node, smallest node of its group) for the links of SIMILARITY between sets, one after the other in ``shingles``.
+
+    Two similar sets share one of their rarest shingles here, as many as a similar set can lack and one more. Sets that are
+    linked already aren't compared. With two sides, only links between them are looked for.
+    """
+    both = bool(side.any()) and not side.all()
+    owner = np.repeat(np.arange(len(nodes)), sizes)
+    _, inverse, counts = np.unique(shingles, return_inverse=True, return_counts=True)
+    rank = np.empty(len(counts), "i8")
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
+    order = np.lexsort((rank[inverse], owner))
+    ranks, cuts = rank[inverse][order], np.cumsum(np.append(0, sizes))
+    rare = np.arange(len(ranks)) - cuts[owner] < (sizes - least_shared(sizes) + 1)[owner]
+    by_rank = np.argsort(ranks[rare], kind="stable")
+    posted, holders = ranks[rare][by_rank], owner[rare][by_rank]
+    root = np.arange(len(nodes))
+    for i in range(1, len(nodes)):
+        mine = ranks[cuts[i] : cuts[i + 1]]
+        first = mine[: sizes[i] - int(least_shared(sizes[i])) + 1]
+        low, high = np.searchsorted(posted, first), np.searchsorted(posted, first, side="right")
+        near = [holders[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True) if b > a + 1]
+        if not near:
+            continue
+        met = np.concatenate(near)
+        met = np.unique(met[(met < i) & (root[met] != root[i])])
+        if both:
+            met = met[side[met] != side[i]]
+        for j in met.tolist():
+            if root[j] == root[i]:
+                continue
+            shared = len(np.intersect1d(mine, ranks[cuts[j] : cuts[j + 1]], assume_unique=True))
+            if shared >= SIMILARITY * (sizes[i] + sizes[j] - shared) - 1e-9:
+                root[root == root[i]] = root[j]
+    return _to_least(root, nodes)
+
+
 def similar_fingerprints(nodes: DataFrame, distance: int = WIDE_DISTANCE, meeting: int = MEETING) -> DataFrame:
     """(a, b): links that connect what the pairs of nodes (node, w0, ...) within the distance connect."""
     halves = []
@@ -227,15 +291,58 @@ def similar_fingerprints(nodes: DataFrame, distance: int = WIDE_DISTANCE, meetin
     return rows.groupBy("key", "x", "y").applyInArrow(meet, "a long, b long").distinct()
 
 
+def similar_sets(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, k: int = SHINGLE, meeting: int = MEETING) -> DataFrame:
+    """(a, b): links that connect what the nodes with sets of SIMILARITY connect, among those that meet.
+
+    Nodes meet in their component of candidates (node, root), and under each of their least hashes. ``nodes`` names
+    a row of ``docs`` for each by its hashes.
+    """
+    of_root = F.array(F.struct(F.lit(0).alias("kind"), F.col("root").alias("key")))
+    of_root = F.when(F.col("root").isNotNull(), of_root).otherwise(F.array_except(of_root, of_root))
+    of_least = F.transform("least", lambda h: F.struct(F.lit(1).alias("kind"), h.alias("key")))
+    met = nodes.join(candidates, "node", "left").select("node", "best.k1", "best.k2", F.inline(F.concat(of_root, of_least)))
+    met = cut_lineage(met)
+    sizes = met.groupBy("kind", "key").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = sizes.select("kind", "key", (F.floor(F.col("n") / meeting) + 1).cast("int").alias("blocks"))
+    place = F.struct("kind", "key", "blocks")
+    places = met.join(sizes, ["kind", "key"]).groupBy("node", "k1", "k2").agg(F.collect_list(place).alias("places"))
+    rows = docs.select("text", *_row_hashes()).join(places, ["k1", "k2"]).dropDuplicates(["k1", "k2", "node"]).select("node", "places", "text")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingle_hashes(t or "", k)).view("i8") for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("places"), pa.array(found, pa.list_(pa.int64()))], ["node", "places", "shingles"]
+            )
+
+    rows = rows.mapInArrow(sets, "node long, places array<struct<kind:int,key:long,blocks:int>>, shingles array<long>")
+    rows = rows.select("node", "shingles", F.inline("places"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("x", F.least("own", "with")).withColumn("y", F.greatest("own", "with"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        lists = table.column("shingles").combine_chunks()
+        sizes, flat = lists.value_lengths().to_numpy(zero_copy_only=False).astype("i8"), lists.flatten().to_numpy()
+        nodes, own, x = (table.column(c).to_numpy() for c in ("node", "own", "x"))
+        return pa.Table.from_batches([arrow_rows(_similar_sets(nodes, sizes, flat, own != x), "a long, b long")])
+
+    return rows.groupBy("kind", "key", "x", "y").applyInArrow(compare, "a long, b long").distinct()
+
+
 def near_copies(docs: DataFrame, k: int = SHINGLE, distance: int = WIDE_DISTANCE) -> DataFrame:
     """The documents, with all their columns, one of each group of near copies: that with the smallest id (nulls last).
 
-    Rows of the same id and equal texts are one. Texts without words are copies of each other.
+    Near copies: links of SIMILARITY between their sets of shingles, and what these connect. Rows of the same id and equal texts
+    are one. Texts without words are copies of each other.
     """
     prints = cut_lineage(wide_fingerprints(docs, k))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("best")
-    nodes = cut_lineage(prints.groupBy(*WORDS).agg(best).withColumn("node", F.monotonically_increasing_id()))
-    roots = components(similar_fingerprints(nodes, distance))
+    same = [F.min(c).alias(c) for c in ("n", "least", *WORDS)]
+    nodes = prints.groupBy("s1", "s2").agg(best, *same).withColumn("node", F.monotonically_increasing_id())
+    nodes = cut_lineage(nodes)
+    candidates = components(similar_fingerprints(nodes.where("n > 0"), distance))
+    roots = components(similar_sets(docs, nodes, candidates, k))
     grouped = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
     kept = grouped.select(F.col("best.k1").alias("_k1"), F.col("best.k2").alias("_k2"))
     k1, k2 = _row_hashes()

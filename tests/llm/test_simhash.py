@@ -103,3 +103,14 @@ def test_fingerprint_by_rule(text):
 def test_larger_distance_is_refused(spark):
     with pytest.raises(ValueError):
         simhash.near_fingerprints(spark.createDataFrame([(1,)], "fingerprint long"), 4)
+
+
+def near(spark, texts):
+    return {r["doc_id"] for r in simhash.near_copies(docs_of(spark, list(enumerate(texts)))).select("doc_id").collect()}
+
+
+def test_a_repeated_line_makes_no_copy(spark):
+    rng = random.Random(3)
+    line = " ".join(f"menu{i}" for i in range(12))
+    texts = [" ".join([line] * 20 + [f"v{rng.randrange(10**9)}" for _ in range(300)]) for _ in range(12)]
+    assert near(spark, texts) == set(range(12))
