@@ -139,13 +139,13 @@ def simhash_components(docs: DataFrame, k: int = 3, distance: int = DISTANCE) ->
 
 
 #: For similar sets: bits, bits of a segment, and the bits by which complete fingerprints of candidates may differ. A similarity of
-#: 0.8 means 39 bits on average with a deviation of 6: the limit is two deviations above.
+#: 0.8 means 39 bits on average with a deviation of 6: the limit is four deviations above, five below unrelated sets.
 WIDE = 256
 NARROW = 16
-WIDE_DISTANCE = 50
+WIDE_DISTANCE = 64
 SIMILARITY = 0.8
 #: Sets of at most so many shingles meet without fingerprints.
-FEW = 0
+FEW = 40
 SHINGLE = 5
 MEETING = 8192
 WORDS = [f"w{i}" for i in range(WIDE // BITS)]

@@ -120,3 +120,10 @@ def test_a_crowded_meeting_is_split(spark):
     near = {(a, b) for a in words for b in words if a < b and link(a, b)}
     for a, b in near:  # each such pair shares a segment up to one bit here
         assert roots[0].get(a, a) == roots[0].get(b, b)
+
+
+def test_near_duplicates_are_of_the_similarity(stages):
+    before = {i: r["text"] for i, r in by_id(stages["toxicity"]).items()}
+    left = set(by_id(stages["near_duplicates"]))
+    linked = {i for p in similar_pairs(before.items()) for i in p}
+    assert set(before) - left <= linked | {i for i, t in before.items() if not shingles(t or "")}

@@ -114,3 +114,39 @@ def test_a_repeated_line_makes_no_copy(spark):
     line = " ".join(f"menu{i}" for i in range(12))
     texts = [" ".join([line] * 20 + [f"v{rng.randrange(10**9)}" for _ in range(300)]) for _ in range(12)]
     assert near(spark, texts) == set(range(12))
+
+
+def changed(rng, words, shared):
+    """A text of as many shingles, of which exactly so many are the same: the beginning stays."""
+    return words[: shared + 4] + [f"x{rng.randrange(10**9)}" for _ in words[shared + 4 :]]
+
+
+def test_links_are_of_the_similarity(spark):
+    rng, texts, want = random.Random(4), [], set()
+    for shared in (225, 231, 240, 255, 264, 267, 270, 285):  # of 300: similarities from 0.60 to 0.90
+        for _ in range(8):
+            words = [f"v{rng.randrange(10**9)}" for _ in range(304)]
+            want |= {len(texts)} | ({len(texts) + 1} if shared < 0.8 * (600 - shared) else set())
+            texts += [" ".join(words), " ".join(changed(rng, words, shared))]
+    assert near(spark, texts) == want
+
+
+@pytest.mark.parametrize("size", [4, 5, 9, 20, 40])
+def test_short_texts_are_compared_exactly(spark, size):
+    rng, texts, want = random.Random(size), [], set()
+    for _ in range(25):
+        words = [f"v{rng.randrange(10**9)}" for _ in range(size + 4)]
+        for cut in (size // 5, size // 5 + 1):  # the longest beginning that is similar, and the next shorter one
+            own = [w + str(cut) for w in words]
+            want |= {len(texts)} | ({len(texts) + 1} if size - cut < 0.8 * size else set())
+            texts += [" ".join(own), " ".join(own[: size + 4 - cut])]
+    assert near(spark, texts) == want
+
+
+def test_similar_sets_in_a_crowd_and_in_blocks(spark, monkeypatch):
+    rng, base = random.Random(6), [f"v{i}" for i in range(104)]
+    texts = [" ".join(changed(rng, base, 82)) for _ in range(60)] + [" ".join(changed(rng, base, 96)) for _ in range(60)]
+    want = set(range(61))  # 82 of 118 are too few; 96 and more of 104 are enough
+    assert near(spark, texts) == want
+    monkeypatch.setattr(simhash.similar_sets, "__defaults__", (simhash.SHINGLE, 16))
+    assert near(spark, texts) == want
