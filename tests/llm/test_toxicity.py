@@ -77,3 +77,11 @@ def test_penalised_fit_is_a_minimum():
     for i in range(6):
         for d in (-1e-3, 1e-3):
             assert loss(b, w + d * (np.arange(6) == i)) >= best - 1e-9
+
+
+def test_junk_is_told_row_by_row(spark, corpus):
+    docs, labels = corpus
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    scored = toxicity.score_toxicity(docs, labels.where("doc_id % 3 > 0")).where("doc_id % 3 = 0").collect()
+    pairs = [(quality[r["doc_id"]] == 0, r["p_junk"] >= 0.5) for r in scored if r["doc_id"] in quality]
+    assert sum(a == b for a, b in pairs) >= 0.97 * len(pairs)
