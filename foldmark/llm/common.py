@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +49,14 @@ def arrow_rows(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     fields = [pa.field(name, ARROW[kind]) for name, kind in (c.split() for c in ddl.split(", "))]
     columns = zip(*rows, strict=True) if rows else [()] * len(fields)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=pa.schema(fields))
+
+
+def bounded_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with about ``limit`` bytes in a text column, and one row at least."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype("i8"))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, "right")))
+            yield batch.slice(at, end - at)
+            at = end
