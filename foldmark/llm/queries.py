@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from foldmark.catalog.registry import query
-from foldmark.llm import decontamination, licenses, packing, pii, repeats, resampling, sharding, simhash, token_files, topk, toxicity
+from foldmark.llm import decontamination, licenses, packing, passages, pii, repeats, resampling, sharding, simhash, token_files, topk, toxicity
 from foldmark.llm.common import table
 
 
@@ -62,3 +62,8 @@ def op10_seeded_alignment_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_target_resampling", resampling.ORACLE_SQL)
 def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_anchored_passages", passages.ORACLE_SQL)
+def op12_anchored_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_digests(table(spark, sf_dir, "documents"))
