@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from foldmark.catalog.registry import query
-from foldmark.llm import decontamination, licenses, packing, passages, pii, repeats, resampling, sharding, simhash, token_files, topk, toxicity
+from foldmark.llm import decontamination, licenses, packing, passages, pii, repeats, resampling, sharding, simhash, token_files, topk, toxicity, turn_trie
 from foldmark.llm.common import table
 
 
@@ -67,3 +67,8 @@ def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_anchored_passages", passages.ORACLE_SQL)
 def op12_anchored_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passage_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_turn_trie", turn_trie.ORACLE_SQL)
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.trie_nodes(table(spark, sf_dir, "conversations"))
