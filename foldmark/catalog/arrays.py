@@ -300,7 +300,7 @@ def images(spark: SparkSession, sf: str) -> DataFrame:
     return spread(vectors(spark, sf).select(image_id(), "embedding"), ID).mapInPandas(run, schema)
 
 
-_PIXEL_SQL = """
+PIXEL_SQL = """
 SELECT 'IMG_' || lpad(CAST(vec_id AS VARCHAR), 12, '0') AS image_name, pos, red[pos + 1] AS r, red[64 - pos] AS g,
        red[(pos + 8) % 64 + 1] AS b
 FROM (SELECT vec_id, [least(greatest(floor((x::DOUBLE + 0.5) * 255), 0), 255) FOR x IN embedding] AS red
@@ -323,7 +323,7 @@ GROUP BY image_name, component, k
     "image_dct",
     with_tables(
         "SELECT image_name, (component * 8 + k)::INTEGER AS pos, round(c, 4) + 0.0 AS value FROM coefficients",
-        pixels=_PIXEL_SQL,
+        pixels=PIXEL_SQL,
         coefficients=_COEFFICIENT_SQL,
     ),
 )
@@ -339,7 +339,7 @@ def image_dct(spark, sf):
     "image_features",
     with_tables(
         "SELECT image_name, (component * 8 + k)::INTEGER AS pos, round(c, 4) + 0.0 AS value FROM coefficients",
-        pixels=_PIXEL_SQL,
+        pixels=PIXEL_SQL,
         coefficients=_COEFFICIENT_SQL,
     ),
 )
@@ -348,49 +348,3 @@ def image_features(spark, sf):
     features = views.coefficient_features(images(spark, sf))
     rows = features.select(ID, F.posexplode("features").alias("pos", "value"))
     return rows.withColumn("value", F.round("value", 4) + F.lit(0.0))
-
-
-def overlay_pieces() -> list[np.ndarray]:
-    """Two small overlays: a bright stroke on black, and a grey corner."""
-    stroke = np.zeros((3, 5, 3), dtype=np.uint8)
-    stroke[1] = 200
-    corner = np.zeros((2, 2, 3), dtype=np.uint8)
-    corner[0, 0] = 90
-    return [stroke, corner]
-
-
-@query("image_views")
-def image_views(spark, sf):
-    return views.image_views(images(spark, sf), views.training_stages(SIDE, overlay_pieces()), N_PASSES)
-
-
-def _mean_predictor():
-    def predict(batch, meta):
-        flat = batch.reshape(len(batch), -1)
-        return 1 / (1 + np.exp(-flat.mean(axis=1))), flat[:, :3]
-
-    return predict
-
-
-@query("image_tta_score")
-def image_tta_score(spark, sf):
-    """Views made and scored in one pass over the pixels, then averaged."""
-    scored = views.score_image_views(images(spark, sf), views.scoring_stages(SIDE), _mean_predictor, N_PASSES)
-    return scoring.mean_score(scored)
-
-
-# Without randomness the whole path is arithmetic: normalise, mean over pixels and channels, logistic.
-@query(
-    "image_plain_score",
-    with_tables(
-        """
-        SELECT image_name, round(1 / (1 + exp(-avg(((r / 255 - 0.485) / 0.229 + (g / 255 - 0.456) / 0.224
-                                                   + (b / 255 - 0.406) / 0.225) / 3))), 4) AS p
-        FROM pixels GROUP BY image_name
-        """,
-        pixels=_PIXEL_SQL,
-    ),
-)
-def image_plain_score(spark, sf):
-    scored = views.score_image_views(images(spark, sf), views.identity_stages(SIDE), _mean_predictor, 1)
-    return scored.select(ID, F.round("p", 4).alias("p"))

@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLOCK = 8
+#: Hexadecimal digits of a hash that make a random number; all of them fit a double.
+DRAW_DIGITS = 13
 
 
 def zigzag_order(side: int = BLOCK) -> list[int]:
@@ -95,6 +97,17 @@ def hash_coin(key: Column, stage: str, tta_index: Column, seed: int) -> Column:
     return F.substring(digest, 1, 1) < F.lit("8")
 
 
+def keyed_uniform(
+    name: Column | str, tta_index: Column | str, seed: int, stage: int, number: Column | int
+) -> Column:
+    """A number from 0 to below 1 for each (name, pass, seed, stage, number): the same wherever and however often it is drawn."""
+    number = number if isinstance(number, Column) else F.lit(number)
+    parts = [F.col(c) if isinstance(c, str) else c for c in (name, tta_index)]
+    text = F.concat_ws(":", *[p.cast("string") for p in parts], F.lit(str(seed)), F.lit(str(stage)), number.cast("string"))
+    digits = F.substring(F.md5(text), 1, DRAW_DIGITS)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(16**DRAW_DIGITS))
+
+
 def circle_mask(pixels: Column, height: int, width: int, radius: Column, channels: int = 1) -> Column:
     """Zero the pixels outside a circle around the centre."""
 

@@ -67,6 +67,13 @@ def validation_folds(index: int, n_splits: int) -> list[int]:
     return list(range(index * width, (index + 1) * width))
 
 
+def validation_folds_of(index: int, n_splits: int) -> list[int]:
+    """Stored folds that split ``index`` of any number of splits validates on: consecutive ones, as even as can be."""
+    if not 2 <= n_splits <= N_STORED_FOLDS or not 0 <= index < n_splits:
+        raise ValueError(f"split {index} of {n_splits}: there must be 2 to {N_STORED_FOLDS} splits")
+    return [f for f in range(N_STORED_FOLDS) if f * n_splits // N_STORED_FOLDS == index]
+
+
 def pick_split(source: SampleSet, index: int, n_splits: int) -> tuple[SampleSet, SampleSet]:
     return train_validate_split(source, validation_folds(index, n_splits))
 

@@ -1,7 +1,8 @@
 """Random views of images and coefficient features, computed inside the tasks that hold the pixels.
 
-An image crosses into Python once; its views are made there. The generator of a
-view is seeded by (image, pass, seed), so retries and re-partitioning repeat it.
+An image crosses into Python once; its views are made there. Every random number of a view is a hash of the image, the pass,
+the seed, the stage's place in the chain and the number's place in the stage: retries and re-partitioning repeat it, a column
+(``keyed_uniform``) draws the same, and so does SQL.
 """
 
 from __future__ import annotations
@@ -11,11 +12,11 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldmark.functions.arrays import BLOCK, zigzag_order
+from foldmark.functions.arrays import BLOCK, DRAW_DIGITS, keyed_uniform, zigzag_order
 from foldmark.operators.ordering import hashed_row_numbers, pack_group
 from foldmark.schemas import ID
 
@@ -23,14 +24,39 @@ from foldmark.schemas import ID
 CHANNEL_MEAN = (0.485, 0.456, 0.406)
 CHANNEL_STD = (0.229, 0.224, 0.225)
 
+# What the circle's radius may differ from half the height by, and the brightness up to which an overlay is transparent.
+RADIUS_LESS, RADIUS_MORE = 3, 15
+TRANSPARENT = 10
+LUMA = (0.299, 0.587, 0.114)
+
+#: A larger library of overlays is joined to the images instead of given to every worker.
 OVERLAY_LIMIT_BYTES = 64 << 20
+#: Bytes of pixels in a batch of views.
+OUT_BYTES = 32 << 20
+#: The crop's numbers: two for each try, then its corner.
+TRIES = 10
+
+
+@dataclass(frozen=True)
+class Draws:
+    """The random numbers of one stage of one view, by their place."""
+
+    name: str
+    tta_index: int
+    seed: int
+    stage: int = 0
 
-Stage = Callable[[np.ndarray, np.random.Generator], np.ndarray]
+    def uniform(self, number: int, low: float = 0.0, high: float = 1.0) -> float:
+        """From low to below high."""
+        digest = hashlib.md5(f"{self.name}:{self.tta_index}:{self.seed}:{self.stage}:{number}".encode()).hexdigest()
+        return low + (high - low) * (int(digest[:DRAW_DIGITS], 16) / 16**DRAW_DIGITS)
 
+    def whole(self, number: int, low: int, high: int) -> int:
+        """From low to high."""
+        return low + int(self.uniform(number) * (high - low + 1))
 
-def view_rng(name: str, tta_index: int, seed: int) -> np.random.Generator:
-    digest = hashlib.md5(f"{name}:{tta_index}:{seed}".encode()).hexdigest()
-    return np.random.default_rng(int(digest[:16], 16))
+
+Stage = Callable[[np.ndarray, Draws], np.ndarray]
 
 
 def decode(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
@@ -65,34 +91,44 @@ class RandomResizedCrop:
     scale: tuple[float, float] = (0.8, 1.0)
     ratio: tuple[float, float] = (3 / 4, 4 / 3)
 
-    def __call__(self, image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    def __call__(self, image: np.ndarray, draws: Draws) -> np.ndarray:
         height, width = image.shape[:2]
-        for _ in range(10):
-            area = height * width * rng.uniform(*self.scale)
-            aspect = np.exp(rng.uniform(*np.log(self.ratio)))
+        for i in range(TRIES):
+            area = height * width * draws.uniform(2 * i, *self.scale)
+            aspect = np.exp(draws.uniform(2 * i + 1, *np.log(self.ratio)))
             h, w = round(float(np.sqrt(area / aspect))), round(float(np.sqrt(area * aspect)))
             if 0 < h <= height and 0 < w <= width:
                 break
         else:
             h = w = min(height, width)
-        top, left = rng.integers(0, height - h + 1), rng.integers(0, width - w + 1)
+        top, left = draws.whole(2 * TRIES, 0, height - h), draws.whole(2 * TRIES + 1, 0, width - w)
         return resize(image[top : top + h, left : left + w], self.size, self.size)
 
 
+@dataclass(frozen=True)
+class Resize:
+    """The whole image at the network's size."""
+
+    size: int
+
+    def __call__(self, image: np.ndarray, draws: Draws) -> np.ndarray:
+        return resize(image, self.size, self.size)
+
+
 @dataclass(frozen=True)
 class FlipHorizontal:
     p: float = 0.5
 
-    def __call__(self, image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        return image[:, ::-1] if rng.random() < self.p else image
+    def __call__(self, image: np.ndarray, draws: Draws) -> np.ndarray:
+        return image[:, ::-1] if draws.uniform(0) < self.p else image
 
 
 @dataclass(frozen=True)
 class FlipVertical:
     p: float = 0.5
 
-    def __call__(self, image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        return image[::-1] if rng.random() < self.p else image
+    def __call__(self, image: np.ndarray, draws: Draws) -> np.ndarray:
+        return image[::-1] if draws.uniform(0) < self.p else image
 
 
 @dataclass(frozen=True)
@@ -101,72 +137,89 @@ class CircularMask:
 
     p: float = 0.5
 
-    def __call__(self, image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        if rng.random() >= self.p:
+    def __call__(self, image: np.ndarray, draws: Draws) -> np.ndarray:
+        if draws.uniform(0) >= self.p:
             return image
         height, width = image.shape[:2]
-        radius = rng.integers(height // 2 - 3, height // 2 + 15, endpoint=True)
+        radius = draws.whole(1, height // 2 - RADIUS_LESS, height // 2 + RADIUS_MORE)
         rows, columns = np.ogrid[:height, :width]
         inside = (rows - height // 2) ** 2 + (columns - width // 2) ** 2 <= radius**2
         return image * inside[:, :, None].astype(image.dtype)
 
 
-def lay_over(image: np.ndarray, piece: np.ndarray, rng: np.random.Generator) -> None:
-    """Draw an overlay into the image, flipped, turned and placed at random; its dark pixels are transparent."""
-    piece = (piece[::-1], piece[:, ::-1], piece[::-1, ::-1])[rng.integers(3)]
-    piece = np.rot90(piece, rng.integers(1, 4))
+#: A view's first number is how many overlays it gets; each has five: which, mirrored, turned, top, left.
+OVERLAY_NUMBERS = 5
+
+
+def lay_over(image: np.ndarray, piece: np.ndarray, draws: Draws, slot: int) -> None:
+    """Draw a view's overlay number ``slot`` into the image, mirrored, turned and placed at random; its dark pixels are transparent."""
+    _, mirrored, turned, top, left = range(OVERLAY_NUMBERS * slot + 1, OVERLAY_NUMBERS * (slot + 1) + 1)
+    piece = (piece[::-1], piece[:, ::-1], piece[::-1, ::-1])[draws.whole(mirrored, 0, 2)]
+    piece = np.rot90(piece, draws.whole(turned, 1, 3))
     height, width = piece.shape[:2]
     if height > image.shape[0] or width > image.shape[1]:
         raise ValueError("an overlay is larger than the image")
-    top = rng.integers(0, image.shape[0] - height + 1)
-    left = rng.integers(0, image.shape[1] - width + 1)
-    shown = piece @ np.array([0.299, 0.587, 0.114]) > 10
+    top = draws.whole(top, 0, image.shape[0] - height)
+    left = draws.whole(left, 0, image.shape[1] - width)
+    shown = piece @ np.array(LUMA) > TRANSPARENT
     image[top : top + height, left : left + width][shown] = piece[shown]
 
 
+@dataclass(frozen=True)
+class Overlays:
+    """Up to ``most`` overlays of a library that ``place_overlays`` will provide."""
+
+    most: int = 5
+
+    def __call__(self, image: np.ndarray, draws: Draws) -> np.ndarray:
+        raise ValueError("the stage has no overlays yet: call place_overlays")
+
+
 @dataclass(frozen=True)
 class Overlay:
-    """Up to ``most`` overlays of a library small enough for every worker to hold."""
+    """Up to ``most`` overlays of a library that every worker holds."""
 
     overlays: Sequence[np.ndarray] = field(repr=False)
     most: int = 5
 
-    def __call__(self, image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    def __call__(self, image: np.ndarray, draws: Draws) -> np.ndarray:
         out = image.copy()
-        for _ in range(rng.integers(0, self.most, endpoint=True) if len(self.overlays) else 0):
-            lay_over(out, self.overlays[rng.integers(len(self.overlays))], rng)
+        for slot in range(draws.whole(0, 0, self.most) if len(self.overlays) else 0):
+            which = draws.whole(OVERLAY_NUMBERS * slot + 1, 0, len(self.overlays) - 1)
+            lay_over(out, self.overlays[which], draws, slot)
         return out
 
 
 @dataclass(frozen=True)
 class AttachedOverlay:
-    """All overlays that ``attach_overlays`` chose for the view."""
+    """The overlays that a join brought to the view, in the order of their slots."""
 
     pieces: Sequence[np.ndarray] = field(default=(), repr=False)
 
-    def __call__(self, image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    def __call__(self, image: np.ndarray, draws: Draws) -> np.ndarray:
         out = image.copy()
-        for piece in self.pieces:
-            lay_over(out, piece, rng)
+        for slot, piece in enumerate(self.pieces):
+            lay_over(out, piece, draws, slot)
         return out
 
 
 @dataclass(frozen=True)
 class Lines:
-    """Up to ``most`` straight black lines from the upper half to anywhere."""
+    """Up to ``most`` straight black lines from the upper half to anywhere; five numbers each."""
 
     most: int = 4
     widths: tuple[int, int] = (1, 2)
 
-    def __call__(self, image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    def __call__(self, image: np.ndarray, draws: Draws) -> np.ndarray:
         out = image.copy()
         height, width = out.shape[:2]
-        for _ in range(rng.integers(0, self.most, endpoint=True)):
-            start = rng.uniform((0, 0), (height / 2, width))
-            end = rng.uniform((0, 0), (height, width))
+        for line in range(draws.whole(0, 0, self.most)):
+            place = [draws.uniform(5 * line + k) for k in range(1, 5)]
+            start = np.array([place[0] * height / 2, place[1] * width])
+            end = np.array([place[2] * height, place[3] * width])
             n = int(np.ceil(np.abs(end - start).max())) + 1
             points = np.rint(np.linspace(start, end, n)).astype(int)
-            for shift in range(rng.integers(*self.widths, endpoint=True)):
+            for shift in range(draws.whole(5 * line + 5, *self.widths)):
                 rows = np.clip(points[:, 0], 0, height - 1)
                 columns = np.clip(points[:, 1] + shift, 0, width - 1)
                 out[rows, columns] = 0
@@ -178,7 +231,7 @@ class Normalize:
     mean: tuple[float, ...] = CHANNEL_MEAN
     std: tuple[float, ...] = CHANNEL_STD
 
-    def __call__(self, image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    def __call__(self, image: np.ndarray, draws: Draws) -> np.ndarray:
         return ((image / 255.0 - np.array(self.mean)) / np.array(self.std)).astype(np.float32)
 
 
@@ -186,180 +239,207 @@ def scoring_stages(size: int) -> list[Stage]:
     return [RandomResizedCrop(size), FlipHorizontal(), FlipVertical(), CircularMask(0.5), Normalize()]
 
 
-def training_stages(size: int, overlays: Sequence[np.ndarray]) -> list[Stage]:
-    return [
-        RandomResizedCrop(size),
-        FlipHorizontal(),
-        FlipVertical(),
-        Overlay(overlays),
-        CircularMask(0.2),
-        Normalize(),
-    ]
+def training_stages(size: int, overlays: Sequence[np.ndarray] | None = None, most: int = 5) -> list[Stage]:
+    """Without overlays at hand the chain asks ``place_overlays`` for them."""
+    overlay = Overlays(most) if overlays is None else Overlay(overlays, most)
+    return [RandomResizedCrop(size), FlipHorizontal(), FlipVertical(), overlay, CircularMask(0.2), Normalize()]
 
 
 def identity_stages(size: int) -> list[Stage]:
     """No randomness: the plain image at the network's size."""
-    return [lambda image, rng: resize(image, size, size), Normalize()]
+    return [Resize(size), Normalize()]
 
 
-def collect_overlays(overlays: DataFrame, limit_bytes: int = OVERLAY_LIMIT_BYTES) -> list[np.ndarray]:
-    """The overlay images on the driver, after a check of their total size."""
-    total = overlays.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).head()[0]
-    if total > limit_bytes:
-        raise ValueError(
-            f"overlays hold {total} bytes, more than the {limit_bytes} every worker may hold; use attach_overlays"
-        )
-    rows = overlays.orderBy(ID).collect()
+def view_name(dataset: str | None, name: str) -> str:
+    return f"{dataset or ''}/{name}"
+
+
+def view_name_column() -> Column:
+    return F.concat(F.coalesce("dataset", F.lit("")), F.lit("/"), F.col(ID))
+
+
+def numbered_overlays(overlays: DataFrame, seed: int) -> DataFrame:
+    """The library with ``number`` from 0 on, in the hashed order of its ids: ids must differ."""
+    rows = hashed_row_numbers(overlays.select(ID, "height", "width", "n_channels", "data"), ID, seed, "number")
+    return rows.withColumn("number", F.col("number") - 1)
+
+
+def collect_overlays(overlays: DataFrame, seed: int = 47) -> list[np.ndarray]:
+    """The overlay images on the driver, by number; for a library of a checked size."""
+    rows = numbered_overlays(overlays, seed).orderBy("number").collect()
     return [decode(r["data"], r["height"], r["width"], r["n_channels"]) for r in rows]
 
 
 def attach_overlays(
-    images: DataFrame, overlays: DataFrame, n_passes: int = 5, most: int = 5, seed: int = 47
+    images: DataFrame, overlays: DataFrame, size: int, stage: int, most: int, n_passes: int, seed: int
 ) -> DataFrame:
-    """Images with the overlays of their views, for a library too large to give to every worker.
+    """Images with the overlays of their views in a column ``overlays``.
 
-    Every view draws its overlays by hash and meets them in a join on their number;
-    an image carries at most ``n_passes * most``. Use with the stage ``AttachedOverlay``.
+    Views draw their overlays as columns, from names alone. They meet the library on the overlay's number and a salt, so
+    that a library of a few large overlays still spreads over all tasks; then the pieces of an image, at most
+    ``n_passes * most``, join its pixels.
     """
-    library = hashed_row_numbers(overlays.select(ID, "height", "width", "n_channels", "data"), ID, seed, "_number")
-    size = overlays.count()
-    if size == 0:
-        raise ValueError("no overlay given")
+    salts = max(1, -(-4 * images.sparkSession.sparkContext.defaultParallelism // size))
 
-    def draw(*parts: str) -> Column:
-        return F.xxhash64(*parts, F.lit(seed))
+    def draw(number: Column | int) -> Column:
+        return keyed_uniform("_view", "tta_index", seed, stage, number)
 
-    views = images.select("dataset", ID, F.explode(F.sequence(F.lit(0), F.lit(n_passes - 1))).alias("tta_index"))
-    amount = F.pmod(draw("dataset", ID, "tta_index"), F.lit(most + 1)).cast("int")
-    slots = views.select("*", F.explode(F.when(amount > 0, F.sequence(F.lit(1), amount))).alias("slot"))
-    numbered = slots.withColumn("_number", F.pmod(draw("dataset", ID, "tta_index", "slot"), F.lit(size)) + 1)
-    chosen = numbered.join(library.drop(ID), "_number")
+    views = images.select(
+        "dataset", ID, view_name_column().alias("_view"), F.explode(F.sequence(F.lit(0), F.lit(n_passes - 1))).alias("tta_index")
+    )
+    amount = F.floor(draw(0) * (most + 1)).cast("int")
+    slots = views.select("*", F.explode(F.when(amount > 0, F.sequence(F.lit(0), amount - 1))).alias("slot"))
+    number = F.floor(draw(F.col("slot") * OVERLAY_NUMBERS + 1) * size).cast("long")
+    salt = F.pmod(F.xxhash64("_view", "tta_index", "slot"), F.lit(salts)).cast("int")
+    chosen = slots.withColumns({"number": number, "_salt": salt})
+    library = numbered_overlays(overlays, seed).drop(ID)
+    library = library.withColumns({"number": F.col("number").cast("long"), "_salt": F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))})
     piece = F.struct("tta_index", "slot", "height", "width", "n_channels", "data")
+    found = chosen.join(library, ["number", "_salt"]).groupBy("dataset", ID).agg(F.collect_list(piece).alias("overlays"))
+    attached, _ = pack_group(found, ("dataset", ID))
     packed, keys = pack_group(images, ("dataset", ID))
-    collected = chosen.groupBy("dataset", ID).agg(F.collect_list(piece).alias("overlays"))
-    attached, _ = pack_group(collected, ("dataset", ID))
     return packed.join(attached.select(*keys, "overlays"), keys, "left").drop(*keys)
 
 
-def _pieces(row, tta_index: int) -> tuple[np.ndarray, ...]:
-    found = getattr(row, "overlays", None)
-    mine = sorted((o for o in (() if found is None else found) if o["tta_index"] == tta_index), key=lambda o: o["slot"])
-    return tuple(decode(o["data"], o["height"], o["width"], o["n_channels"]) for o in mine)
+def place_overlays(
+    images: DataFrame,
+    overlays: DataFrame,
+    stages: Sequence[Stage],
+    n_passes: int = 5,
+    seed: int = 47,
+    limit_bytes: int = OVERLAY_LIMIT_BYTES,
+) -> tuple[DataFrame, list[Stage]]:
+    """Images and stages with the library at hand for the chain's ``Overlays`` stage; the views are the same either way.
+
+    A library within ``limit_bytes`` goes to every worker, a larger one is joined view by view.
+    """
+    places = [i for i, s in enumerate(stages) if isinstance(s, Overlays)]
+    if len(places) != 1:
+        raise ValueError("the chain must have one Overlays stage")
+    stage, stages = places[0], list(stages)
+    size, total = overlays.agg(F.count("*"), F.coalesce(F.sum(F.length("data")), F.lit(0))).head()
+    most = stages[stage].most
+    if size == 0:
+        raise ValueError("no overlay given")
+    if total <= limit_bytes:
+        stages[stage] = Overlay(collect_overlays(overlays, seed), most)
+        return images, stages
+    stages[stage] = AttachedOverlay()
+    return attach_overlays(images, overlays, size, stage, most, n_passes, seed), stages
+
 
+@dataclass(frozen=True)
+class Picture:
+    """A decoded row of an image table."""
 
-def _view(image: np.ndarray, row, tta_index: int, stages: Sequence[Stage], seed: int) -> np.ndarray:
-    rng = view_rng(_name(row), tta_index, seed)
-    for stage in stages:
-        if isinstance(stage, AttachedOverlay):
-            stage = AttachedOverlay(_pieces(row, tta_index))
-        image = stage(image, rng)
-    return image
+    dataset: str | None
+    name: str
+    image: np.ndarray
+    overlays: Sequence[dict] = ()
 
+    def view(self, tta_index: int, stages: Sequence[Stage], seed: int) -> np.ndarray:
+        image, name = self.image, view_name(self.dataset, self.name)
+        for i, stage in enumerate(stages):
+            if isinstance(stage, AttachedOverlay):
+                stage = AttachedOverlay(self._pieces(tta_index))
+            image = stage(image, Draws(name, tta_index, seed, i))
+        return image
 
-def _pixel_columns(images: DataFrame) -> list[str]:
+    def _pieces(self, tta_index: int) -> tuple[np.ndarray, ...]:
+        mine = sorted((o for o in self.overlays if o["tta_index"] == tta_index), key=lambda o: o["slot"])
+        return tuple(decode(o["data"], o["height"], o["width"], o["n_channels"]) for o in mine)
+
+
+def pixel_columns(images: DataFrame) -> list[str]:
     attached = ["overlays"] if "overlays" in images.columns else []
     return ["dataset", ID, "height", "width", "n_channels", "data", *attached]
 
 
-def _name(row) -> str:
-    return f"{row.dataset or ''}/{getattr(row, ID)}"
+def pictures(batch: pa.RecordBatch) -> Iterator[Picture]:
+    """The rows of a batch, decoded one at a time."""
+    columns = [batch.column(c).to_pylist() for c in ("dataset", ID, "height", "width", "n_channels")]
+    data = batch.column("data")
+    overlays = batch.column("overlays") if "overlays" in batch.schema.names else None
+    for i, (dataset, name, *shape) in enumerate(zip(*columns, strict=True)):
+        pieces = overlays[i].as_py() or () if overlays is not None else ()
+        yield Picture(dataset, name, decode(data[i].as_buffer(), *shape), pieces)
+
+
+def list_column(rows: Sequence[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    """Flat arrays, one per row, as an Arrow list column."""
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype("i4")
+    flat = np.concatenate(rows) if len(rows) else np.empty(0)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(kind.to_pandas_dtype())))
 
 
 def image_views(images: DataFrame, stages: Sequence[Stage], n_passes: int = 5, seed: int = 47) -> DataFrame:
     """One row per (image, pass) with the view's pixels, row by row, channels interleaved."""
     stages = list(stages)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(held: list[tuple[Picture, int, np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([p.dataset for p, _, _ in held], pa.string()),
+                pa.array([p.name for p, _, _ in held], pa.string()),
+                pa.array([i for _, i, _ in held], pa.int32()),
+                pa.array([v.shape[0] for _, _, v in held], pa.int32()),
+                pa.array([v.shape[1] for _, _, v in held], pa.int32()),
+                list_column([v.astype(np.float32).reshape(-1) for _, _, v in held], pa.float32()),
+            ],
+            names=["dataset", ID, "tta_index", "height", "width", "pixels"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                image = decode(row.data, row.height, row.width, row.n_channels)
-                views = [_view(image, row, i, stages, seed) for i in range(n_passes)]
-                yield pd.DataFrame(
-                    {
-                        "dataset": [row.dataset] * n_passes,
-                        ID: [getattr(row, ID)] * n_passes,
-                        "tta_index": range(n_passes),
-                        "height": [v.shape[0] for v in views],
-                        "width": [v.shape[1] for v in views],
-                        "pixels": [v.astype(np.float32).reshape(-1) for v in views],
-                    }
-                )
+            held, size = [], 0
+            for picture in pictures(batch):
+                views = [(picture, i, picture.view(i, stages, seed)) for i in range(n_passes)]
+                held, size = held + views, size + sum(4 * v.size for _, _, v in views)
+                if size >= OUT_BYTES:
+                    yield packed(held)
+                    held, size = [], 0
+            if held:
+                yield packed(held)
 
     schema = f"dataset string, {ID} string, tta_index int, height int, width int, pixels array<float>"
-    return images.select(*_pixel_columns(images)).mapInPandas(run, schema)
-
-
-# () -> ((images, meta rows or None) -> (scores, features or None)); the outer call loads the model.
-MakeImagePredict = Callable[
-    [], Callable[[np.ndarray, np.ndarray | None], tuple[np.ndarray, np.ndarray | None]]
-]
+    return images.select(*pixel_columns(images)).mapInArrow(run, schema)
 
 
-def score_image_views(
-    images: DataFrame,
-    stages: Sequence[Stage],
-    make_predict: MakeImagePredict,
-    n_passes: int = 5,
-    seed: int = 47,
-    meta: str | None = None,
-    batch_size: int = 16,
-) -> DataFrame:
-    """(dataset, id, tta_index, p, features): views are made and scored in one task and never leave it.
-
-    ``meta`` names an array column of row features to hand to the predictor.
-    """
-    stages = list(stages)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = make_predict()
-        for batch in batches:
-            for start in range(0, len(batch), batch_size):
-                part = batch.iloc[start : start + batch_size]
-                rows = list(part.itertuples(index=False))
-                decoded = [decode(r.data, r.height, r.width, r.n_channels) for r in rows]
-                extra = np.stack([np.asarray(m, dtype=np.float32) for m in part[meta]]) if meta else None
-                for i in range(n_passes):
-                    views = np.stack([_view(d, r, i, stages, seed) for d, r in zip(decoded, rows)])
-                    scores, features = predict(views, extra)
-                    yield pd.DataFrame(
-                        {
-                            "dataset": part["dataset"].to_numpy(),
-                            ID: part[ID].to_numpy(),
-                            "tta_index": i,
-                            "p": np.asarray(scores, dtype=np.float64).reshape(-1),
-                            "features": [None] * len(rows)
-                            if features is None
-                            else [f.astype(np.float32) for f in features],
-                        }
-                    )
-
-    columns = _pixel_columns(images) + ([meta] if meta else [])
-    schema = f"dataset string, {ID} string, tta_index int, p double, features array<float>"
-    return images.select(*columns).mapInPandas(run, schema)
-
-
-def _dct_matrix() -> np.ndarray:
+def block_transform() -> np.ndarray:
+    """The cosine transform of a block as one matrix on its 64 pixels."""
     u, x = np.mgrid[:BLOCK, :BLOCK]
     basis = np.cos((2 * x + 1) * u * np.pi / (2 * BLOCK)) * np.sqrt(2 / BLOCK)
     basis[0] /= np.sqrt(2)
-    return basis
+    return np.kron(basis, basis)
 
 
 def to_ycbcr(image: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Luma and chroma planes, shifted to be centred on zero."""
     r, g, b = (image[:, :, i].astype(np.float64) for i in range(3))
-    y = 0.299 * r + 0.587 * g + 0.114 * b
+    y = LUMA[0] * r + LUMA[1] * g + LUMA[2] * b
     return y - 128, (b - y) / 1.772, (r - y) / 1.402
 
 
-def block_coefficients(plane: np.ndarray) -> np.ndarray:
-    """(block rows, block columns, 64) cosine coefficients; ragged edges repeat the last pixel."""
+def to_blocks(plane: np.ndarray) -> np.ndarray:
+    """(block rows, block columns, 64) pixels; ragged edges repeat the last pixel."""
     height, width = plane.shape
     padded = np.pad(plane, ((0, -height % BLOCK), (0, -width % BLOCK)), mode="edge")
     rows, columns = padded.shape[0] // BLOCK, padded.shape[1] // BLOCK
-    blocks = padded.reshape(rows, BLOCK, columns, BLOCK).swapaxes(1, 2)
-    matrix = _dct_matrix()
-    return (matrix @ blocks @ matrix.T).reshape(rows, columns, BLOCK * BLOCK)
+    return padded.reshape(rows, BLOCK, columns, BLOCK).swapaxes(1, 2).reshape(rows, columns, BLOCK * BLOCK)
+
+
+def plane_coefficients(planes: Sequence[np.ndarray], kept: Sequence[int] | None = None) -> list[np.ndarray]:
+    """(block rows, block columns, kept) coefficients of each plane, by one matrix product for all blocks of all planes."""
+    transform = block_transform() if kept is None else block_transform()[list(kept)]
+    blocks = [to_blocks(p) for p in planes]
+    flat = np.concatenate([b.reshape(-1, BLOCK * BLOCK) for b in blocks]) @ transform.T
+    ends = np.cumsum([b.shape[0] * b.shape[1] for b in blocks])[:-1]
+    return [f.reshape(*b.shape[:2], len(transform)) for f, b in zip(np.split(flat, ends), blocks, strict=True)]
+
+
+def block_coefficients(plane: np.ndarray) -> np.ndarray:
+    """(block rows, block columns, 64) coefficients of one plane."""
+    return plane_coefficients([plane])[0]
 
 
 def halve(plane: np.ndarray) -> np.ndarray:
@@ -368,50 +448,78 @@ def halve(plane: np.ndarray) -> np.ndarray:
     return padded.reshape(padded.shape[0] // 2, 2, padded.shape[1] // 2, 2).mean(axis=(1, 3))
 
 
-def _components(row, half_chroma: bool) -> list[np.ndarray]:
-    y, cb, cr = to_ycbcr(decode(row.data, row.height, row.width, row.n_channels))
-    if half_chroma:
-        cb, cr = halve(cb), halve(cr)
-    return [block_coefficients(plane) for plane in (y, cb, cr)]
+def _planes(image: np.ndarray, half_chroma: bool) -> list[np.ndarray]:
+    y, cb, cr = to_ycbcr(image)
+    return [y, halve(cb), halve(cr)] if half_chroma else [y, cb, cr]
+
+
+def _component_slices(batch: pa.RecordBatch, half_chroma: bool, kept: Sequence[int] | None) -> Iterator[tuple[list[Picture], list[np.ndarray]]]:
+    """Pictures and their three components' coefficients on end, by stretches of about OUT_BYTES of planes."""
+    held, planes = [], []
+    for picture in pictures(batch):
+        held.append(picture)
+        planes += _planes(picture.image, half_chroma)
+        if sum(p.nbytes for p in planes) >= OUT_BYTES:
+            yield held, plane_coefficients(planes, kept)
+            held, planes = [], []
+    if held:
+        yield held, plane_coefficients(planes, kept)
 
 
 def image_coefficients(images: DataFrame, half_chroma: bool = False) -> DataFrame:
     """All 64 coefficients of every block, per component, with the block grid's shape."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks_column(parts: Sequence[np.ndarray]) -> pa.ListArray:
+        n = [p.shape[0] * p.shape[1] for p in parts]
+        inner = pa.ListArray.from_arrays(
+            pa.array(np.arange(sum(n) + 1, dtype="i4") * BLOCK * BLOCK), pa.array(np.concatenate([p.reshape(-1) for p in parts]))
+        )
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype("i4")), inner)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                parts = _components(row, half_chroma)
-                luma, chroma = parts[0].shape, parts[1].shape
-                blocks = [list(p.reshape(-1, BLOCK * BLOCK)) for p in parts]
-                yield pd.DataFrame(
-                    [(row.dataset, getattr(row, ID), luma[0], luma[1], chroma[0], chroma[1], *blocks)],
-                    columns=["dataset", ID, "luma_rows", "luma_columns", "chroma_rows", "chroma_columns", "y", "cb", "cr"],
+            for held, parts in _component_slices(batch, half_chroma, None):
+                y, cb, cr = parts[::3], parts[1::3], parts[2::3]
+                sizes = [[p.shape[i] for p in c] for c in (y, cb) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([p.dataset for p in held], pa.string()),
+                        pa.array([p.name for p in held], pa.string()),
+                        *[pa.array(s, pa.int32()) for s in sizes],
+                        *[blocks_column(c) for c in (y, cb, cr)],
+                    ],
+                    names=["dataset", ID, "luma_rows", "luma_columns", "chroma_rows", "chroma_columns", "y", "cb", "cr"],
                 )
 
     schema = (
         f"dataset string, {ID} string, luma_rows int, luma_columns int, chroma_rows int, chroma_columns int, "
         "y array<array<double>>, cb array<array<double>>, cr array<array<double>>"
     )
-    return images.select("dataset", ID, "height", "width", "n_channels", "data").mapInPandas(run, schema)
+    return images.select("dataset", ID, "height", "width", "n_channels", "data").mapInArrow(run, schema)
 
 
 def coefficient_features(images: DataFrame, k: int = 8, half_chroma: bool = False) -> DataFrame:
     """(dataset, id, features): the first k coefficients per block, luma then thinned chroma.
 
-    Selection happens next to the transform, so 64 - k of 64 numbers never leave the worker.
+    Only the rows of the transform that are kept take part in the product, so 64 - k of 64 numbers are never made.
     """
     kept = zigzag_order()[:k]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            features = []
-            for row in batch.itertuples(index=False):
-                y, cb, cr = _components(row, half_chroma)
-                step = max(1, 2 * cb.shape[0] // y.shape[0])
-                parts = [y[:, :, kept], cb[::step, ::step, kept], cr[::step, ::step, kept]]
-                features.append(np.concatenate([p.reshape(-1) for p in parts]))
-            yield pd.DataFrame({"dataset": batch["dataset"], ID: batch[ID], "features": features})
+            for held, parts in _component_slices(batch, half_chroma, kept):
+                features = []
+                for y, cb, cr in zip(parts[::3], parts[1::3], parts[2::3], strict=True):
+                    step = max(1, 2 * cb.shape[0] // y.shape[0])
+                    features.append(np.concatenate([p.reshape(-1) for p in (y, cb[::step, ::step], cr[::step, ::step])]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([p.dataset for p in held], pa.string()),
+                        pa.array([p.name for p in held], pa.string()),
+                        list_column(features, pa.float64()),
+                    ],
+                    names=["dataset", ID, "features"],
+                )
 
     schema = f"dataset string, {ID} string, features array<double>"
-    return images.select("dataset", ID, "height", "width", "n_channels", "data").mapInPandas(run, schema)
+    return images.select("dataset", ID, "height", "width", "n_channels", "data").mapInArrow(run, schema)

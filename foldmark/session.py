@@ -41,13 +41,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own in the checkpoint folder, for what a job writes and reads again."""
+    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the table to the checkpoint folder and go on from there: for tables several branches read.
 
     A written table is computed once and read by column; ``checkpoint()`` would
     compute the last stage twice and keep rows.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

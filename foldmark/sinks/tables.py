@@ -43,8 +43,12 @@ def write_scored(scores: DataFrame, metric: DataFrame, path: str, name: str = "c
     return target
 
 
-def write_features(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_features(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
+    """Features of scored rows, an array of passes each, in folders by ``partitions``, say (model, fold).
+
+    Rows of one folder leave every task that has some; a table scored in many small tasks wants fewer of them first.
+    """
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
 def write_index(index: DataFrame, path: str) -> None:

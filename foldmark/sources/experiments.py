@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from foldmark.schemas import EXPERIMENT_INDEX
 
+#: Models that a scoring job hands to every worker, all folds together.
+MODEL_LIMIT_BYTES = 2 << 30
+
 # Fixed value: the prefix of a fold model's file name, fold index then fold count.
 FOLD_FILE = r"^fold_(\d+)_(\d+).*"
 
@@ -20,6 +23,23 @@ def list_model_files(spark: SparkSession, root: str, glob: str = "*") -> DataFra
     return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length")
 
 
+def read_model_files(spark: SparkSession, root: str, files: Sequence[str], limit_bytes: int = MODEL_LIMIT_BYTES) -> dict[str, bytes]:
+    """The content of model files by name, through Spark, so that any store it reads will do.
+
+    Their total size is checked before any of them is read; a missing file is an error.
+    """
+    found = spark.read.format("binaryFile").load(root).withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1))
+    found = found.where(F.col("file").isin(*files))
+    total = found.agg(F.coalesce(F.sum("length"), F.lit(0))).head()[0]
+    if total > limit_bytes:
+        raise ValueError(f"the models hold {total} bytes, more than the {limit_bytes} every worker may hold; load them by path")
+    content = {r["file"]: bytes(r["content"]) for r in found.select("file", "content").collect()}
+    missing = sorted(set(files) - set(content))
+    if missing:
+        raise ValueError(f"no model file {missing[0]} under {root}")
+    return content
+
+
 def list_saved_models(spark: SparkSession, root: str) -> DataFrame:
     """(file, length) of the Spark model folders under a root, found by their metadata files."""
     found = spark.read.format("binaryFile").load(f"{root}/*/metadata")

@@ -78,3 +78,8 @@ def join_samples(samples: DataFrame, images: DataFrame, keys=("dataset", ID)) ->
     """
     shared = [c for c in images.columns if c in samples.columns and c not in keys]
     return join_all(samples, images.drop(*shared), keys, "no image for sample")
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_features`` wrote, with the folders' names as columns: a filter on them reads only its folders."""
+    return spark.read.parquet(path)

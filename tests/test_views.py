@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldmark.functions import arrays
-from foldmark.plans import scoring, views
+from foldmark.plans import image_scoring, scoring, views
 from foldmark.schemas import ID
 from foldmark.sources.images import read_images
 from tests.images import png
@@ -62,7 +62,7 @@ def test_scoring_in_place_equals_scoring_the_views(spark, pictures):
 
     df = pictures[1].withColumn("meta", F.array(F.length(ID).cast("float"), F.lit(0.0).cast("float")))
     stages = views.scoring_stages(SIZE)
-    scored = views.score_image_views(df, stages, make, 4, meta="meta", batch_size=2)
+    scored = image_scoring.score_image_views(df, stages, make, 4, meta="meta", batch_size=2)
     pixels = _collect(views.image_views(df, stages, 4))
     rows = scored.collect()
     assert len(rows) == 20
@@ -74,8 +74,8 @@ def test_scoring_in_place_equals_scoring_the_views(spark, pictures):
     assert means["img2"] == pytest.approx(np.mean([r.p for r in rows if r[ID] == "img2"]))
 
 
-def rng():
-    return np.random.default_rng(4)
+def rng(seed=4):
+    return views.Draws("img", 0, seed)
 
 
 def test_crop_stays_inside_and_keeps_flat_images():
@@ -96,7 +96,7 @@ def test_flips():
 
 def test_circular_mask_keeps_the_circle():
     image = np.full((64, 64, 3), 9, dtype=np.uint8)
-    out = views.CircularMask(1.0)(image, np.random.default_rng(1))
+    out = views.CircularMask(1.0)(image, rng(1))
     assert out[32, 32, 0] == 9 and set(np.unique(out)) <= {0, 9}
     kept = int(out[32, :, 0].astype(bool).sum())
     assert 2 * 29 <= kept <= 64
@@ -105,48 +105,86 @@ def test_circular_mask_keeps_the_circle():
 
 def test_overlay_and_lines_touch_only_their_pixels():
     image = np.full((40, 40, 3), 60, dtype=np.uint8)
-    out = views.Overlay(overlays(), most=1)(image, np.random.default_rng(0))
+    out = views.Overlay(overlays(), most=1)(image, rng(0))
     for seed in range(20):
-        out = views.Overlay(overlays(), most=1)(image, np.random.default_rng(seed))
+        out = views.Overlay(overlays(), most=1)(image, rng(seed))
         changed = (out != image).all(axis=2).sum()
         assert changed in (0, 7) and set(np.unique(out)) <= {60, 220}
     np.testing.assert_array_equal(views.Overlay([])(image, rng()), image)
     with pytest.raises(ValueError):
         for seed in range(20):
-            views.Overlay([np.full((50, 50, 3), 255, dtype=np.uint8)])(image, np.random.default_rng(seed))
-    drawn = [views.Lines()(image, np.random.default_rng(seed)) for seed in range(10)]
+            views.Overlay([np.full((50, 50, 3), 255, dtype=np.uint8)])(image, rng(seed))
+    drawn = [views.Lines()(image, rng(seed)) for seed in range(10)]
     assert any((d == 0).any() for d in drawn) and all(set(np.unique(d)) <= {0, 60} for d in drawn)
 
 
-def test_overlay_library_is_size_checked(spark, pictures):
-    assert len(views.collect_overlays(pictures[1])) == 5
-    with pytest.raises(ValueError, match="bytes"):
-        views.collect_overlays(pictures[1], limit_bytes=100)
-
-
-def test_large_overlay_library_is_joined(spark, pictures):
-    stored, df = pictures
+def library(spark, n=4):
     stroke = overlays()[0]
-    library = spark.createDataFrame(
-        [(f"o{i}", 3, 7, 3, bytearray((stroke // (i + 1)).tobytes())) for i in range(4)],
+    return spark.createDataFrame(
+        [(f"o{i}", 3, 7, 3, bytearray((stroke // (i + 1)).tobytes())) for i in range(n)],
         f"{ID} string, height int, width int, n_channels int, data binary",
     )
-    attached = views.attach_overlays(df, library, 3, most=2)
-    assert attached.count() == 5
-    assert attached.agg(F.max(F.size("overlays"))).head()[0] <= 6
-    got = _collect(views.image_views(attached, [views.AttachedOverlay()], 3))
-    again = _collect(views.image_views(views.attach_overlays(df.repartition(3), library, 3, most=2), [views.AttachedOverlay()], 3))
-    drawn = {(r[ID], o.tta_index): 0 for r in attached.collect() for o in r.overlays or []}
-    for key, view in got.items():
-        np.testing.assert_array_equal(view, again[key])
-        assert np.array_equal(view, stored[key[0]]) == (key not in drawn)
-    scored = views.score_image_views(attached, [views.AttachedOverlay()], _mean, 3, batch_size=1)
-    for r in scored.collect():
-        assert r.p == pytest.approx(got[r[ID], r.tta_index].mean())
-    single = attached.withColumn("dataset", F.lit(None).cast("string")).drop("overlays")
-    assert views.attach_overlays(single, library, 3, most=2).where("overlays is not null").count() > 0
-    with pytest.raises(ValueError):
-        views.attach_overlays(df, library.limit(0))
+
+
+def test_draws_are_the_same_as_a_column(spark):
+    rows = [(f"d/img{i}", t) for i in range(5) for t in range(3)]
+    df = spark.createDataFrame(rows, "name string, tta_index int")
+    for stage, number in ((0, 0), (3, 21)):
+        got = df.select("*", arrays.keyed_uniform("name", "tta_index", 47, stage, number).alias("u")).collect()
+        assert all(r.u == views.Draws(r.name, r.tta_index, 47, stage).uniform(number) for r in got)
+    many = np.array([views.Draws(f"d/img{i}", 0, 47).uniform(0) for i in range(4000)])
+    assert 0 <= many.min() and many.max() < 1 and abs(many.mean() - 0.5) < 0.02
+    whole = [views.Draws(f"d/img{i}", 0, 47).whole(0, 2, 5) for i in range(4000)]
+    assert set(whole) == {2, 3, 4, 5} and min(np.bincount(whole)[2:]) > 850
+
+
+def test_overlays_by_join_equal_overlays_in_every_worker(spark, pictures):
+    stored, df = pictures
+    chain = [views.FlipHorizontal(), views.Overlays(2), views.CircularMask(0.3)]
+    near, with_pieces = views.place_overlays(df, library(spark), chain, 3)
+    far, joined = views.place_overlays(df.repartition(3), library(spark), chain, 3, limit_bytes=10)
+    assert "overlays" in far.columns and "overlays" not in near.columns
+    one, two = (_collect(views.image_views(i, s, 3)) for i, s in ((near, with_pieces), (far, joined)))
+    assert len(one) == 15 and set(one) == set(two)
+    for key in one:
+        np.testing.assert_array_equal(one[key], two[key])
+    only = _collect(views.image_views(df, [views.Overlay(views.collect_overlays(library(spark)), 2)], 3))
+    touched = sum(not np.array_equal(v, stored[k[0]]) for k, v in only.items())
+    assert 0 < touched < 15
+    unnamed, stages = views.place_overlays(df.withColumn("dataset", F.lit(None).cast("string")), library(spark), chain, 3, limit_bytes=10)
+    assert unnamed.where("overlays is not null").count() > 0 and len(_collect(views.image_views(unnamed, stages, 3))) == 15
+    with pytest.raises(ValueError, match="no overlay"):
+        views.place_overlays(df, library(spark).limit(0), chain, 3)
+    with pytest.raises(ValueError, match="one Overlays stage"):
+        views.place_overlays(df, library(spark), [views.Normalize()], 3)
+    with pytest.raises(Exception, match="place_overlays"):
+        views.image_views(df, chain, 1).collect()
+
+
+def test_one_overlay_spreads_over_all_tasks(spark):
+    names = spark.range(2000).select(F.lit("d").alias("dataset"), F.concat(F.lit("img"), "id").alias(ID))
+    images = names.selectExpr("*", "1 height", "1 width", "1 n_channels", "unhex('00') data")
+    far, _ = views.place_overlays(images, library(spark, 1), [views.Overlays(5)], 5, limit_bytes=1)
+    pieces = far.selectExpr("dataset", ID, "explode(overlays) o").count()
+    assert 20000 < pieces < 30000
+    salts = 4 * spark.sparkContext.defaultParallelism
+    salt = F.pmod(F.xxhash64(F.concat(F.lit("d/img"), "id"), F.col("t"), F.col("s")), F.lit(salts))
+    slots = spark.range(2000).select("id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("t")).select("*", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("s"))
+    sizes = [r["count"] for r in slots.groupBy(salt.alias("salt")).count().collect()]
+    assert len(sizes) == salts and max(sizes) < 2 * sum(sizes) / salts
+
+
+def test_batches_stay_batches(spark, pictures):
+    """A batch of images leaves the worker as one batch of features, and a batch of views is bounded by its bytes."""
+    stored, df = pictures
+    one = views.coefficient_features(df.coalesce(1), 8).withColumn("part", F.spark_partition_id())
+    assert one.count() == 5 and one.select("part").distinct().count() == 1
+    planes = [views.to_ycbcr(im)[0] for im in stored.values()]
+    together = views.plane_coefficients(planes)
+    for plane, found in zip(planes, together):
+        np.testing.assert_allclose(found, views.block_coefficients(plane), atol=1e-9)
+    kept = arrays.zigzag_order()[:8]
+    np.testing.assert_allclose(views.plane_coefficients(planes, kept)[1], together[1][:, :, kept], atol=1e-9)
 
 
 def _mean():
