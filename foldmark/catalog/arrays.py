@@ -139,22 +139,33 @@ FROM embeddings, range({N_PASSES}) passes(tta_index), range({SIDE * SIDE}) cells
 """
 
 
-@query(
-    "feature_stack",
-    with_tables(
-        "SELECT vec_id, tta_index::INTEGER AS tta_index, pos::INTEGER AS pos, value + 0.0 AS value FROM flipped",
-        flipped=_FLIPPED_SQL,
-    ),
+_STACK_SQL = with_tables(
+    "SELECT vec_id, tta_index::INTEGER AS tta_index, pos::INTEGER AS pos, value + 0.0 AS value FROM flipped",
+    flipped=_FLIPPED_SQL,
 )
+
+
+@query("feature_stack", _STACK_SQL)
 def feature_stack(spark, sf):
+    """The passes stay in their row."""
+    rows = vectors(spark, sf)
+    return _stack_cells(rows.select("vec_id", scoring.views_in_row(rows, N_PASSES, flipped, "vec_id", "embedding").alias("features")))
+
+
+def _stack_cells(stacked: DataFrame) -> DataFrame:
+    per_pass = stacked.select("vec_id", F.posexplode("features").alias("tta_index", "row"))
+    cells = per_pass.select("vec_id", "tta_index", F.posexplode("row").alias("pos", "value"))
+    return cells.withColumn("value", F.col("value").cast("double") + F.lit(0.0))
+
+
+@query("feature_stack_rows", _STACK_SQL)
+def feature_stack_rows(spark, sf):
+    """The passes come as rows, as from files."""
     passes = vectors(spark, sf).withColumn("tta_index", F.explode(F.sequence(F.lit(0), F.lit(N_PASSES - 1))))
     viewed = passes.select(
         "vec_id", "tta_index", flipped(F.col("embedding"), F.col("vec_id"), F.col("tta_index")).alias("features")
     )
-    stacked = stack_features(viewed, N_PASSES, "vec_id")
-    per_pass = stacked.select("vec_id", F.posexplode("features").alias("tta_index", "row"))
-    cells = per_pass.select("vec_id", "tta_index", F.posexplode("row").alias("pos", "value"))
-    return cells.withColumn("value", F.col("value").cast("double") + F.lit(0.0))
+    return _stack_cells(stack_features(viewed, N_PASSES, "vec_id"))
 
 
 WEIGHTS = [(i * 37 % 64 - 31.5) / 64 for i in range(64)]
@@ -225,19 +236,27 @@ def score_own_fold(spark, sf):
     return scored.select("vec_id", "val_index", r6(F.col("p")).alias("p"))
 
 
-@query(
-    "tta_score",
-    with_tables(
-        f"""
-        SELECT vec_id, round(avg(p), 6) AS p
-        FROM (SELECT vec_id, tta_index, 1 / (1 + exp(-sum(value * {_WEIGHT_SQL}))) AS p
-              FROM flipped GROUP BY vec_id, tta_index)
-        GROUP BY vec_id
-        """,
-        flipped=_FLIPPED_SQL,
-    ),
+_TTA_SQL = with_tables(
+    f"""
+    SELECT vec_id, round(avg(p), 6) AS p
+    FROM (SELECT vec_id, tta_index, 1 / (1 + exp(-sum(value * {_WEIGHT_SQL}))) AS p
+          FROM flipped GROUP BY vec_id, tta_index)
+    GROUP BY vec_id
+    """,
+    flipped=_FLIPPED_SQL,
 )
+
+
+@query("tta_score", _TTA_SQL)
 def tta_score(spark, sf):
+    """Views made, scored and averaged within the row."""
+    means = scoring.score_views_in_row(vectors(spark, sf), N_PASSES, flipped, linear_predictor(1.0), "vec_id", "embedding")
+    return means.select("vec_id", r6(F.col("p")).alias("p"))
+
+
+@query("tta_score_rows", _TTA_SQL)
+def tta_score_rows(spark, sf):
+    """A row per view, averaged by id."""
     scorer = scoring.batch_scorer(linear_predictor(1.0), 64)
     scored = scoring.score_views(vectors(spark, sf), N_PASSES, flipped, scorer, "vec_id", "embedding")
     means = scoring.mean_score(scored, "vec_id")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,6 +118,51 @@ def score_views(
     return scored.select(key, "tta_index", F.col("_scored.score").alias("p"), "_scored.features")
 
 
+def views_in_row(
+    df: DataFrame, n_passes: int, view: Callable[[Column, Column, Column], Column], key: str = ID, features: str = "features"
+) -> Column:
+    """All views of a row's feature array as ``array<array>`` in the order of passes: nothing is exploded or shuffled."""
+    passes = F.sequence(F.lit(0), F.lit(n_passes - 1))
+    return F.transform(passes, lambda i: view(F.col(features), F.col(key), i))
+
+
+def score_views_in_row(
+    df: DataFrame,
+    n_passes: int,
+    view: Callable[[Column, Column, Column], Column],
+    make_predict: MakePredict,
+    key: str = ID,
+    features: str = "features",
+    batch_size: int = 256,
+) -> DataFrame:
+    """(id, p, features): the mean score over views, and ``array<array<float>>`` of what the passes produced, or null.
+
+    The passes of a row are made, scored and averaged in one task; ``score_views`` with ``mean_score`` is for passes
+    that come as rows.
+    """
+    rows = df.select(key, views_in_row(df, n_passes, view, key, features).alias("_views"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = make_predict()
+        for batch in batches:
+            for start in range(0, batch.num_rows, batch_size):
+                part = batch.slice(start, batch_size)
+                values = pc.list_flatten(pc.list_flatten(part.column("_views"))).to_numpy(zero_copy_only=False)
+                scores, found = predict(values.reshape(part.num_rows * n_passes, -1))
+                means = np.asarray(scores, dtype=np.float64).reshape(-1, n_passes).mean(axis=1)
+                stack = pa.nulls(part.num_rows, pa.list_(pa.list_(pa.float32())))
+                if found is not None:
+                    flat = np.asarray(found, dtype=np.float32).reshape(part.num_rows * n_passes, -1)
+                    inner = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype="i4") * flat.shape[1]), pa.array(flat.reshape(-1)))
+                    stack = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype="i4") * n_passes), inner)
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(means), stack], names=[key, "p", "features"])
+
+    schema = T.StructType(
+        [df.schema[key], T.StructField("p", T.DoubleType()), T.StructField("features", T.ArrayType(T.ArrayType(T.FloatType())))]
+    )
+    return rows.mapInArrow(run, schema)
+
+
 def mean_score(views: DataFrame, key: str | Sequence[str] | None = None) -> DataFrame:
     """Mean over passes of one model; the passes of an id leave one task, so they combine before the shuffle.
 

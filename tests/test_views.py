@@ -261,6 +261,19 @@ def test_model_is_loaded_once_per_task_not_per_row(spark):
     assert {r.s.score for r in scored} == {1.0} and all(r.s.features == [float(r.id)] for r in scored)
 
 
+def test_passes_stay_in_their_row(spark):
+    def make():
+        return lambda batch: (batch.sum(axis=1), batch[:, :2])
+
+    df = spark.range(40).select("id", F.array(*[(F.col("id") + i).cast("float") for i in range(3)]).alias("f")).repartition(3)
+    scored = scoring.score_views_in_row(df, 4, lambda f, key, i: F.transform(f, lambda x: x * (i + 1)), make, "id", "f")
+    text = df.select(scoring.views_in_row(df, 4, lambda f, key, i: f, "id", "f"))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Generate" not in text  # the repartition of the input
+    for r in scored.collect():
+        assert r.p == pytest.approx(np.mean([(3 * r.id + 3) * (i + 1) for i in range(4)]))
+        np.testing.assert_allclose(r.features, [[r.id * (i + 1), (r.id + 1) * (i + 1)] for i in range(4)])
+
+
 def test_scores_for_template_ids(spark):
     template = spark.createDataFrame([("a", 0.0), ("b", 0.0)], f"{ID} string, target double")
     scores = spark.createDataFrame([("b", 0.2), ("a", 0.1), ("c", 0.3)], f"{ID} string, p double")
