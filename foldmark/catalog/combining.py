@@ -12,6 +12,7 @@ from foldmark.operators.contracts import to_wide
 from foldmark.operators.ordering import row_numbers, with_ranks
 from foldmark.sinks.tables import fill_submission, fold_predictions
 
+MODELS = ("m0", "m1", "m2")
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
@@ -136,7 +137,7 @@ def lowest_mean_rank(spark, sf):
     ),
 )
 def ens_consensus(spark, sf):
-    return _rounded(ensemble.consensus_ensemble(preds_long(spark, sf), "m0", key="id"), "target")
+    return _rounded(ensemble.consensus_ensemble(preds_long(spark, sf), "m0", key="id", models=MODELS), "target")
 
 
 # The base comes from another table and has no vote.
@@ -167,7 +168,7 @@ def ens_consensus_base_table(spark, sf):
     ),
 )
 def unanimous(spark, sf):
-    votes = ensemble.unanimous(preds_long(spark, sf), 0.66, 0.33, "id")
+    votes = ensemble.unanimous(preds_long(spark, sf), 0.66, 0.33, "id", models=MODELS)
     return votes.select("id", *[F.col(c).cast("int").alias(c) for c in ("all_above", "all_below")])
 
 

@@ -18,7 +18,7 @@ from foldmark.functions.scores import blend
 from foldmark.operators.contracts import align_predictions
 from foldmark.operators.ordering import ROWS_PER_BUCKET, with_ranks
 from foldmark.schemas import ID
-from foldmark.session import cut_lineage, ensure_checkpoint_dir
+from foldmark.session import cut_lineage
 
 # The cutoff pairs in use, above/below.
 VALIDATION_CUTOFFS = (0.66, 0.33)
@@ -34,22 +34,16 @@ def power_mean_ensemble(long: DataFrame, key: str = ID, exponent: float = 2.0) -
     return long.groupBy(key).agg(F.avg(F.pow("p", F.lit(exponent))).alias("target"))
 
 
-def mean_ranks(
-    long: DataFrame, key: str = ID, rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None
-) -> DataFrame:
+def mean_ranks(long: DataFrame, key: str = ID, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Mean over models of the average rank within each model; a null score has no rank."""
-    ranked = with_ranks(long, "p", key, ("model",), rows_per_bucket, rows)
+    ranked = with_ranks(long, "p", key, ("model",), rows_per_bucket)
     return ranked.groupBy(key).agg(F.avg("avg_rank").alias("mean_rank"))
 
 
 def rank_ensemble(long: DataFrame, key: str = ID, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Minimum rank of the mean rank. The mean ranks of a large table are checkpointed, as they are read twice."""
-    ensure_checkpoint_dir(long.sparkSession)
-    rows = long.count()
-    means = mean_ranks(long, key, rows_per_bucket, rows)
-    if rows > rows_per_bucket:
-        means = cut_lineage(means)
-    ranked = with_ranks(means, "mean_rank", key, (), rows_per_bucket, rows)
+    """Minimum rank of the mean rank. The mean ranks are written, as they are read twice."""
+    means = cut_lineage(mean_ranks(long, key, rows_per_bucket))
+    ranked = with_ranks(means, "mean_rank", key, (), rows_per_bucket)
     return ranked.select(key, F.col("min_rank").alias("target"))
 
 

@@ -7,15 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldmark.functions.scores import clean_score, is_correct, weighted_bce
+from foldmark.functions.scores import is_correct, weighted_bce
 from foldmark.operators.ordering import (
     _BUCKET,
     ROWS_PER_BUCKET,
-    OrderPlan,
     ScoreOrder,
+    order_histogram,
     order_scores,
     pack_group,
-    plan_order,
     prefix_sums,
     score_histogram,
     with_bucket,
@@ -29,51 +28,49 @@ def roc_auc(
     group: Sequence[str] = (),
     no_positive: float | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    plan: OrderPlan | None = None,
 ) -> DataFrame:
     """Area under the ROC curve with ties counted half, one row per group.
 
     Null when a class is missing, or ``no_positive`` when there is no positive row.
+    """
+    return auc_of(order_scores(df, score, group, target, rows_per_bucket), no_positive)
+
+
+def auc_of(order: ScoreOrder, no_positive: float | None = None, sums: Sequence[str] = ()) -> DataFrame:
+    """(group, auc, n_pos, n_neg and the sums) of a written histogram.
+
     Won pairs are counted inside each bucket; pairs across buckets need only the
-    buckets' totals, so no offset goes back to the rows.
+    buckets' totals, so no offset goes back to the histogram's rows.
     """
-    plan = plan or plan_order(df, score, rows_per_bucket)
-    hist = score_histogram(df, score, group, target)
-    bucketed = with_bucket(hist, score, plan.cuts) if plan.cuts else hist
-    packed, outer = pack_group(bucketed, group)
-    keys = [_BUCKET, *outer] if plan.cuts else outer
-    below = Window.partitionBy(*keys).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    packed, outer = pack_group(with_bucket(order.hist, order.score, order.cuts), order.group)
+    keys = [_BUCKET, *outer]
+    below = Window.partitionBy(*keys).orderBy(order.score).rowsBetween(Window.unboundedPreceding, -1)
     beaten = F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg") / F.lit(2.0)
-    parts = (
-        packed.select(*keys, "pos", "neg", (F.col("pos").cast("double") * beaten).alias("wins"))
-        .groupBy(*keys)
-        .agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "wins")])
+    counted = packed.select(*keys, "pos", "neg", (F.col("pos").cast("double") * beaten).alias("wins"), *sums)
+    parts = counted.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "wins", *sums)])
+    lower = Window.partitionBy(*outer).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    across = F.col("pos").cast("double") * F.coalesce(F.sum("neg").over(lower), F.lit(0))
+    total = (
+        parts.withColumn("wins", F.col("wins") + across)
+        .groupBy(*outer)
+        .agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "wins", *sums)])
     )
-    if plan.cuts:
-        lower = Window.partitionBy(*outer).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-        across = F.col("pos").cast("double") * F.coalesce(F.sum("neg").over(lower), F.lit(0))
-        parts = (
-            parts.withColumn("wins", F.col("wins") + across)
-            .groupBy(*outer)
-            .agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "wins")])
-        )
     pairs = F.col("pos").cast("double") * F.col("neg").cast("double")
     auc = F.try_divide(F.col("wins"), F.nullif(pairs, F.lit(0.0)))
     if no_positive is not None:
         auc = F.when(F.coalesce("pos", F.lit(0)) == 0, F.lit(no_positive)).otherwise(auc)
-    return parts.select(
-        *[F.col(f"{outer[0]}.`{g}`").alias(g) for g in group],
+    return total.select(
+        *[F.col(f"{outer[0]}.`{g}`").alias(g) for g in order.group],
         auc.alias("auc"),
         F.col("pos").cast("bigint").alias("n_pos"),
         F.col("neg").cast("bigint").alias("n_neg"),
+        *sums,
     )
 
 
 def _next_counts(order: ScoreOrder) -> DataFrame:
     """Add the (pos, neg) counts of the next lower score, across bucket borders as well."""
     hist, score, group, pair = order.hist, order.score, order.group, F.struct("pos", "neg")
-    if not order.cuts:
-        return hist.withColumn("_next", F.lag(pair).over(Window.partitionBy(*group).orderBy(score)))
     packed, outer = pack_group(with_bucket(hist, score, order.cuts), group)
     keys = [_BUCKET, *outer]
     tops = packed.groupBy(*keys).agg(F.max_by(pair, F.col(score)).alias("_top"))
@@ -144,14 +141,22 @@ def epoch_metrics(
     smoothing: float = 0.0,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Validation loss, accuracy and AUC per group; an epoch without positives has AUC 0.5."""
+    """Validation loss, accuracy and AUC per group; an epoch without positives has AUC 0.5.
+
+    One scan: the histogram of scores carries the sums of losses and of right rows.
+    """
     loss = weighted_bce(F.col(logit), F.col(target), pos_weight, smoothing)
-    plain = df.groupBy(*group).agg(
-        F.avg(loss).alias("val_loss"),
-        F.avg(is_correct(F.col(score), F.col(target))).alias("val_acc"),
+    right = is_correct(F.col(score), F.col(target))
+    sums = {"_loss": loss, "_losses": loss.isNotNull().cast("int"), "_right": right, "_judged": right.isNotNull().cast("int")}
+    order = order_scores(df, score, group, target, rows_per_bucket, sums, keep_null=True)
+    found = auc_of(order, 0.5, list(sums))
+
+    def mean(total: str, n: str) -> Column:
+        return F.try_divide(F.col(total), F.nullif(F.col(n), F.lit(0)))
+
+    return found.select(
+        *group, mean("_loss", "_losses").alias("val_loss"), mean("_right", "_judged").alias("val_acc"), F.col("auc").alias("val_auc")
     )
-    ranked = roc_auc(df, score, target, group, 0.5, rows_per_bucket)
-    return _merge(plain, ranked.select(*group, F.col("auc").alias("val_auc")), group)
 
 
 def describe(
@@ -159,20 +164,23 @@ def describe(
 ) -> DataFrame:
     """count, mean, std, min, quartiles, max per group, nulls left out; quartiles exact and interpolated.
 
-    ``percentile`` would hold a whole group's distinct values in one task; the
-    quartiles are read off the cumulative histogram instead.
+    ``percentile`` would hold a whole group's distinct values in one task; the quartiles are read off the cumulative
+    histogram instead, and so is all else, from one scan: the group's mean stands beside every value when the squares
+    are summed, so that they keep their digits.
     """
-    cleaned = df.withColumn(value, clean_score(F.col(value)))
-    moments = cleaned.groupBy(*group).agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
+    hist = score_histogram(df, value, group, keep_null=True).withColumn("_sum", F.coalesce(F.col(value) * F.col("n"), F.lit(0.0)))
+    order = order_histogram(hist, value, group, rows_per_bucket)
+    sums = prefix_sums(order.hist, value, order.cuts, group, ("n", "_sum"))
+    mean = F.try_divide(F.col("_sum_total"), F.nullif(F.col("n_total"), F.lit(0)))
+    squares = F.sum(F.col("n") * (F.col(value) - mean) * (F.col(value) - mean))
+    picks = [
+        F.sum("n").alias("count"),
+        F.max(mean).alias("mean"),
+        F.sqrt(F.try_divide(squares, F.nullif(F.max("n_total") - 1, F.lit(0)))).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-    )
-    order = order_scores(cleaned, value, group, None, rows_per_bucket)
-    sums = prefix_sums(order.hist, value, order.cuts, group)
-    picks, outputs = [], []
+    ]
+    outputs = []
     for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
         place = F.lit(q) * (F.col("n_total") - 1)
         low = F.floor(place)
@@ -184,13 +192,4 @@ def describe(
         lower, upper = F.col(f"_{name}_low"), F.col(f"_{name}_high")
         between = lower + (upper - lower) * F.col(f"_{name}_part")
         outputs.append(F.when(lower == upper, lower).otherwise(between).alias(name))  # two infinities too
-    quartiles = sums.groupBy(*group).agg(*picks).select(*group, *outputs)
-    merged = _merge(moments, quartiles, group)
-    return merged.select(*group, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
-
-
-def _merge(first: DataFrame, second: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Two one-row-per-group tables as one, by union: null groups meet, and no group at all is no special case."""
-    values = [c for df in (first, second) for c in df.columns if c not in group]
-    both = first.unionByName(second, allowMissingColumns=True)
-    return both.groupBy(*group).agg(*[F.max(c).alias(c) for c in values])
+    return sums.groupBy(*group).agg(*picks).select(*group, "count", "mean", "std", "min", *outputs, "max")

@@ -14,17 +14,16 @@ buckets that follow that order:
   Offsets join back on the keys the bucket window is partitioned by, so that join
   costs no shuffle of its own.
 
-One count decides whether a table is one bucket, which a plain window orders. With
-more, a histogram that several branches read is written to the checkpoint folder,
-so the input is scanned and shuffled once for it. The folder is asked for at any size: what runs
-on a sample runs on the whole table.
+There is one path at every size. The histogram is written to the checkpoint folder, so the input is scanned and shuffled
+once for it; its count, its cut points and its frequent values are read from the written table. ROWS_PER_BUCKET sets how
+many buckets there are, one for a small table, and nothing else.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -32,12 +31,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldmark.functions.scores import clean_score
-from foldmark.session import cut_lineage, ensure_checkpoint_dir
+from foldmark.session import cut_lineage
 
 ROWS_PER_BUCKET = 1 << 20
 MAX_BUCKETS = 16384
 SAMPLES_PER_BUCKET = 256
 HOT_PAIRS = 4096
+#: Slots at least that the rows of a frequent value spread over.
+SPREAD = 64
 
 _BUCKET = "_bucket"
 _GROUP = "_group"
@@ -85,11 +86,13 @@ def plan_order(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKE
 
 
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
-    """Bucket number that never decreases as the column grows."""
-    splits = [-math.inf, *cuts, math.inf]
-    bucketed = Bucketizer(splits=splits, inputCol=column, outputCol=_BUCKET).transform(df)
+    """Bucket number that never decreases as the column grows; without cuts all rows are in one. A null goes with zero."""
+    if not cuts:
+        return df.withColumn(_BUCKET, F.lit(0))
+    filled = df.withColumn("_filled", F.coalesce(column, F.lit(0.0)))
+    bucketed = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_filled", outputCol=_BUCKET).transform(filled)
     # An integer: partitioning by a double is by a normalised copy, which later operators do not recognise.
-    return bucketed.withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
+    return bucketed.withColumn(_BUCKET, F.col(_BUCKET).cast("int")).drop("_filled")
 
 
 def pack_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -104,24 +107,37 @@ def pack_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str
 
 
 def score_histogram(
-    df: DataFrame, score: str, group: Sequence[str] = (), target: str | None = None
+    df: DataFrame,
+    score: str,
+    group: Sequence[str] = (),
+    target: str | None = None,
+    sums: Mapping[str, Column] | None = None,
+    keep_null: bool = False,
 ) -> DataFrame:
-    """One row per (group, score): ``n`` rows and, with a target, ``pos`` and ``neg``. Null scores are left out."""
-    value = clean_score(F.col(score))
-    kept = [F.col(g) for g in group] + ([F.col(target)] if target else [])
-    rows = df.select(value.alias(score), *kept).where(F.col(score).isNotNull())
-    sums = [F.count("*").alias("n")]
+    """One row per (group, score): ``n`` rows, with a target ``pos`` and ``neg``, and sums of other columns.
+
+    Null scores are left out; with ``keep_null`` they make a row with a null score that counts nothing but adds to the other sums,
+    so that a group without scores stays.
+    """
+    value, named = clean_score(F.col(score)), [F.col(g) for g in group]
+    extra = {f"_s{i}": c for i, c in enumerate((sums or {}).values())}
+    kept = named + ([F.col(target).alias("_target")] if target else []) + [c.alias(k) for k, c in extra.items()]
+    rows = df.select(value.alias(score), *kept)
+    rows = rows if keep_null else rows.where(F.col(score).isNotNull())
+    counts = [F.count(score).alias("n")]
     if target:
-        sums += [
-            F.sum(F.when(F.col(target) == 1, 1).otherwise(0)).alias("pos"),
-            F.sum(F.when(F.col(target) == 1, 0).otherwise(1)).alias("neg"),
+        scored, positive = F.col(score).isNotNull(), F.coalesce(F.col("_target") == 1, F.lit(False))
+        counts += [
+            F.count(F.when(scored & positive, 1)).alias("pos"),
+            F.count(F.when(scored & ~positive, 1)).alias("neg"),
         ]
-    return rows.groupBy(*group, score).agg(*sums)
+    counts += [F.sum(k).alias(name) for k, name in zip(extra, sums or {}, strict=True)]
+    return rows.groupBy(*group, score).agg(*counts)
 
 
 @dataclass(frozen=True)
 class ScoreOrder:
-    """A score histogram and the cut points of its order."""
+    """A written score histogram and the cut points of its order."""
 
     hist: DataFrame
     score: str
@@ -129,29 +145,28 @@ class ScoreOrder:
     cuts: tuple[float, ...] = ()
 
 
+def order_histogram(
+    hist: DataFrame, score: str, group: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
+) -> ScoreOrder:
+    """The histogram, written, with cuts between about ``rows_per_bucket`` of its rows."""
+    hist = cut_lineage(hist)
+    values = hist.count()  # the files say it
+    buckets = min(MAX_BUCKETS, math.ceil(values / rows_per_bucket))
+    cuts = _quantiles(_sample_values(hist, F.col(score), values, buckets), buckets) if buckets > 1 else ()
+    return ScoreOrder(hist, score, tuple(group), tuple(cuts))
+
+
 def order_scores(
     df: DataFrame,
     score: str,
     group: Sequence[str] = (),
     target: str | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    rows: int | None = None,
+    sums: Mapping[str, Column] | None = None,
+    keep_null: bool = False,
 ) -> ScoreOrder:
-    """Histogram of the scores, checkpointed and cut into buckets when the table is large.
-
-    ``rows`` is the row count, or an upper bound of it, where the caller knows one.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    if rows is None:
-        rows = df.select(F.count(clean_score(F.col(score)))).head()[0]
-    hist = score_histogram(df, score, group, target)
-    if rows <= rows_per_bucket:
-        return ScoreOrder(hist, score, tuple(group))
-    hist = cut_lineage(hist)
-    values = hist.count()
-    buckets = min(MAX_BUCKETS, math.ceil(values / rows_per_bucket))
-    cuts = _quantiles(_sample_values(hist, F.col(score), values, buckets), buckets) if buckets > 1 else ()
-    return ScoreOrder(hist, score, tuple(group), tuple(cuts))
+    """The histogram of the scores in order, from one scan of the table."""
+    return order_histogram(score_histogram(df, score, group, target, sums, keep_null), score, group, rows_per_bucket)
 
 
 def prefix_sums(
@@ -161,16 +176,7 @@ def prefix_sums(
     group: Sequence[str] = (),
     sums: Sequence[str] = ("n",),
 ) -> DataFrame:
-    """Add ``<c>_before`` (sum over smaller scores) and ``<c>_total`` (sum over the group)."""
-    if not cuts:
-        running = Window.partitionBy(*group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-        whole = Window.partitionBy(*group)
-        return hist.select(
-            "*",
-            *[F.coalesce(F.sum(c).over(running), F.lit(0)).alias(f"{c}_before") for c in sums],
-            *[F.sum(c).over(whole).alias(f"{c}_total") for c in sums],
-        )
-
+    """Add ``<c>_before`` (sum over smaller scores, null first) and ``<c>_total`` (sum over the group)."""
     packed, outer = pack_group(with_bucket(hist, score, cuts), group)
     keys = [_BUCKET, *outer]
     totals = packed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
@@ -192,102 +198,79 @@ def prefix_sums(
 
 
 def with_ranks(
-    df: DataFrame,
-    score: str,
-    key: str,
-    group: Sequence[str] = (),
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    rows: int | None = None,
+    df: DataFrame, score: str, key: str, group: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """Add ``avg_rank`` and ``min_rank`` of the score in its group; a null score keeps null ranks.
 
-    ``rows`` is the row count, or an upper bound of it, where the caller knows one.
-    A large table is read for the cut points, for the bucket sizes and for the rows:
-    give it as files where computing it is dear. Its rows are shuffled once.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    value = clean_score(F.col(score))
-    cleaned = df.withColumn(score, value)
-    if rows is None:
-        rows = df.select(F.count(value)).head()[0]
-    buckets = min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket))
-    if buckets < 2:
-        ranked = cleaned.withColumns(_window_ranks(score, group))
-    else:
-        ranked = _bucket_ranks(cleaned, score, key, group, rows, buckets)
-    known = F.col(score).isNotNull()
-    return ranked.select(
-        *df.columns,
-        F.when(known, (F.col("_first") + F.col("_last")) / 2.0).cast("double").alias("avg_rank"),
-        F.when(known, F.col("_first")).cast("bigint").alias("min_rank"),
-    )
-
-
-def _window_ranks(score: str, partition: Sequence[str]) -> dict[str, Column]:
-    """First and last place of a score among its ties, nulls after all others; one window for both."""
-    ordered = Window.partitionBy(*partition).orderBy(F.col(score).asc_nulls_last())
-    ties_included = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return {"_first": F.rank().over(ordered), "_last": F.count("*").over(ties_included)}
-
-
-def _bucket_ranks(
-    df: DataFrame, score: str, key: str, group: Sequence[str], rows: int, buckets: int
-) -> DataFrame:
-    """Ranks inside buckets plus the buckets' offsets.
-
-    A value frequent in the sample gets a slot of its own, in which every row has
+    The table is read twice, for its histogram and for its rows, and its rows are shuffled once:
+    give it as files where computing it is dear. Ranks inside buckets plus the buckets' offsets, which the histogram
+    has, are the global ones. A value that many rows have gets a slot of its own, in which every row has
     the same rank: the slot's offset says it. So do the two infinities. Such (slot, group) pairs of at least
     1/HOT_PAIRS of the rows number HOT_PAIRS at most and are broadcast; their rows,
-    and those without a score, spread by a hash of the key instead of meeting in
-    one task.
+    and those without a score, spread by a hash of the key instead of meeting in one task.
     """
-    sample = cut_lineage(_sample_values(df, F.col(score), rows, buckets))
-    frequent = sample.groupBy("_value").count().where(F.col("count") * 2 * buckets >= sample.count())
-    hot = {r["_value"] for r in frequent.collect() if math.isfinite(r["_value"])}  # two per bucket at most
-    cuts = sorted(hot.union(_quantiles(sample, buckets)))
+    cleaned = df.withColumn(score, clean_score(F.col(score)))
+    hist = cut_lineage(score_histogram(cleaned, score, group))
+    rows = hist.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+    buckets = min(MAX_BUCKETS, max(1, math.ceil(rows / rows_per_bucket)))
+    frequent = hist.groupBy(score).agg(F.sum("n").alias("_n")).where(F.col("_n") * 2 * buckets >= rows)
+    hot = {r[0] for r in frequent.collect() if math.isfinite(r[0])}  # two per bucket at most
+    cuts = sorted(hot.union(_weighted_quantiles(hist, score, buckets) if buckets > 1 else ()))
     starts = F.from_json(F.lit(json.dumps([None, *[c if c in hot else None for c in cuts]])), "array<double>")
 
-    scored = df.where(F.col(score).isNotNull())
     between = F.col(_BUCKET) * 2 + F.when(F.col(score) == F.get(starts, F.col(_BUCKET)), 2).otherwise(3)
     last = 2 * (len(cuts) + 1) + 2
     slot = F.when(F.col(score) == -math.inf, 0).when(F.col(score) == math.inf, last).otherwise(between)
 
     def slotted(table: DataFrame) -> tuple[DataFrame, list[str]]:
-        # Rows without a score take part in no bucket; the bucketing itself does not accept nulls.
-        filled = table.withColumn("_filled", F.coalesce(score, F.lit(0.0)))
-        return pack_group(with_bucket(filled, "_filled", cuts).withColumn(_SLOT, slot), group)
+        return pack_group(with_bucket(table, score, cuts).withColumn(_SLOT, slot), group)
 
-    packed, outer = slotted(scored)
+    counted, outer = slotted(hist)
     keys = [_SLOT, *outer]
     lower = Window.partitionBy(*outer).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut_lineage(
-        packed.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
+    offsets = (
+        counted.groupBy(*keys)
+        .agg(F.sum("n").alias("_n"))
         .withColumn("_offset", F.coalesce(F.sum("_n").over(lower), F.lit(0)))
     )
     settled = F.broadcast(
-        offsets.where((F.col(_SLOT) % 2 == 0) & (F.col("_n") > rows // HOT_PAIRS)).select(
+        offsets.where((F.col(_SLOT) % 2 == 0) & (F.col("_n") * HOT_PAIRS > rows)).select(
             *keys, F.col("_offset").alias("_hot_offset"), F.col("_n").alias("_hot_n")
         )
     )
-    every, _ = slotted(df)
+    every, _ = slotted(cleaned)
     marked = every.join(settled, keys, "left")
     apart = F.col("_hot_n").isNotNull() | F.col(score).isNull()
-    salt = -1 - F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    salt = -1 - F.pmod(F.xxhash64(F.col(key)), F.lit(max(buckets, SPREAD))).cast("int")
     placed = marked.withColumn(_SLOT, F.when(apart, salt).otherwise(F.col(_SLOT)))
     local = placed.withColumns(_window_ranks(score, keys))
     joined = local.join(offsets.drop("_n"), keys, "left")
     is_hot = F.col("_hot_n").isNotNull()
-    return joined.withColumns(
-        {
-            "_first": F.when(is_hot, F.col("_hot_offset") + 1).otherwise(F.col("_offset") + F.col("_first")),
-            "_last": F.when(is_hot, F.col("_hot_offset") + F.col("_hot_n")).otherwise(
-                F.col("_offset") + F.col("_last")
-            ),
-        }
+    first = F.when(is_hot, F.col("_hot_offset") + 1).otherwise(F.col("_offset") + F.col("_first"))
+    final = F.when(is_hot, F.col("_hot_offset") + F.col("_hot_n")).otherwise(F.col("_offset") + F.col("_last"))
+    known = F.col(score).isNotNull()
+    return joined.select(
+        *df.columns,
+        F.when(known, (first + final) / 2.0).cast("double").alias("avg_rank"),
+        F.when(known, first).cast("bigint").alias("min_rank"),
     )
 
 
+def _weighted_quantiles(hist: DataFrame, score: str, buckets: int) -> list[float]:
+    """Cut points between which about as many rows lie, from a sample of a histogram's values with their counts."""
+    sample = _sample_values(hist, F.struct(score, "n"), hist.count(), buckets).select("_value.*")
+    fractions = [i / buckets for i in range(1, buckets)]
+    cuts = sample.where(F.col(score).isNotNull()).select(F.percentile(score, fractions, F.col("n"))).head()[0] or ()
+    return sorted({c for c in cuts if math.isfinite(c)})
+
+
+def _window_ranks(score: str, partition: Sequence[str]) -> dict[str, Column]:
+    """First and last place of a score among its ties, nulls after all others; one window for both."""
+    ordered = Window.partitionBy(*partition).orderBy(F.col(score).asc_nulls_last())
+    ties_included = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return {"_first": F.rank().over(ordered), "_last": F.count("*").over(ties_included)}
+
+
 def row_numbers(
     df: DataFrame,
     group: Sequence[str],

@@ -137,3 +137,43 @@ def test_epoch_metrics_without_positives(spark):
     got = {r.epoch: r for r in metrics.epoch_metrics(df, "logit", "p", "target").collect()}
     assert got[0]["val_auc"] == 0.5 and got[1]["val_auc"] == 1.0
     assert got[0]["val_acc"] == 0.5 and got[1]["val_acc"] == 1.0
+
+
+def test_one_scan_of_the_input(spark, tmp_path):
+    """Every measure reads its input once, at any size: what comes after reads the written histogram."""
+    path = str(tmp_path / "scores")
+    rows = [(i % 3, float(i % 50) / 7, float(i % 50) / 50, i % 2) for i in range(900)]
+    spark.createDataFrame(rows, "model int, logit double, p double, y int").write.parquet(path)
+    for n in (1 << 20, 30):
+        for measure in (
+            lambda df: metrics.roc_auc(df, "p", "y", ("model",), rows_per_bucket=n),
+            lambda df: metrics.roc_curve(df, "p", "y", ("model",), rows_per_bucket=n),
+            lambda df: metrics.describe(df, "p", rows_per_bucket=n),
+            lambda df: metrics.epoch_metrics(df, "logit", "p", "y", ("model",), rows_per_bucket=n),
+        ):
+            seen = spark.sparkContext.accumulator(0)
+
+            def counted(batches, seen=seen):
+                for batch in batches:
+                    seen.add(batch.num_rows)
+                    yield batch
+
+            df = spark.read.parquet(path)
+            assert measure(df.mapInArrow(counted, df.schema)).count() > 0
+            assert seen.value == 900
+
+
+def test_measures_of_groups_without_scores(spark):
+    rows = [("a", 0.0, 0.25, 1), ("a", 1.0, 0.75, 0), ("b", 2.0, None, 1), (None, 1.0, 0.5, 1)]
+    df = spark.createDataFrame(rows, "model string, logit double, p double, y int")
+    found = {r.model: r for r in metrics.describe(df, "p").collect()}
+    assert found["b"]["count"] == 0 and found["b"]["mean"] is None and found["b"]["p50"] is None
+    assert found["a"]["mean"] == 0.5 and found["a"]["p50"] == 0.5 and found[None]["std"] is None
+    epochs = {r.model: r for r in metrics.epoch_metrics(df, "logit", "p", "y", ("model",)).collect()}
+    assert epochs["b"].val_auc == 0.5 and epochs["b"].val_acc is None and epochs["b"].val_loss is not None
+    assert epochs["a"].val_auc == 0.0 and epochs["a"].val_acc == 0.0 and epochs[None].val_acc == 0.0
+
+
+def test_spread_of_values_far_from_zero(spark):
+    df = spark.createDataFrame([("a", 1e9 + i) for i in range(5)], "model string, p double")
+    assert metrics.describe(df, "p").head()["std"] == pytest.approx(2.5**0.5, rel=1e-12)

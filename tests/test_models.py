@@ -71,6 +71,46 @@ def test_staged_auc_equals_shorter_fits(table):
     assert every == {0: pytest.approx(staged[1]), 1: pytest.approx(staged[3])}
 
 
+def test_first_trees_are_the_shorter_fit(spark, table, tmp_path):
+    train = table.where(~in_folds([0]))
+    model = boosting.boosted_trees(PARAMS, 5).fit(train)
+    cut, fit = boosting.first_trees(model, 3), boosting.boosted_trees(PARAMS, 3).fit(train)
+    assert cut.getNumTrees == 3 and cut.treeWeights == fit.treeWeights and cut.getFeaturesCol() == boosting.VECTOR
+    cut.write().overwrite().save(f"{tmp_path}/cut")
+    loaded = type(cut).load(f"{tmp_path}/cut")
+    p, q, r = (
+        [x[0] for x in positive_probability(table, m).orderBy(ID).select("p").collect()] for m in (cut, fit, loaded)
+    )
+    assert p == q == r
+    twice = boosting.model_of_trees(model, [0, 0, 2])
+    assert twice.getNumTrees == 3 and twice.treeWeights == [model.treeWeights[i] for i in (0, 0, 2)]
+
+
+def test_search_fits_once_per_doubling(table, monkeypatch):
+    fits = []
+
+    def counted(params, n_trees):
+        fits.append(n_trees)
+        return boosting.boosted_trees(params, n_trees)
+
+    monkeypatch.setitem(boosting.ESTIMATORS, "counted", counted)
+    params = boosting.BoostParams(max_trees=16, patience=16, max_depth=2, first_trees=4, step_size=0.3)
+    fitted = fit_fold(table.withColumn("is_val", in_folds([0, 1])), params, "counted")
+    assert fits == [4, 8, 16] and fitted.model.getNumTrees == fitted.n_trees <= 16
+
+
+def test_staged_margins_gather_equal_rows(spark, table, monkeypatch):
+    model = boosting.boosted_trees(PARAMS, 4).fit(table)
+    vectors = boosting.distinct_vectors(table)
+    assert vectors.agg(F.sum("pos") + F.sum("neg")).head()[0] == table.count()
+    whole = staged_auc(model, table).orderBy("epoch").collect()
+    monkeypatch.setattr(boosting, "LEAF_CELLS", 12)
+    small = staged_auc(model, vectors.repartition(3)).orderBy("epoch").collect()
+    assert [r.val_auc for r in whole] == pytest.approx([r.val_auc for r in small], abs=1e-12)
+    counts = boosting.staged_margins(model, vectors).groupBy("epoch").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    assert {(r.p, r.n) for r in counts.collect()} == {(table.where("target = 1").count(), table.where("target = 0").count())}
+
+
 def test_out_of_fold_uses_the_blind_model(table, fitted, tmp_path):
     models = {i: f.model for i, f in fitted.items()}
     scored = crossval.out_of_fold(table, models, 4)
