@@ -21,7 +21,7 @@ from foldmark.schemas import ID
 # Single fits search for the tree count at the limits of a training; a first limit below the patience makes them double it.
 PARAMS = BoostParams(max_trees=256, patience=64, max_depth=3, first_trees=48, step_size=0.3)
 # Fits of several folds: the workload of a check, with the search still in it.
-FOLD_PARAMS = BoostParams(max_trees=16, patience=4, max_depth=3, first_trees=4, step_size=0.3)
+FOLD_PARAMS = BoostParams(max_trees=8, patience=4, max_depth=3, first_trees=4, step_size=0.3)
 
 
 def table(spark: SparkSession, sf: str) -> DataFrame:

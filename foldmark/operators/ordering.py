@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldmark.functions.scores import clean_score
-from foldmark.session import cut_lineage
+from foldmark.session import cut_and_measure
 
 ROWS_PER_BUCKET = 1 << 20
 MAX_BUCKETS = 16384
@@ -149,8 +149,8 @@ def order_histogram(
     hist: DataFrame, score: str, group: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> ScoreOrder:
     """The histogram, written, with cuts between about ``rows_per_bucket`` of its rows."""
-    hist = cut_lineage(hist)
-    values = hist.count()  # the files say it
+    hist, found = cut_and_measure(hist, values=F.count(F.lit(1)))
+    values = found["values"]
     buckets = min(MAX_BUCKETS, math.ceil(values / rows_per_bucket))
     cuts = _quantiles(_sample_values(hist, F.col(score), values, buckets), buckets) if buckets > 1 else ()
     return ScoreOrder(hist, score, tuple(group), tuple(cuts))
@@ -210,12 +210,15 @@ def with_ranks(
     and those without a score, spread by a hash of the key instead of meeting in one task.
     """
     cleaned = df.withColumn(score, clean_score(F.col(score)))
-    hist = cut_lineage(score_histogram(cleaned, score, group))
-    rows = hist.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+    hist, found = cut_and_measure(
+        score_histogram(cleaned, score, group), values=F.count(F.lit(1)), rows=F.coalesce(F.sum("n"), F.lit(0)), most=F.max("n")
+    )
+    rows = found["rows"]
     buckets = min(MAX_BUCKETS, max(1, math.ceil(rows / rows_per_bucket)))
-    frequent = hist.groupBy(score).agg(F.sum("n").alias("_n")).where(F.col("_n") * 2 * buckets >= rows)
-    hot = {r[0] for r in frequent.collect() if math.isfinite(r[0])}  # two per bucket at most
-    cuts = sorted(hot.union(_weighted_quantiles(hist, score, buckets) if buckets > 1 else ()))
+    # Values that half a bucket's rows have in one group: two per bucket at most, and often none.
+    frequent = hist.where(F.col("n") * 2 * buckets >= rows).select(score).distinct()
+    hot = {r[0] for r in frequent.collect() if math.isfinite(r[0])} if (found["most"] or 0) * 2 * buckets >= rows > 0 else set()
+    cuts = sorted(hot.union(_weighted_quantiles(hist, score, found["values"], buckets) if buckets > 1 else ()))
     starts = F.from_json(F.lit(json.dumps([None, *[c if c in hot else None for c in cuts]])), "array<double>")
 
     between = F.col(_BUCKET) * 2 + F.when(F.col(score) == F.get(starts, F.col(_BUCKET)), 2).otherwise(3)
@@ -256,9 +259,9 @@ def with_ranks(
     )
 
 
-def _weighted_quantiles(hist: DataFrame, score: str, buckets: int) -> list[float]:
+def _weighted_quantiles(hist: DataFrame, score: str, values: int, buckets: int) -> list[float]:
     """Cut points between which about as many rows lie, from a sample of a histogram's values with their counts."""
-    sample = _sample_values(hist, F.struct(score, "n"), hist.count(), buckets).select("_value.*")
+    sample = _sample_values(hist, F.struct(score, "n"), values, buckets).select("_value.*")
     fractions = [i / buckets for i in range(1, buckets)]
     cuts = sample.where(F.col(score).isNotNull()).select(F.percentile(score, fractions, F.col("n"))).head()[0] or ()
     return sorted({c for c in cuts if math.isfinite(c)})

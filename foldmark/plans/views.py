@@ -298,6 +298,9 @@ def attach_overlays(
     found = chosen.join(library, ["number", "_salt"]).groupBy("dataset", ID).agg(F.collect_list(piece).alias("overlays"))
     attached, _ = pack_group(found, ("dataset", ID))
     packed, keys = pack_group(images, ("dataset", ID))
+    # A number of its own: small pixels would else be merged into few tasks, and views are heavy work.
+    cores = images.sparkSession.sparkContext.defaultParallelism
+    packed = packed.repartition(max(cores, int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
     return packed.join(attached.select(*keys, "overlays"), keys, "left").drop(*keys)
 
 
