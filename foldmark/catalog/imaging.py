@@ -7,15 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldmark.catalog.arrays import N_PASSES, PIXEL_SQL, SEED, SIDE, images, vectors
-from foldmark.catalog.fixtures import load, with_tables
+from foldmark.catalog.fixtures import SAMPLES, fixture, load, with_tables
 from foldmark.catalog.registry import query, r6
 from foldmark.functions.arrays import DRAW_DIGITS
-from foldmark.plans import image_scoring, views
+from foldmark.operators.passes import fold_columns_to_rows
+from foldmark.plans import experiment, image_scoring, views
 from foldmark.plans.views import CHANNEL_MEAN, CHANNEL_STD, LUMA, OVERLAY_NUMBERS, RADIUS_LESS, RADIUS_MORE, TRANSPARENT, TRIES
 from foldmark.schemas import ID
-from foldmark.sinks.tables import write_features
-from foldmark.sources.images import read_features
 from foldmark.session import new_folder
+from foldmark.sinks.files import write_files, write_images
+from foldmark.sinks.tables import write_features
+from foldmark.sources.images import image_path, join_samples, list_images, missing_images, read_features, read_images
+from foldmark.sources.tables import read_fold_predictions, read_submission
 
 MOST = 5
 
@@ -381,3 +384,128 @@ def cv_passes_mean(spark, sf):
 def image_plain_score(spark, sf):
     scored = image_scoring.score_image_views(images(spark, sf), views.identity_stages(SIDE), mean_predictor(1.0), 1)
     return scored.select(ID, F.round("p", 4).alias("p"))
+
+
+def by_parity(spark: SparkSession, sf: str) -> DataFrame:
+    """Images in two data sets, by their label."""
+    name = F.concat(F.lit("IMG_"), F.lpad(F.col("vec_id").cast("string"), 12, "0"))
+    sets = vectors(spark, sf).select(name.alias(ID), F.when(F.col("label") % 2 == 0, "even").otherwise("odd").alias("dataset"))
+    return images(spark, sf).drop("dataset").join(sets, ID)
+
+
+_PARITY = "SELECT 'IMG_' || lpad(CAST(vec_id AS VARCHAR), 12, '0') AS image_name, CASE WHEN label % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset FROM embeddings"
+
+
+@query(
+    "image_files",
+    with_tables(
+        f"""
+        SELECT image_name, dataset, {SIDE} AS height, {SIDE} AS width, sum(r * (pos + 1))::BIGINT AS red, sum(g * (pos + 1))::BIGINT AS green,
+               sum(b * (pos + 1))::BIGINT AS blue
+        FROM pixels JOIN sets USING (image_name) GROUP BY ALL
+        """,
+        pixels=PIXEL_SQL,
+        sets=_PARITY,
+    ),
+)
+def image_files(spark, sf):
+    """Images written as files under the root of their data set, read back and joined to their samples."""
+    folder = new_folder(spark)
+    roots = {s: f"{folder}/{s}" for s in ("even", "odd")}
+    written = by_parity(spark, sf)
+    write_images(written, roots)
+    joined = join_samples(written.select("dataset", ID), read_images(spark, roots, "*.png"))
+
+    def weighted(channel: int):
+        """Pixels are BGR bytes, row by row; the sum of each one's value by its place tells their order too."""
+        values = F.transform(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1)), lambda i: F.conv(F.hex(F.substring("data", i * 3 + channel + 1, F.lit(1))), 16, 10).cast("long") * (i + 1))
+        return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    return joined.select(ID, "dataset", "height", "width", weighted(2).alias("red"), weighted(1).alias("green"), weighted(0).alias("blue"))
+
+
+@query("image_roots", with_tables("SELECT image_name, dataset, dataset || '/' || image_name || '.png' AS path FROM sets", sets=_PARITY))
+def image_roots(spark, sf):
+    """Where each sample's image should be, beside where it was found."""
+    folder = new_folder(spark)
+    roots = {"even": f"{folder}/even", "odd": f"{folder}/odd/"}
+    samples = by_parity(spark, sf)
+    write_images(samples, roots)
+    named = samples.select("dataset", ID, image_path(roots, F.col(ID), F.col("dataset"), ".png").alias("named"))
+    listed = list_images(spark, roots, "*.png")
+    return named.join(listed, ["dataset", ID]).select(ID, "dataset", F.regexp_extract("named", r"([^/]+/[^/]+)$", 1).alias("path"))
+
+
+@query(
+    "missing_image_report",
+    with_tables(
+        """
+        SELECT image_name FROM samples
+        WHERE image_name NOT IN (SELECT 'IMG_' || lpad(CAST(vec_id AS VARCHAR), 12, '0') FROM embeddings)
+        """,
+        samples=SAMPLES,
+    ),
+)
+def missing_image_report(spark, sf):
+    """Samples without an image file, by names alone."""
+    root = new_folder(spark)
+    write_images(images(spark, sf), root)
+    return missing_images(fixture(spark, sf, SAMPLES).select(ID), spark, root, "*.png")
+
+
+def load_weight(model_type: str, content: bytes):
+    """A predictor from a model file that holds one number."""
+    return mean_predictor(float(content))()
+
+
+def saved_experiment(spark: SparkSession) -> str:
+    """Four model files and their index in a folder."""
+    root = new_folder(spark)
+    path = F.concat(F.lit(f"{root}/fold_"), "id", F.lit(f"_{MODELS}_epoch="), "id", F.lit(".txt"))
+    write_files(spark.range(MODELS).select(path.alias("path"), (F.col("id") + 1).cast("string").cast("binary").alias("content")))
+    experiment.index_model_files(spark, root, "mean", SIDE)
+    return root
+
+
+@query(
+    "cv_test_files",
+    with_tables(
+        f"""
+        SELECT image_name, fold::INTEGER AS fold, round(avg(1 / (1 + exp(-(fold + 1) * m))), 6) AS p
+        FROM pass_means, range({MODELS}) f(fold) GROUP BY image_name, fold
+        """,
+        **_SCORING,
+        pass_means=_PASS_MEANS,
+    ),
+)
+def cv_test_files(spark, sf):
+    """From an index of model files and images to the wide file of all folds' scores."""
+    root, rows = saved_experiment(spark), images(spark, sf)
+    template = rows.select(ID, F.lit(0.0).alias("target"))
+    path = experiment.score_test_images(
+        spark, root, rows, template, f"{root}/out", load_weight, views.scoring_stages(SIDE), n_passes=N_PASSES, seed=SEED
+    )
+    long = fold_columns_to_rows(read_fold_predictions(spark, path, MODELS), [f"fold-{i}" for i in range(MODELS)])
+    return long.select(ID, "fold", r6(F.col("p")).alias("p"))
+
+
+@query(
+    "cv_val_files",
+    with_tables(
+        """
+        SELECT image_name, round(avg(1 / (1 + exp(-(fold // 2 + 1) * m))), 6) AS target
+        FROM pass_means JOIN labelled USING (image_name) GROUP BY image_name
+        """,
+        **_SCORING,
+        pass_means=_PASS_MEANS,
+        labelled=_LABELLED,
+    ),
+)
+def cv_val_files(spark, sf):
+    """From an index of model files, samples with folds and images to the file of out-of-fold scores."""
+    root, rows = saved_experiment(spark), images(spark, sf)
+    samples = labelled_brightness(spark, sf).select(F.lit("vectors").alias("dataset"), ID, "fold")
+    path = experiment.score_validation_images(
+        spark, root, samples, rows, f"{root}/out", load_weight, views.scoring_stages(SIDE), n_passes=N_PASSES, seed=SEED
+    )
+    return read_submission(spark, path).select(ID, r6(F.col("target")).alias("target"))

@@ -51,8 +51,15 @@ def write_features(df: DataFrame, path: str, partitions: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
-def write_index(index: DataFrame, path: str) -> None:
-    """One JSON array of the index's rows, one per experiment: a single file, as a reader of whole files expects."""
-    rows = index.select(F.to_json(F.struct(*index.columns)).alias("row")).agg(F.array_sort(F.collect_list("row")).alias("rows"))
-    text = F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")).alias("value")
-    rows.select(text).coalesce(1).write.mode("overwrite").text(path)
+#: Index rows in a file, so that a reader of whole files holds no more at a time.
+INDEX_ROWS = 1000
+
+
+def write_index(index: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
+    """One JSON object per line, one line per experiment: every task writes its own, and nothing is gathered.
+
+    ``partitions`` are columns that name the experiment and become folders, for readers of a few of many.
+    """
+    line = F.to_json(F.struct(*[c for c in index.columns if c not in partitions])).alias("value")
+    rows = index.select(*[F.col(c).cast("string").alias(c) for c in partitions], line)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", INDEX_ROWS).partitionBy(*partitions).text(path)

@@ -71,10 +71,22 @@ def build_index(files: DataFrame, model_type: str, image_size: int, experiment:
     )
 
 
+#: Between two JSON objects of a file: lines of their own. Inside an array or an object a comma comes first.
+_BETWEEN = r"(?<=\})[ \t]*\r?\n\s*(?=\{)"
+
+
 def read_index(spark: SparkSession, path: str, experiment: Sequence[str] = ()) -> DataFrame:
-    """Rows of one JSON object or of an array of them per file, with the columns that name the experiment."""
-    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in experiment], *EXPERIMENT_INDEX.fields])
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Index rows of files that hold one JSON object, an array of them, or one per line, on as many lines as they like.
+
+    ``experiment`` are the columns that name the experiment; those that are folders of the path come from the folders.
+    """
+    text = spark.read.option("wholetext", True).text(path)
+    folders = [c for c in experiment if c in text.columns]
+    named = [T.StructField(c, T.StringType()) for c in experiment if c not in folders]
+    schema = T.ArrayType(T.StructType([*named, *EXPERIMENT_INDEX.fields]))
+    parts = text.select(*[F.col(c).cast("string").alias(c) for c in folders], F.explode(F.split("value", _BETWEEN)).alias("part"))
+    rows = parts.select(*folders, F.inline(F.from_json("part", schema, {"mode": "FAILFAST"})))
+    return rows.select(*experiment, *EXPERIMENT_INDEX.fieldNames())
 
 
 def checkpoints(index: DataFrame, stored_minus_one: bool = False) -> DataFrame:
