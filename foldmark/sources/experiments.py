@@ -80,7 +80,7 @@ def read_index(spark: SparkSession, path: str, experiment: Sequence[str] = ()) -
 
     ``experiment`` are the columns that name the experiment; those that are folders of the path come from the folders.
     """
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     folders = [c for c in experiment if c in text.columns]
     named = [T.StructField(c, T.StringType()) for c in experiment if c not in folders]
     schema = T.ArrayType(T.StructType([*named, *EXPERIMENT_INDEX.fields]))

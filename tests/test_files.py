@@ -207,3 +207,66 @@ def test_whole_validation_study(spark, tmp_path):
         auc = metrics.roc_auc(joined, "p", "target").head()
         assert auc["n_pos"] + auc["n_neg"] == 40 and 0 <= auc["auc"] <= 1
     assert mean_over_folds(long).count() == 40
+
+
+def test_images_written_and_read_again(spark, tmp_path):
+    from foldmark.sinks.files import write_images
+
+    rng = np.random.default_rng(3)
+    shapes = {"grey": (5, 7, 1), "colour": (6, 4, 3), "clear": (3, 3, 4)}
+    stored = {n: rng.integers(0, 256, s, dtype=np.uint8) for n, s in shapes.items()}
+    rows = [("d" if n != "grey" else "e", n, *p.shape, bytearray(p.tobytes())) for n, p in stored.items()]
+    df = spark.createDataFrame(rows, f"dataset string, {ID} string, height int, width int, n_channels int, data binary")
+    roots = {"d": f"{tmp_path}/one", "e": f"file://{tmp_path}/two/"}
+    write_images(df, roots)
+    write_images(df, roots)  # again: the same files
+    assert sorted(p.name for p in tmp_path.rglob("*")) == ["clear.png", "colour.png", "grey.png", "one", "two"]
+    back = {r[ID]: r for r in images.read_images(spark, {"d": f"{tmp_path}/one", "e": f"{tmp_path}/two"}, "*.png").collect()}
+    for name, pixels in stored.items():
+        found = np.frombuffer(back[name].data, np.uint8).reshape(back[name].height, back[name].width, back[name].n_channels)
+        np.testing.assert_array_equal(found, pixels)
+    with pytest.raises(Exception, match="no root for the dataset of image"):
+        write_images(df, {"d": f"{tmp_path}/one"})
+
+
+def test_png_of_the_sink_is_the_png_of_the_tests():
+    from foldmark.functions.png import encode_png
+
+    rgb = np.random.default_rng(1).integers(0, 256, (9, 5, 3), dtype=np.uint8)
+    assert encode_png(rgb) == png(rgb)
+
+
+def test_files_are_whole_or_absent(spark, tmp_path):
+    from foldmark.sinks.files import write_files
+
+    df = spark.createDataFrame([(f"{tmp_path}/deep/er/f{i}", bytearray(b"x" * i)) for i in range(20)], "path string, content binary")
+    write_files(df.repartition(4))
+    assert {p.name: p.stat().st_size for p in (tmp_path / "deep" / "er").iterdir()} == {f"f{i}": i for i in range(20)}
+
+
+INDEX = {"model_type": "m", "image_size": 1, "checkpoints": [{"fold_index": 0, "n_fold": 4, "file": "f}\n{g"}, {"fold_index": 1, "n_fold": 4, "file": "h"}]}
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("rows", [1, 3])
+@pytest.mark.parametrize("shape", ["array", "lines"])
+def test_index_of_any_shape(spark, tmp_path, indent, rows, shape):
+    index = [{**INDEX, "image_size": i} for i in range(rows)]
+    text = json.dumps(index, indent=indent) if shape == "array" else "\n".join(json.dumps(r, indent=indent) for r in index) + "\n"
+    found = experiments.read_index(spark, put(tmp_path / "index.json", text)).collect()
+    assert sorted(r.image_size for r in found) == list(range(rows))
+    assert [c.file for c in found[0].checkpoints] == ["f}\n{g", "h"]
+    with pytest.raises(Exception):
+        experiments.read_index(spark, put(tmp_path / "broken.json", "{not json")).collect()
+
+
+def test_index_in_folders_by_experiment(spark, tmp_path):
+    files = spark.createDataFrame([(f"e{i}", f"fold_{k}_4.ckpt") for i in range(30) for k in range(4)], "name string, file string")
+    index = experiments.build_index(files, "m", 256, ("name",))
+    sinks.write_index(index, f"{tmp_path}/index", ("name",))
+    assert (tmp_path / "index" / "name=e7").is_dir()
+    back = experiments.read_index(spark, f"{tmp_path}/index", ("name",))
+    assert back.count() == 30 and experiments.checkpoints(back.where("name = 'e7'")).count() == 4
+    assert "PartitionFilters: [isnotnull(name" in back.where("name = 'e7'")._jdf.queryExecution().executedPlan().toString()
+    sinks.write_index(index, f"{tmp_path}/lines")
+    assert sorted(map(repr, experiments.read_index(spark, f"{tmp_path}/lines", ("name",)).collect())) == sorted(map(repr, back.collect()))

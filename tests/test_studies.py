@@ -144,3 +144,62 @@ def test_training_on_coefficients(spark, prepared, tmp_path):
     path, fitted = train_fold_on_coefficients(train, images, 0, 4, str(tmp_path), params=PARAMS)
     assert fitted.model.numFeatures == 3 + 3 * 8 and path.startswith(str(tmp_path))
 
+
+
+def test_command_line_from_raw_files_to_scores(spark, tmp_path, capsys):
+    rng = random.Random(6)
+    lines = {"a": [], "b": []}
+    for i in range(160):
+        target = int(rng.random() < 0.4)
+        age = 40 + 25 * target + rng.randrange(10)
+        lines["a" if i % 2 else "b"].append(f"id{i:03d},p{i % 9},{rng.choice(['male', 'female'])},{age},torso,{target},x,y,1,2,3")
+    header = f"{ID},patient_id,sex,age_approx,{SITE},target,diagnosis,benign_malignant,tfrecord,width,height"
+    for name, rows in lines.items():
+        (tmp_path / f"{name}.csv").write_text("\n".join([header, *rows]) + "\n")
+    (tmp_path / "denied.csv").write_text(f"{ID}\nid000\nid001\n")
+    train, root = f"{tmp_path}/train", f"{tmp_path}/experiment"
+    cli.main(["prepare", f"a={tmp_path}/a.csv", f"b={tmp_path}/b.csv", "--denied", f"{tmp_path}/denied.csv", "--out", train])
+    prepared = spark.read.option("header", True).csv(train)
+    assert prepared.count() == 158 and prepared.where(f"{ID} in ('id000', 'id001')").count() == 0
+    assert {r.dataset for r in prepared.select("dataset").distinct().collect()} == {"a", "b"}
+    assert spark.read.parquet(f"{train}_by_fold").where("fold = 3").count() > 0
+    test = f"{tmp_path}/test.csv"
+    (tmp_path / "test.csv").write_text(f"{ID},sex,age_approx,{SITE}\n" + "".join(f"t{i},male,{30 + i},torso\n" for i in range(40)))
+    (tmp_path / "template.csv").write_text(f"{ID},target\n" + "".join(f"t{i},0\n" for i in range(40)))
+    limits = ["--trees", "4", "--patience", "2"]
+    cli.main(["train-meta", train, test, root, "--fold", "1", *limits])
+    assert "fold_1_4_val_auc_" in capsys.readouterr().out
+    cli.main(["train-meta", train, test, root, *limits])
+    cli.main(["index", root, "trees"])
+    cli.main(["score-test", root, train, test, "--template", f"{tmp_path}/template.csv", "--out", str(tmp_path)])
+    cli.main(["score-validation", root, train, test, "--out", str(tmp_path)])
+    wide = spark.read.option("header", True).csv(f"{tmp_path}/cv_test_trees")
+    assert wide.count() == 40 and wide.columns == [ID, "fold-0", "fold-1", "fold-2", "fold-3"]
+    assert studies.measure(spark, train, f"{tmp_path}/cv_val_trees") > 0.9
+    with pytest.raises(SystemExit):
+        cli.main(["prepare", "nameless.csv"])
+
+
+def test_survey_and_curve_from_files(spark, tmp_path):
+    rng = random.Random(8)
+    scores = {m: {f"i{k:02d}": round(rng.random(), 3) for k in range(60)} for m in ("one", "two", "three")}
+    for m, rows in scores.items():
+        (tmp_path / f"{m}.csv").write_text(f"{ID},target\n" + "".join(f"{k},{v}\n" for k, v in rows.items()))
+    (tmp_path / "labels.csv").write_text(f"{ID},target\n" + "".join(f"{k},{int(v > 0.5)}\n" for k, v in scores["one"].items()))
+    files, out = [f"{m}={tmp_path}/{m}.csv" for m in scores], f"{tmp_path}/survey"
+    cli.main(["survey", *files, "--factor", "one=0.5", "two=2", "--column", "two", "--largest", "5", "--lowest", "7", "--out", out])
+    read = spark.read.option("header", True).option("inferSchema", True)
+    described = {r.model: r for r in read.csv(f"{out}/describe").collect()}
+    assert described["one"]["mean"] == pytest.approx(sum(scores["one"].values()) / 120) and described["three"]["count"] == 60
+    largest = read.csv(f"{out}/largest")
+    assert sorted(largest.columns) == sorted([ID, *scores]) and largest.count() == 5
+    top = sorted(scores["two"].items(), key=lambda kv: (-kv[1], kv[0]))[:5]
+    assert {r[ID]: r.two for r in largest.collect()} == pytest.approx({k: 2 * v for k, v in top})
+    assert read.csv(f"{out}/lowest_ranks").count() == 7
+    with pytest.raises(ValueError, match="no model"):
+        studies.survey_predictions(spark, {"one": f"{tmp_path}/one.csv"}, out, column="four")
+    cli.main(["roc", f"{tmp_path}/labels.csv", f"{tmp_path}/one.csv", "--out", f"{tmp_path}/curve"])
+    points = [(r.fpr, r.tpr) for r in read.csv(f"{tmp_path}/curve").collect()]
+    assert (0.0, 0.0) in points and (0.0, 1.0) in points and (1.0, 1.0) in points
+    cli.main(["roc", f"{tmp_path}/labels.csv", f"{tmp_path}/one.csv", "--all-points", "--out", f"{tmp_path}/all"])
+    assert read.csv(f"{tmp_path}/all").count() > len(points)
