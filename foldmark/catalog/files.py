@@ -104,9 +104,12 @@ def fold_prediction_files(spark, sf):
 def relabel_files(spark, sf):
     """Ids and scores in files of unlike size, joined by position."""
     rows = fixture(spark, sf, PREDS)
-    ordered = rows.select("id", "m0").orderBy("id")
-    write_csv(ordered.coalesce(1).select("id"), ids := new_folder(spark))
-    write_csv(ordered.select(F.col("m0").alias("p")), values := new_folder(spark))
+
+    def ordered(parts: int):
+        return rows.select("id", "m0").repartitionByRange(parts, "id").sortWithinPartitions("id")
+
+    write_csv(ordered(3).select("id"), ids := new_folder(spark))
+    write_csv(ordered(5).select(F.col("m0").alias("p")), values := new_folder(spark))
     read = spark.read.option("header", True)
     relabelled = relabel_by_position(read.csv(values), read.csv(ids), "id")
     return relabelled.select("id", r6(F.col("p")).alias("p"))

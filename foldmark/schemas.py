@@ -19,6 +19,7 @@ def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in columns.items()])
 
 
+# The columns of the raw label files, and those that the prepared table leaves out.
 RAW_COLUMNS = {
     ID: _string,
     "patient_id": _string,
