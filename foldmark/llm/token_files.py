@@ -25,8 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldmark.llm.common import arrow_rows, texts
-from foldmark.llm.vocab import ID, Encoder, public_path
+from foldmark.llm.common import arrow_rows, bounded_batches, texts
+from foldmark.llm.vocab import ID, SLICE_BYTES, ColumnEncoder, Encoder, public_path
 from foldmark.session import cut_lineage, ensure_checkpoint_dir
 
 END_ID = 0
@@ -38,7 +38,8 @@ LOW = np.uint64(1 << 31)
 MAGIC = b"fmr1"
 HEADER = "<4sQIQI"
 
-PACKS = "part int, pack int, first long, doc_ids array<long>, lengths array<int>, ids binary"
+#: Packs of documents, and after a partition's last one a row with its counts of ids.
+PACKS = "part int, pack int, first long, doc_ids array<long>, lengths array<int>, ids binary, counts binary"
 BLOCKS = "first long, n_ids long, doc_ids array<long>, lengths array<int>, payload binary"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -117,47 +118,61 @@ class Coder:
 def token_packs(docs: DataFrame, path: str, keeps_spaces: bool = True, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> DataFrame:
     """Whole documents' ids in ascending order, in packs of about ``block_ids`` ids; ``first`` counts within the partition."""
 
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+        """(ids of documents, their token ids on end, the number of each)."""
+        end = np.array([end_id], ID)
+        encoder = ColumnEncoder(path) if keeps_spaces else Encoder(path, keeps_spaces)
+        for batch in bounded_batches(batches, "text", SLICE_BYTES):
+            if keeps_spaces:
+                found, lengths = encoder.encode_column(batch.column("text"), end_id)
+            else:
+                each = [np.concatenate([np.frombuffer(x, ID), end]) for x in encoder.encode(batch.column("text").to_pylist())]
+                found, lengths = np.concatenate(each), np.array([len(x) for x in each])
+            yield batch.column("doc_id").to_pylist(), found, lengths
+
     def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(path, keeps_spaces), TaskContext.get().partitionId()
-        end = np.array([end_id], ID).tobytes()
+        part = TaskContext.get().partitionId()
         number = first = held = 0
-        ids: list[bytes] = []
+        counts = np.zeros(0, "int64")
+        ids: list[np.ndarray] = []
         doc_ids: list[int | None] = []
-
-        def pack() -> pa.RecordBatch:
-            lengths = [len(x) // ID.itemsize for x in ids]
-            return arrow_rows([(part, number, first, doc_ids, lengths, b"".join(ids))], PACKS)
-
-        for batch in batches:
-            keys = batch.column("doc_id").to_pylist()
-            for doc_id, found in zip(keys, encoder.encode(batch.column("text").to_pylist()), strict=True):
-                ids.append(found + end)
-                doc_ids.append(doc_id)
-                held += len(ids[-1]) // ID.itemsize
+        sizes: list[int] = []
+        for keys, found, lengths in slices(batches):
+            seen = np.bincount(found, minlength=len(counts))
+            seen[: len(counts)] += counts
+            counts, ends, at, start = seen, np.cumsum(lengths), 0, 0
+            while at < len(keys):
+                # Documents up to the one that fills the pack.
+                to = min(len(keys), int(np.searchsorted(ends, start + block_ids - held)) + 1)
+                stop = int(ends[to - 1])
+                ids.append(found[start:stop])
+                doc_ids += keys[at:to]
+                sizes += lengths[at:to].tolist()
+                held, at, start = held + stop - start, to, stop
                 if held >= block_ids:
-                    yield pack()
-                    number, first, held, ids, doc_ids = number + 1, first + held, 0, [], []
+                    yield arrow_rows([(part, number, first, doc_ids, sizes, np.concatenate(ids).tobytes(), None)], PACKS)
+                    number, first, held, ids, doc_ids, sizes = number + 1, first + held, 0, [], [], []
         if ids:
-            yield pack()
+            yield arrow_rows([(part, number, first, doc_ids, sizes, np.concatenate(ids).tobytes(), None)], PACKS)
+        if len(counts):
+            yield arrow_rows([(part, None, None, None, None, None, counts.astype("<i8").tobytes())], PACKS)
 
     ordered = texts(docs).withColumn("_tie", F.xxhash64("text"))
     return ordered.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").mapInArrow(packs, PACKS)
 
 
 def id_counts(packs: DataFrame) -> np.ndarray:
-    """How often each id occurs in all packs; the table of counts is as long as the vocabulary."""
+    """How often each id occurs in all packs, from the partitions' counts; the table is as long as the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, "int64")
         for batch in batches:
-            for ids in batch.column("ids"):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), ID), minlength=len(total))
-                found[: len(total)] += total
-                total = found
-        used = np.flatnonzero(total)
-        yield arrow_rows(list(zip(used.tolist(), total[used].tolist(), strict=True)), "id long, n long")
-
-    rows = packs.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+            for counts in batch.column("counts"):
+                counts = np.frombuffer(counts.as_buffer(), "<i8")
+                used = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["id", "n"])
+
+    held = packs.where("counts is not null").select("counts")
+    rows = held.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 0, "int64")
     counts[rows["id"].to_numpy("int64")] = rows["n"].to_numpy("int64")
     return counts
@@ -168,6 +183,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, kee
     spark = docs.sparkSession
     packs = cut_lineage(token_packs(docs, path or public_path("byte_bpe_50k.json"), keeps_spaces, end_id))
     freq = scaled_frequencies(id_counts(packs))
+    packs = packs.where("counts is null").drop("counts")
     sizes = packs.groupBy("part").agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     offsets, total = {}, 0  # one number per partition
     for row in sizes.orderBy("part").collect():
@@ -178,8 +194,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, kee
         coder = Coder(freq)
         for batch in batches:
             for i in range(batch.num_rows):
-                part, first, doc_ids, lengths, ids = (batch.column(c)[i].as_py() for c in ("part", "first", "doc_ids", "lengths", "ids"))
-                ids = np.frombuffer(ids, ID)
+                part, first, doc_ids, lengths = (batch.column(c)[i].as_py() for c in ("part", "first", "doc_ids", "lengths"))
+                ids = np.frombuffer(batch.column("ids")[i].as_buffer(), ID)
                 yield arrow_rows([(offsets[part] + first, len(ids), doc_ids, lengths, coder.encode(ids))], BLOCKS)
 
     packs.mapInArrow(encode, BLOCKS).write.parquet(f"{folder}/blocks")

@@ -2,10 +2,11 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from foldmark.llm import packing, token_files
+from foldmark.llm import packing, token_files, vocab
 from foldmark.llm.vocab import ID, Encoder, public_path
 from tests.llm.brute import docs_of, rows_of
 
@@ -35,6 +36,21 @@ def test_memory_of_pieces_starts_anew(monkeypatch):
     assert [np.frombuffer(x, ID).tolist() for t in texts for x in got.encode([t])] == plain_ids("byte_bpe_50k.json", texts)
 
 
+@pytest.mark.parametrize("tabled, recent", [(5, 3), (3_000_000, 100), (3_000_000, 150_000)])
+def test_columns_give_the_librarys_ids(monkeypatch, tabled, recent):
+    monkeypatch.setattr(vocab, "TABLED", tabled)
+    monkeypatch.setattr(vocab, "RECENT", recent)
+    vocab._worker_memory((public_path("byte_bpe_50k.json"), "table")).clear()
+    texts = pq.read_table(f"{SF}/documents.parquet")["text"].to_pylist() + ODD + ["", "a b", "a\n\nb c", "x \n", "Word. word, word\nWord"]
+    want, encoder = [x + [7] for x in plain_ids("byte_bpe_50k.json", texts)], vocab.ColumnEncoder(public_path("byte_bpe_50k.json"))
+    for _ in range(2):  # the second time from the table
+        ids, n = encoder.encode_column(pa.array(texts), 7)
+        assert n.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    single = [encoder.encode_column(pa.array([t]), 7)[0].tolist() for t in texts[-30:]]
+    assert single == want[-30:]
+    assert len(encoder.table) <= max(tabled, len({p for t in texts for p in t.replace("\n", " \n").split(" ")}))
+
+
 ROWS = [(5, "one two three"), (5, "one two three"), (None, "no key"), (2**60 + 1, "large key"), (1, None), (3, ""), (4, "long " * 9000), (9, ODD[9])]
 
 
