@@ -30,8 +30,10 @@ _BEYOND_LATIN = "\u0100"
 REMEMBERED = 750_000
 REMEMBERED_WORDS = 150_000
 #: Pieces that a worker remembers under their hashes, some 35 bytes each, and bytes of text that it encodes at a time.
-TABLED, RECENT = 3_000_000, 200_000
+TABLED, RECENT = 1_800_000, 200_000
 SLICE_BYTES = 3 << 20
+#: Words of pieces of several that stay beside that table.
+TABLED_WORDS = 20_000
 ID = np.dtype("<u4")
 
 
@@ -261,6 +263,9 @@ class ColumnEncoder(Encoder):
             at[first[i]], n[first[i]] = own, len(extra[-1]) // ID.itemsize
             own += len(extra[-1]) // ID.itemsize
         self.known.clear()
+        if len(self.words) > TABLED_WORDS:
+            self.words.clear()
+        pa.default_memory_pool().release_unused()
         self.table.beyond(b"".join(extra))
         ends = np.cumsum(n, dtype="i4")
         place = np.repeat(at - (ends - n), n)
