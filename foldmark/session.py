@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,16 +52,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     A written table is computed once and read by column; ``checkpoint()`` would
     compute the last stage twice and keep rows.
     """
-    return cut_and_measure(df)[0]
+    path = new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut_and_measure(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
-    """``cut_lineage`` with aggregates of the rows, taken while they are written: no job reads them again for it."""
-    path = new_folder(df.sparkSession)
-    observed = Observation()
-    watched = df.observe(observed, *[m.alias(name) for name, m in measures.items()]) if measures else df
-    watched.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), observed.get if measures else {}
+    """``cut_lineage`` with aggregates of the written rows, read from the files by column.
+
+    An observation of the write would save that small job, but models with a training summary can't be sent to
+    workers any more once the session has made one.
+    """
+    written = cut_lineage(df)
+    return written, written.agg(*[m.alias(name) for name, m in measures.items()]).head().asDict()
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
