@@ -70,3 +70,25 @@ def test_random_words_of_the_templates(spark):
             text += [rng.choice(words)] if rng.random() < 0.6 else rng.choice(licenses.TEMPLATES).key_words
         rows.append((i, " ".join(text)))
     check(spark, rows)
+
+
+def test_files_without_open_templates_look_nothing_up(spark):
+    """A file that lacks a word of every key phrase has no hits; one with all of them out of place has hits and no starts."""
+    rows = [(1, "apache license license version"), (2, "2 version license apache"), (3, "license version 2 apache license version 2")]
+    got = {r[0]: r for r in check(spark, rows)}
+    assert (got["1"][2], got["2"][2], got["3"][2], got["3"][3]) == (0, 0, 1, 3)
+
+
+def test_phrases_of_one_word_and_of_repeated_words(spark, monkeypatch):
+    templates = (
+        licenses.Template("one", "the zlib license", "zlib", True),
+        licenses.Template("twice", "as is as is where is", "as is as is", True),
+    )
+    monkeypatch.setattr(licenses, "TEMPLATES", templates)
+    rows = [(1, "zlib zlib"), (2, "as is as is as is"), (3, "is as is as"), (4, "as as is as is")]
+    got = licenses.scan_licenses(docs_of(spark, rows), templates).collect()
+    plainly = {r[0]: r for r in plain(rows)}
+    assert {str(r["doc_id"]): (r["n_base"], r["first_word"], r["last_word"], r["labels"]) for r in got} == {
+        k: (r[2], r[3], r[4], r[6]) for k, r in plainly.items()
+    }
+    assert [plainly[k][2] for k in "1234"] == [2, 2, 0, 1]
