@@ -31,6 +31,8 @@ from foldmark.llm.common import arrow_rows, spread_texts, texts
 KINDS = ("email", "ip", "card", "phone")
 NONE = 0  # in the field kind i of KINDS is i + 1
 MAX_CHUNKS = 6
+#: No kind has so many digits: longer spans share one feature.
+LONGEST = 20
 SAMPLE = 4000
 #: Longer regions are not learned from.
 LONGEST_EXAMPLE = 400
@@ -132,7 +134,7 @@ _NUMBERS = re.compile(r"[0-9]+")
 def features(span: str, chunks: int) -> list[str]:
     digits = _digits(span)
     shape = _NUMBERS.sub("0", _LETTERS.sub("a", span))
-    out = ["1", f"shape {shape[:24]}", f"digits {min(len(digits), 20)}", f"chunks {chunks}"]
+    out = ["1", f"shape {shape}", f"digits {len(digits) if len(digits) < LONGEST else LONGEST}", f"chunks {chunks}"]
     out.append("signs " + "".join(sorted({c for c in shape if c not in "0a "})))
     if 13 <= len(digits) <= 19:
         out.append(f"check {luhn(digits)}")
@@ -151,36 +153,46 @@ class Field:
         self.weights: dict[str, np.ndarray] = {}
         self.after = np.zeros((self.n + 1, self.n))
 
+    def _segment(self, text: str, chunks: list[Span], i: int, j: int) -> tuple[list[str], np.ndarray]:
+        start, end = trimmed(text, chunks[i][0], chunks[j - 1][1])
+        found = features(text[start:end], j - i)
+        score = sum((self.weights[f] for f in found if f in self.weights), np.zeros(self.n))
+        if j - i > 1:
+            score[NONE] = -np.inf
+        return found, score
+
     def _segments(self, text: str, chunks: list[Span]) -> dict[tuple[int, int], tuple[list[str], np.ndarray]]:
-        out = {}
-        for i in range(len(chunks)):
-            for j in range(i + 1, min(len(chunks), i + MAX_CHUNKS) + 1):
-                start, end = trimmed(text, chunks[i][0], chunks[j - 1][1])
-                found = features(text[start:end], j - i)
-                score = sum((self.weights[f] for f in found if f in self.weights), np.zeros(self.n))
-                if j - i > 1:
-                    score[NONE] = -np.inf
-                out[i, j] = found, score
-        return out
+        """All of them at once: for the examples of a fit, which are short."""
+        n = len(chunks)
+        return {(i, j): self._segment(text, chunks, i, j) for i in range(n) for j in range(i + 1, min(n, i + MAX_CHUNKS) + 1)}
 
     def best(self, text: str, chunks: list[Span]) -> list[tuple[int, int, int]]:
-        """(first chunk, chunk beyond, kind) of the segmentation with the highest score."""
-        segments, n = self._segments(text, chunks), len(chunks)
-        score = np.full((n + 1, self.n + 1), -np.inf)
-        score[0, self.n] = 0
-        back: dict[tuple[int, int], tuple[int, int]] = {}
-        for (i, j), (_, own) in sorted(segments.items(), key=lambda s: s[0][1]):
-            enter = score[i][:, None] + self.after
-            before = enter.argmax(axis=0)
-            total = enter.max(axis=0) + own
-            for kind in np.flatnonzero(total > score[j, : self.n]):
-                score[j, kind] = total[kind]
-                back[j, int(kind)] = i, int(before[kind])
-        out, j, kind = [], n, int(score[n, : self.n].argmax())
+        """(first chunk, chunk beyond, kind) of the segmentation with the highest score.
+
+        Scores are held for the last ``MAX_CHUNKS`` chunks; of all others two small numbers a kind say the way back.
+        """
+        n, size = len(chunks), MAX_CHUNKS + 1
+        enter = np.full((size, self.n), -np.inf)  # the best way to a kind after the first j chunks, in row j % size
+        before = np.zeros((size, self.n), "i1")
+        length, kind_before = np.zeros((n + 1, self.n), "i1"), np.zeros((n + 1, self.n), "i1")
+        here = np.full(self.n + 1, -np.inf)
+        here[self.n] = 0
+        for j in range(n + 1):
+            if j:
+                here = np.full(self.n + 1, -np.inf)
+                for i in range(max(0, j - MAX_CHUNKS), j):
+                    total = enter[i % size] + self._segment(text, chunks, i, j)[1]
+                    better = total > here[: self.n]
+                    here[: self.n][better] = total[better]
+                    length[j, better] = j - i
+                    kind_before[j, better] = before[i % size, better]
+            ways = here[:, None] + self.after
+            enter[j % size], before[j % size] = ways.max(axis=0), ways.argmax(axis=0)
+        out, j, kind = [], n, int(here[: self.n].argmax())
         while j:
-            i, before = back[j, kind]
+            i = j - int(length[j, kind])
             out.append((i, j, kind))
-            j, kind = i, before
+            j, kind = i, int(kind_before[j, kind])
         return out[::-1]
 
     def step(self, text: str, chunks: list[Span], truth: list[tuple[int, int, int]], rate: float) -> float:

@@ -143,3 +143,56 @@ def test_masking_keeps_other_columns(spark):
     rows = [(1, "a@b.org x"), (2, None), (3, "")]
     got = {r["doc_id"]: r for r in rows_of(pii.mask_personal_data(docs_of(spark, rows)))}
     assert got[1]["text"] == "<EMAIL> x" and got[2]["text"] is None and got[3]["text"] == "" and got[1]["_chunk"] == "c"
+
+
+def plain_best(field, text, chunks):
+    """The dynamic program with all segments held at once."""
+    segments, n = field._segments(text, chunks), len(chunks)
+    score, back = np.full((n + 1, field.n + 1), -np.inf), {}
+    score[0, field.n] = 0
+    for j in range(1, n + 1):
+        for i in range(max(0, j - pii.MAX_CHUNKS), j):
+            enter = score[i][:, None] + field.after
+            total = enter.max(axis=0) + segments[i, j][1]
+            for kind in np.flatnonzero(total > score[j, : field.n]):
+                score[j, kind], back[j, int(kind)] = total[kind], (i, int(enter[:, kind].argmax()))
+    out, j, kind = [], n, int(score[n, : field.n].argmax())
+    while j:
+        i, before = back[j, kind]
+        out.append((i, j, kind))
+        j, kind = i, before
+    return out[::-1]
+
+
+def test_long_regions_by_a_window(field):
+    rng = np.random.default_rng(3)
+    for size in (1, 2, 7, 60, 400):
+        text = " ".join(rng.choice(["1", "555", "a@b.co", "+1", "(709)", "6652-11", "4111"], size))
+        for chunks in pii.regions(text):
+            assert field.best(text, chunks) == plain_best(field, text, chunks)
+
+
+def test_memory_of_a_long_region(field):
+    import tracemalloc
+
+    text = "17 " * 5000
+    chunks = next(pii.regions(text))
+    tracemalloc.start()
+    assert [s[1] for s in field.best(text, chunks)][-1] == len(chunks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 * len(chunks)
+
+
+def test_the_whole_shape_counts():
+    start = "1a" * 30
+    assert pii.features(start + "2", 1) != pii.features(start + "2b", 1)
+
+
+def test_masking_odd_tables(spark):
+    rows = [(1, "a@b.org x"), (1, "a@b.org x"), (2, "7 " * 3000 + "1.2.3.4")]
+    got = rows_of(pii.mask_personal_data(docs_of(spark, rows).withColumnRenamed("_tie", "a.b")))
+    # The field of such a table knows little: what it adds to the long text is its own matter, the base spans stay.
+    assert [r["text"] for r in got if r["doc_id"] == 1] == ["<EMAIL> x"] * 2 and all(r["a.b"] == "t" for r in got)
+    assert [r["text"][-4:] for r in got if r["doc_id"] == 2] == ["<IP>"]
+    assert pii.mask_personal_data(docs_of(spark, [])).collect() == []
