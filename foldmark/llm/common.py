@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,23 @@ def spread_texts(docs: DataFrame) -> DataFrame:
     return spread(texts(docs), "doc_id", "text")
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it whatever signs it holds, dots and backticks too."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def keep_texts(docs: DataFrame, keep: Callable[[str], bool]) -> DataFrame:
+    """The rows, with all their columns whatever their names, whose text passes (null: as an empty one), in Arrow batches."""
+    plain = docs.toDF(*["text" if name == "text" else f"c{i}" for i, name in enumerate(docs.columns)])
+
+    def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [keep(text or "") for text in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return spread(plain).mapInArrow(of_batch, plain.schema).toDF(*docs.columns)
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

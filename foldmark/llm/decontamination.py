@@ -9,8 +9,12 @@ A stretch is as wide as an alignment of THRESHOLD through its seed can be. It is
 m equal words in runs with t whole n-grams make at least (m - t) / (N - 1) runs, and each run after the first costs an edit;
 m is at most the words that item and stretch have in common, t the item's n-grams found.
 
-The test items form an index of bounded size: at most ``SLICE_BYTES`` of their text at a time, and as many scans of the
-documents as there are slices. All else happens inside a document's row; results are rows of documents and items.
+The test items form an index of bounded size, some nine times their text: about ``SLICE_BYTES`` of them at a time, and as many scans of
+the documents as there are slices. What a slice leaves is written once the next index is built, so a worker holds one and the driver
+two at most. All else happens inside a document's row; results are rows of documents and items.
+
+No n-gram is passed over for being common: an alignment may reach THRESHOLD on one whole n-gram, whichever it is (in a copy with a
+word put in after every second one, say, and one stretch left alone), so no choice of rare ones has all copies.
 
 Words: runs of letters, digits and underscores, lower-cased. Defined results: null and empty texts have no words;
 items of fewer than N words can't be told from ordinary text and match nothing; equal rows give equal rows, equal
@@ -30,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldmark.llm.common import arrow_rows, spread_texts
-from foldmark.session import spread
+from foldmark.llm.common import arrow_rows, keep_texts, spread_texts
+from foldmark.session import cut_lineage
 
 N = 3
 MATCH, MISS, GAP = 2, -1, -1
 THRESHOLD = 0.6
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 16 << 20
 WORD = re.compile(r"\w+")
 LEAKS = "doc_id long, item_id long, score double, first_word long, last_word long"
 
@@ -78,8 +82,6 @@ class Index:
             numbers = [words.setdefault(w, len(words) + 1) for w in WORD.findall((text or "").lower())]
             if len(numbers) >= N:
                 items.append((item_id, np.array(numbers, "i8")))
-        if (len(words) + 1) ** N >= 1 << 63:
-            raise ValueError("too many different words in one slice of test items")
         index = cls(items, words)
         if items:
             index.add_seeds()
@@ -99,15 +101,18 @@ class Index:
         self.bags = np.concatenate(bags)
 
     def codes(self, numbers: np.ndarray) -> np.ndarray:
-        """The n-gram that starts at each place, -1 if it holds an unknown word."""
+        """The n-gram that starts at each place, -1 if it holds an unknown word.
+
+        Of more than two million words the numbers wrap and two n-grams may share one: a seed too many, which the alignment settles.
+        """
         n = len(numbers) - N + 1
         if n <= 0:
             return np.empty(0, "i8")
         out, known = np.zeros(n, "i8"), np.ones(n, bool)
         for i in range(N):
-            out = out * (len(self.words) + 1) + numbers[i : i + n]
+            out = out * (len(self.words) + 1 | 1) + numbers[i : i + n]
             known &= numbers[i : i + n] > 0
-        return np.where(known, out, -1)
+        return np.where(known, out & np.iinfo("i8").max, -1)
 
     def numbers(self, text: str) -> np.ndarray:
         get = self.words.get
@@ -230,20 +235,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return spread_texts(docs).mapInArrow(of_batch, LEAKS)
 
-    out = docs.sparkSession.createDataFrame([], LEAKS)
+    out, last = docs.sparkSession.createDataFrame([], LEAKS), None
     for index in _indexes(benchmark):
-        out = out.union(scan(index))
-    return out
+        out = out if last is None else out.union(cut_lineage(last))
+        last = scan(index)
+    return out if last is None else out.union(last)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, with all their columns, that hold no copy of a test item."""
-    for index in list(_indexes(benchmark)):
-
-        def clean(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = [not index.leaks(text or "") for text in batch.column("text").to_pylist()]
-                yield batch.filter(pa.array(keep, pa.bool_()))
-
-        docs = spread(docs).mapInArrow(clean, docs.schema)
+    for number, index in enumerate(_indexes(benchmark)):
+        left = cut_lineage(docs) if number else docs
+        docs = keep_texts(left, lambda text, index=index: not index.leaks(text))
     return docs

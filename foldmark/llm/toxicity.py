@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldmark.llm.common import arrow_rows, spread_texts, texts
-from foldmark.session import cut_lineage, spread
+from foldmark.llm.common import arrow_rows, keep_texts, spread_texts, texts
+from foldmark.session import cut_lineage
 
 #: Categories in the chain's order, with what a row of labels says about them.
 CHAIN = {"junk": "1 - quality", "toxic": "toxic"}
@@ -271,10 +271,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 def keep_clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents, with all their columns, that the chain does not call toxic."""
     model = fit_chain(docs, labels, CHAIN, sample)
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [not model.score(t or "")[1] for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return spread(docs).mapInArrow(clean, docs.schema)
+    return keep_texts(docs, lambda text: not model.score(text)[1])

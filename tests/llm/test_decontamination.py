@@ -116,3 +116,21 @@ def test_words_put_in_and_left_out(spark):
     got = rows_of(d.find_leaks(docs_of(spark, rows), items_of(spark, [(7, " ".join(item))])))
     want = {i: plain_score(item, words(t)) for i, t in rows if plain_score(item, words(t)) >= d.THRESHOLD}
     assert {r["doc_id"]: r["score"] for r in got} == want and set(want) == {1, 2, 3}
+
+
+def test_more_words_than_numbers_of_ngrams(monkeypatch):
+    """Beyond two million words the numbers of n-grams wrap: seeds may be too many, never too few."""
+    text = "one two three four five six"
+    index = d.Index.of([(1, text)])
+    want = index.leaks("so " + text)
+    index.words |= {f"x{i}": 7 + i for i in range(3 << 20)}
+    index.add_seeds()
+    assert index.leaks("so " + text) == want and want[0][:2] == (1, 1.0)
+    assert (index.codes(index.items[0][1]) >= 0).all() and (index.codes(index.numbers("x5 x2000000 x3000000")) >= 0).all()
+    assert (index.codes(index.numbers("x5 unheard x3")) == -1).all()
+
+
+def test_dropping_by_slices(spark, monkeypatch):
+    monkeypatch.setattr(d, "SLICE_BYTES", 20)
+    left = rows_of(d.drop_leaks(docs_of(spark, ROWS).withColumnRenamed("_tie", "a.b`c"), items_of(spark, ITEMS)))
+    assert sorted(str(r["doc_id"]) for r in left) == ["1", "2", "4", "6"] and {r["a.b`c"] for r in left} == {"t"}

@@ -85,3 +85,10 @@ def test_junk_is_told_row_by_row(spark, corpus):
     scored = toxicity.score_toxicity(docs, labels.where("doc_id % 3 > 0")).where("doc_id % 3 = 0").collect()
     pairs = [(quality[r["doc_id"]] == 0, r["p_junk"] >= 0.5) for r in scored if r["doc_id"] in quality]
     assert sum(a == b for a, b in pairs) >= 0.97 * len(pairs)
+
+
+def test_dotted_names_are_kept(spark):
+    docs, labels = docs_of(spark, TEXTS), labels_of(spark, LABELS)
+    left, dotted = toxicity.keep_clean(docs, labels), toxicity.keep_clean(docs.withColumnRenamed("_tie", "a.b"), labels)
+    assert dotted.columns == docs.withColumnRenamed("_tie", "a.b").columns
+    assert sorted(str(r["doc_id"]) for r in rows_of(dotted)) == sorted(str(r["doc_id"]) for r in rows_of(left))
