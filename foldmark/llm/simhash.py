@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldmark.llm.common import arrow_rows, spread_texts
+from foldmark.llm.common import arrow_rows, quoted, spread_texts
 from foldmark.session import cut_lineage
 
 BITS = 64
@@ -99,6 +99,10 @@ def near_fingerprints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+#: A key with at least 2 / HUBS of all rows is a hub; where each row counts under two keys there are at most so many of them.
+HUBS = 4096
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): for every node of the links (a, b), a != b, the smallest node that it can reach."""
     edges, before = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()), None
@@ -106,36 +110,51 @@ def components(links: DataFrame) -> DataFrame:
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
-        before = state
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        before, hub = state, hub_size(state["n"])
+        edges = cut_lineage(_small_star(_large_star(edges, hub), hub))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, hub: int) -> DataFrame:
     """Every larger neighbour of a node goes to the smallest of the node and its neighbours."""
     both = edges.union(edges.select("v", "u"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+    return _meet(both.where("v > u"), least, hub).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hub: int) -> DataFrame:
     """A node and its smaller neighbours go to the smallest of these."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    moved = _meet(down, least, hub).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", "m")).where("u != v").distinct()
 
 
+def hub_size(rows: int) -> int:
+    return max(1, -(-2 * rows // HUBS))
+
+
+def _meet(rows: DataFrame, least: DataFrame, hub: int) -> DataFrame:
+    """Rows (u, v) with the ``m`` of their ``u``, which has ``n`` rows. Where these are ``hub`` or more, of HUBS keys at most, ``m`` comes to the rows; the others are shuffled."""
+    large = least.where(F.col("n") >= hub).select("u", "m", F.lit(1).alias("large"))
+    marked = rows.join(F.broadcast(large), "u", "left")
+    rest = marked.where(F.col("large").isNull()).select("u", "v").join(least.where(F.col("n") < hub).select("u", "m"), "u")
+    return marked.where(F.col("large").isNotNull()).select("u", "v", "m").union(rest.select("u", "v", "m"))
+
+
 def simhash_components(docs: DataFrame, k: int = 3, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fingerprint as 16 hex digits, component_id) of every document."""
     prints = cut_lineage(fingerprints(docs, k))
-    first = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
+    first = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")))
     roots = components(near_fingerprints(first, distance))
     of_print = first.join(roots, first["fingerprint"] == roots["node"], "left")
-    of_print = of_print.select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
-    names = of_print.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = of_print.join(names, "root").select("fingerprint", "component_id")
-    hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
-    return prints.join(named, "fingerprint").select("doc_id", hexed, "component_id")
+    of_print = cut_lineage(of_print.select("fingerprint", "first_id", "n", F.coalesce("root", "fingerprint").alias("root")))
+    names = of_print.groupBy(F.col("root").alias("u")).agg(F.min("first_id").alias("m"), F.count("*").alias("n"))
+    n_prints, n_rows = of_print.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    named = _meet(of_print.select(F.col("root").alias("u"), F.struct("fingerprint", "n").alias("v")), names, hub_size(n_prints))
+    named = named.select(F.col("v.fingerprint").alias("u"), "m", "v.n")
+    found = _meet(prints.select(F.col("fingerprint").alias("u"), F.col("doc_id").alias("v")), named, hub_size(n_rows))
+    hexed = F.lower(F.lpad(F.hex("u"), 16, "0")).alias("fingerprint")
+    return found.select(F.col("v").alias("doc_id"), hexed, F.col("m").alias("component_id"))
 
 
 #: For similar sets: bits, bits of a segment, and the bits by which complete fingerprints of candidates may differ. A similarity of
@@ -346,5 +365,5 @@ def near_copies(docs: DataFrame, k: int = SHINGLE, distance: int = WIDE_DISTANCE
     grouped = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
     kept = grouped.select(F.col("best.k1").alias("_k1"), F.col("best.k2").alias("_k2"))
     k1, k2 = _row_hashes()
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), k1.alias("_k1"), k2.alias("_k2"))
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("_row"), k1.alias("_k1"), k2.alias("_k2"))
     return rows.join(kept, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]).select("_row.*")

@@ -150,3 +150,39 @@ def test_similar_sets_in_a_crowd_and_in_blocks(spark, monkeypatch):
     assert near(spark, texts) == want
     monkeypatch.setattr(simhash.similar_sets, "__defaults__", (simhash.SHINGLE, 16))
     assert near(spark, texts) == want
+
+
+def test_hubs_come_to_their_rows(spark, monkeypatch):
+    """Stars, chains and both at once: the same components however few keys count as hubs."""
+    rng = random.Random(8)
+    links = [(1, i) for i in range(2, 60)] + [(i, i + 1) for i in range(100, 130)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
+    links += [(500, i) for i in range(300, 340)] + [(500, 59)]
+    links = [x for x in links if x[0] != x[1]]
+    parent = {x: x for pair in links for x in pair}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    want = {x: root(x) for x in parent}
+    for hubs in (1, 8, 4096):
+        monkeypatch.setattr(simhash, "HUBS", hubs)
+        got = simhash.components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert len(got) == len(want) and {r["node"]: r["root"] for r in got} == want
+
+
+def test_rows_of_frequent_prints(spark, monkeypatch):
+    rows = [(i, "same words here") for i in range(30)] + [(None, None), (None, "same words here"), (50, "other words there"), (51, "")]
+    want = sorted(map(str, rows_of(simhash.simhash_components(docs_of(spark, rows)))))
+    monkeypatch.setattr(simhash, "HUBS", 2)
+    assert sorted(map(str, rows_of(simhash.simhash_components(docs_of(spark, rows))))) == want and len(want) == len(rows)
+
+
+def test_dotted_names_are_kept(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, None)]
+    left = rows_of(simhash.near_copies(docs_of(spark, rows).withColumnRenamed("_tie", "a.b")))
+    assert sorted((r["doc_id"], r["a.b"]) for r in left) == [(1, "t"), (3, "t")]
