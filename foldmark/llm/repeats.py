@@ -5,8 +5,8 @@ are taken together in runs: neighbouring windows whose least-hashed gram of ``GR
 Equal windows have equal anchors at equal places, so they meet under their anchor's hash:
 
 1. Every run sends its anchor's hash, the hash of all its bytes and its place, packed, to a bin by anchor. A run whose whole
-   bytes occur in a smaller document is settled, many of them before the shuffle. Runs whose anchor occurs in no other
-   document are done.
+   bytes occur in a smaller document is settled, many of them before the shuffle, which then go to bins by document. Runs
+   whose anchor occurs in no other document are done.
 2. The rest fetch their bytes, less than 2 LENGTH each. Under each anchor the suffixes that start at it are sorted by
    merging. Two suffixes are compared by the length of their common extension, found by binary search over prefix
    polynomial hashes, and the byte after it. Neighbours' extensions are verified byte by byte.
@@ -159,7 +159,8 @@ def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def anchored_runs(batch: pa.RecordBatch, bins: int) -> list[tuple[int, bytes]]:
-    """A batch's runs by bin; those settled by a smaller document of the batch are marked by no hash at all (n_docs)."""
+    """A batch's runs by the bin of their anchor. Those settled by a smaller document of the batch are spans already: without hashes,
+    they go to as many bins again, by their documents' part, so an anchor's bin gets one run of equal ones from a batch."""
     ids = [LAST if i is None else i for i in batch.column("doc_id").to_pylist()]
     docs = sorted(range(len(ids)), key=ids.__getitem__)  # so that runs come in the order of ids
     column = batch.column("text")
@@ -182,14 +183,15 @@ def anchored_runs(batch: pa.RecordBatch, bins: int) -> list[tuple[int, bytes]]:
     settled[order] = doc_id[doc[order]] > doc_id[doc[leader]]
 
     out = []
-    for number, places in groups(np.where(settled, bins, 0) + (anchor % np.uint64(bins)).astype("i8")):
+    by_part = bins + part[doc].astype("i8") % bins
+    for number, places in groups(np.where(settled, by_part, (anchor % np.uint64(bins)).astype("i8"))):
         held = doc[places]
         fresh = np.append(True, held[1:] != held[:-1])
         own = held[fresh]
         blob = {"ids": np.diff(doc_id[own], prepend=0), "crc": crc[own], "part": part[own]}
         run = {"fresh": fresh.astype("u1"), "first": np.diff(first[places], prepend=0).astype("i4"), "n": n[places].astype("u4")}
         hashes = {} if number >= bins else {"anchor": _fewer_bytes(anchor[places], 5), "whole": _fewer_bytes(whole[places], 7)}
-        out.append((number % bins, pickle.dumps((pack(**blob), pack(**run, **hashes)))))
+        out.append((number, pickle.dumps((pack(**blob), pack(**run, **hashes)))))
     return out
 
 

@@ -127,3 +127,9 @@ def test_near_duplicates_are_of_the_similarity(stages):
     left = set(by_id(stages["near_duplicates"]))
     linked = {i for p in similar_pairs(before.items()) for i in p}
     assert set(before) - left <= linked | {i for i, t in before.items() if not shingles(t or "")}
+
+
+def test_columns_of_any_name_go_through(spark):
+    docs = docs_of(spark, [(1, "mail a@b.org now"), (2, None), (3, "plain words")]).withColumnRenamed("_tie", "a.b")
+    masked = corpus_pipeline.mask_personal_data(spark, docs, SF)
+    assert masked.columns == docs.columns and {r["a.b"] for r in rows_of(masked)} == {"t"}
