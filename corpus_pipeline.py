@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from foldmark.catalog.registry import query
 from foldmark.llm import decontamination, packing, pii, simhash, toxicity
-from foldmark.llm.common import table
+from foldmark.llm.common import quoted, table
 from foldmark.session import cut_lineage
 
 
@@ -33,7 +33,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become their kind in angle brackets."""
     masked = pii.mask_personal_data(docs)
-    return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*map(quoted, docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
