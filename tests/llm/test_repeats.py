@@ -107,11 +107,11 @@ def test_settled_runs_go_by_document_and_one_of_equals_by_anchor():
     passage = "".join(chr(97 + (i * i + 3 * i) % 26) for i in range(200))
     n, bins = 40, 4
     batch = pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "text": [passage] * n, "crc": [7] * n, "part": list(range(n))})
-    found = repeats.anchored_runs(batch, bins)
-    by_anchor = [repeats._unpacked_runs(b) for number, b in found if number < bins]
-    by_part = {number: repeats._unpacked_runs(b) for number, b in found if number >= bins}
-    assert all("anchor" in r and set(r["id"].tolist()) == {0} for r in by_anchor)
-    assert set(by_part) == {bins + i for i in range(bins)} and all("anchor" not in r for r in by_part.values())
-    assert sum(len(r["id"]) for r in by_part.values()) == (n - 1) * sum(len(r["id"]) for r in by_anchor)
-    for number, r in by_part.items():
-        assert set((r["part"] % bins).tolist()) == {number - bins}
+    found = r.anchored_runs(batch, bins)
+    by_anchor = [r._unpacked_runs(b) for number, b in found if number < bins]
+    by_part = {number: r._unpacked_runs(b) for number, b in found if number >= bins}
+    assert all("anchor" in x and set(x["id"].tolist()) == {0} for x in by_anchor)
+    assert set(by_part) == {bins + i for i in range(bins)} and all("anchor" not in x for x in by_part.values())
+    assert sum(len(x["id"]) for x in by_part.values()) == (n - 1) * sum(len(x["id"]) for x in by_anchor)
+    for number, x in by_part.items():
+        assert set((x["part"] % bins).tolist()) == {number - bins}
