@@ -99,7 +99,7 @@ def near_fingerprints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-#: A key with at least 2 / HUBS of all rows is a hub; where each row counts under two keys there are at most so many of them.
+#: A key with at least 2 / HUBS of all rows is a hub: there are at most half as many.
 HUBS = 4096
 
 
@@ -110,22 +110,22 @@ def components(links: DataFrame) -> DataFrame:
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
-        before, hub = state, hub_size(state["n"])
-        edges = cut_lineage(_small_star(_large_star(edges, hub), hub))
+        before = state
+        edges = cut_lineage(_small_star(_large_star(edges)))
 
 
-def _large_star(edges: DataFrame, hub: int) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node goes to the smallest of the node and its neighbours."""
     both = edges.union(edges.select("v", "u"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-    return _meet(both.where("v > u"), least, hub).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
 
 
-def _small_star(edges: DataFrame, hub: int) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours go to the smallest of these."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    moved = _meet(down, least, hub).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", "m")).where("u != v").distinct()
 
 

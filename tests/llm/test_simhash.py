@@ -152,8 +152,8 @@ def test_similar_sets_in_a_crowd_and_in_blocks(spark, monkeypatch):
     assert near(spark, texts) == want
 
 
-def test_hubs_come_to_their_rows(spark, monkeypatch):
-    """Stars, chains and both at once: the same components however few keys count as hubs."""
+def test_components_of_stars_and_chains(spark):
+    """Stars, chains and both at once."""
     rng = random.Random(8)
     links = [(1, i) for i in range(2, 60)] + [(i, i + 1) for i in range(100, 130)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
     links += [(500, i) for i in range(300, 340)] + [(500, 59)]
@@ -169,10 +169,8 @@ def test_hubs_come_to_their_rows(spark, monkeypatch):
         a, b = sorted((root(a), root(b)))
         parent[b] = a
     want = {x: root(x) for x in parent}
-    for hubs in (1, 8, 4096):
-        monkeypatch.setattr(simhash, "HUBS", hubs)
-        got = simhash.components(spark.createDataFrame(links, "a long, b long")).collect()
-        assert len(got) == len(want) and {r["node"]: r["root"] for r in got} == want
+    got = simhash.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert len(got) == len(want) and {r["node"]: r["root"] for r in got} == want
 
 
 def test_rows_of_frequent_prints(spark, monkeypatch):
