@@ -40,7 +40,8 @@ MIN_WORDS = 20
 SEED = 7
 #: Gains and draws are thousandths.
 SCALE = 1000
-BATCH_BYTES = 8 << 20
+#: Arrays over a slice's words and pairs take some 20 times its text, Arrow's beside them as much again: two workers stay far below an executor's memory.
+BATCH_BYTES = 1 << 20
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 COUNTED = "bucket int, n long"
@@ -102,15 +103,20 @@ def features_of(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np
     return bucket, np.concatenate([row, row[near]]), n_words
 
 
+def counted_batches(batches: Iterator[pa.RecordBatch], buckets: int = BUCKETS) -> Iterator[pa.RecordBatch]:
+    """COUNTED of a task's texts."""
+    total = np.zeros(buckets, "i8")
+    for batch in bounded_batches(batches, "text", BATCH_BYTES):
+        total += np.bincount(features_of(batch.column("text"), buckets)[0], minlength=buckets)
+    held = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held])], names=["bucket", "n"])
+
+
 def feature_counts(table: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, n): features of all texts of a table with a column ``text``; buckets without any have no row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(buckets, "i8")
-        for batch in bounded_batches(batches, "text", BATCH_BYTES):
-            total += np.bincount(features_of(batch.column("text"), buckets)[0], minlength=buckets)
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held])], names=["bucket", "n"])
+        return counted_batches(batches, buckets)
 
     return table.select("text").mapInArrow(run, COUNTED).groupBy("bucket").agg(F.sum("n").alias("n"))
 
@@ -126,22 +132,27 @@ def bucket_gains(corpus: DataFrame, target: DataFrame, buckets: int = BUCKETS) -
     return np.floor(SCALE * np.log((t + 1) * (all_s + buckets) / ((s + 1) * (all_t + buckets)))).astype("i8")
 
 
+def weighed_batches(batches: Iterator[pa.RecordBatch], gains: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """WEIGHED of a task's documents."""
+    for batch in bounded_batches(batches, "text", BATCH_BYTES):
+        bucket, row, n_words = features_of(batch.column("text"), len(gains))
+        order = np.argsort(row, kind="stable")
+        n = np.bincount(row, minlength=batch.num_rows)
+        total = np.zeros(batch.num_rows, "i8")
+        if len(order):
+            total[n > 0] = np.add.reduceat(gains[bucket[order]], (np.cumsum(n) - n)[n > 0])
+        weight = np.where(n > 0, total // np.maximum(n, 1), 0)
+        ids = batch.column("doc_id").cast(pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [ids, *(pa.array(x.astype("i8")) for x in (n_words, n, weight))], names=[c.split()[0] for c in WEIGHED.split(", ")]
+        )
+
+
 def weigh(docs: DataFrame, gains: np.ndarray) -> DataFrame:
     """(doc_id, n_words, n_features, weight) of every row of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded_batches(batches, "text", BATCH_BYTES):
-            bucket, row, n_words = features_of(batch.column("text"), len(gains))
-            order = np.argsort(row, kind="stable")
-            n = np.bincount(row, minlength=batch.num_rows)
-            total = np.zeros(batch.num_rows, "i8")
-            if len(order):
-                total[n > 0] = np.add.reduceat(gains[bucket[order]], (np.cumsum(n) - n)[n > 0])
-            weight = np.where(n > 0, total // np.maximum(n, 1), 0)
-            ids = batch.column("doc_id").cast(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [ids, *(pa.array(x.astype("i8")) for x in (n_words, n, weight))], names=[c.split()[0] for c in WEIGHED.split(", ")]
-            )
+        return weighed_batches(batches, gains)
 
     return docs.select("doc_id", "text").mapInArrow(run, WEIGHED)
 

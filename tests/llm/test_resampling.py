@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -105,3 +106,24 @@ def test_draw_prefers_the_target(spark):
     ranked = rows_of(r.resample(docs_of(spark, rows), target_of(spark, ["alpha beta gamma " * 50])))
     drawn = [x["doc_id"] for x in ranked if x["rank"]]
     assert len(drawn) == 100 and sum(i % 2 for i in drawn) > 95
+
+
+def test_worker_memory_does_not_grow_with_a_batch():
+    """The arrays over words and pairs are those of a slice of a batch, and the slices give what the whole batch does."""
+    rng = random.Random(4)
+    rows = [" ".join(rng.choice("abcdefghijkl") * rng.randint(1, 4) + str(rng.randint(0, 400)) for _ in range(20_000)) for _ in range(80)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int64()), pa.array(rows)], names=["doc_id", "text"])
+    whole = np.bincount(r.features_of(batch.column("text"))[0], minlength=r.BUCKETS)
+    gains = np.arange(r.BUCKETS)
+    tracemalloc.start()
+    counted, weighed = list(r.counted_batches(iter([batch]))), list(r.weighed_batches(iter([batch]), gains))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    (counts,) = counted
+    assert counts.column("bucket").to_pylist() == np.flatnonzero(whole).tolist() and counts.column("n").to_pylist() == whole[whole > 0].tolist()
+    held = pa.Table.from_batches(weighed)
+    assert held["doc_id"].to_pylist() == list(range(len(rows))) and held["n_features"].to_pylist() == [2 * 20_000 - 1] * len(rows)
+    for i in (0, 41, 79):
+        mine = r.features_of(batch.column("text").slice(i, 1))[0]
+        assert held["weight"][i].as_py() == gains[mine].sum() // len(mine)
