@@ -301,19 +301,21 @@ def images(spark: SparkSession, sf: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            values = np.stack(batch["embedding"]).astype(np.float64)
-            red = np.clip(np.floor((values + 0.5) * 255), 0, 255).astype(np.uint8)
-            pixels = np.stack([np.roll(red, -8, axis=1), red[:, ::-1], red], axis=2)
-            yield pd.DataFrame(
-                {
-                    "dataset": "vectors",
-                    ID: batch[ID],
-                    "height": SIDE,
-                    "width": SIDE,
-                    "n_channels": 3,
-                    "data": [p.tobytes() for p in pixels],
-                }
-            )
+            for start in range(0, len(batch), views.OUT_ROWS):
+                part = batch[start : start + views.OUT_ROWS]
+                values = np.stack(part["embedding"]).astype(np.float64)
+                red = np.clip(np.floor((values + 0.5) * 255), 0, 255).astype(np.uint8)
+                pixels = np.stack([np.roll(red, -8, axis=1), red[:, ::-1], red], axis=2)
+                yield pd.DataFrame(
+                    {
+                        "dataset": "vectors",
+                        ID: part[ID],
+                        "height": SIDE,
+                        "width": SIDE,
+                        "n_channels": 3,
+                        "data": [p.tobytes() for p in pixels],
+                    }
+                )
 
     schema = f"dataset string, {ID} string, height int, width int, n_channels int, data binary"
     return spread(vectors(spark, sf).select(image_id(), "embedding"), ID).mapInPandas(run, schema)

@@ -31,8 +31,9 @@ LUMA = (0.299, 0.587, 0.114)
 
 #: A larger library of overlays is joined to the images instead of given to every worker.
 OVERLAY_LIMIT_BYTES = 64 << 20
-#: Bytes of pixels in a batch of views.
-OUT_BYTES = 32 << 20
+#: Bytes of pixels that a worker holds at a time, and rows: small pictures weigh by their objects.
+OUT_BYTES = 8 << 20
+OUT_ROWS = 1024
 #: The crop's numbers: two for each try, then its corner.
 TRIES = 10
 
@@ -360,6 +361,11 @@ def pixel_columns(images: DataFrame) -> list[str]:
 
 def pictures(batch: pa.RecordBatch) -> Iterator[Picture]:
     """The rows of a batch, decoded one at a time."""
+    for start in range(0, batch.num_rows, OUT_ROWS):
+        yield from _decoded(batch.slice(start, OUT_ROWS))
+
+
+def _decoded(batch: pa.RecordBatch) -> Iterator[Picture]:
     columns = [batch.column(c).to_pylist() for c in ("dataset", ID, "height", "width", "n_channels")]
     data = batch.column("data")
     overlays = batch.column("overlays") if "overlays" in batch.schema.names else None
@@ -372,37 +378,46 @@ def list_column(rows: Sequence[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     """Flat arrays, one per row, as an Arrow list column."""
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype("i4")
     flat = np.concatenate(rows) if len(rows) else np.empty(0)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(kind.to_pandas_dtype())))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(kind.to_pandas_dtype(), copy=False)))
+
+
+def packed_views(held: Sequence[tuple[str | None, str, int, np.ndarray]]) -> pa.RecordBatch:
+    """(dataset, name, pass, view) as a batch of views."""
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([d for d, _, _, _ in held], pa.string()),
+            pa.array([n for _, n, _, _ in held], pa.string()),
+            pa.array([i for _, _, i, _ in held], pa.int32()),
+            pa.array([v.shape[0] for _, _, _, v in held], pa.int32()),
+            pa.array([v.shape[1] for _, _, _, v in held], pa.int32()),
+            list_column([v.astype(np.float32, copy=False).reshape(-1) for _, _, _, v in held], pa.float32()),
+        ],
+        names=["dataset", ID, "tta_index", "height", "width", "pixels"],
+    )
+
+
+def viewed_batches(batches: Iterator[pa.RecordBatch], stages: Sequence[Stage], n_passes: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """The views of a task's images, by about OUT_BYTES of pixels or OUT_ROWS views."""
+    for batch in batches:
+        held, size = [], 0
+        for picture in pictures(batch):
+            for i in range(n_passes):
+                view = picture.view(i, stages, seed)
+                held.append((picture.dataset, picture.name, i, view))
+                size += 4 * view.size
+                if size >= OUT_BYTES or len(held) >= OUT_ROWS:
+                    yield packed_views(held)
+                    held, size = [], 0
+        if held:
+            yield packed_views(held)
 
 
 def image_views(images: DataFrame, stages: Sequence[Stage], n_passes: int = 5, seed: int = 47) -> DataFrame:
     """One row per (image, pass) with the view's pixels, row by row, channels interleaved."""
     stages = list(stages)
 
-    def packed(held: list[tuple[Picture, int, np.ndarray]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([p.dataset for p, _, _ in held], pa.string()),
-                pa.array([p.name for p, _, _ in held], pa.string()),
-                pa.array([i for _, i, _ in held], pa.int32()),
-                pa.array([v.shape[0] for _, _, v in held], pa.int32()),
-                pa.array([v.shape[1] for _, _, v in held], pa.int32()),
-                list_column([v.astype(np.float32).reshape(-1) for _, _, v in held], pa.float32()),
-            ],
-            names=["dataset", ID, "tta_index", "height", "width", "pixels"],
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held, size = [], 0
-            for picture in pictures(batch):
-                views = [(picture, i, picture.view(i, stages, seed)) for i in range(n_passes)]
-                held, size = held + views, size + sum(4 * v.size for _, _, v in views)
-                if size >= OUT_BYTES:
-                    yield packed(held)
-                    held, size = [], 0
-            if held:
-                yield packed(held)
+        return viewed_batches(batches, stages, n_passes, seed)
 
     schema = f"dataset string, {ID} string, tta_index int, height int, width int, pixels array<float>"
     return images.select(*pixel_columns(images)).mapInArrow(run, schema)

@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -280,3 +283,32 @@ def test_scores_for_template_ids(spark):
     assert sorted(map(tuple, scoring.with_template_ids(template, scores).collect())) == [("a", 0.1), ("b", 0.2)]
     with pytest.raises(Exception, match="no prediction for id"):
         scoring.with_template_ids(template, scores.where("p > 0.15")).collect()
+
+
+def small_images(n):
+    """A batch of n 8x8 images, as Spark hands them to a worker."""
+    data = np.random.default_rng(3).integers(0, 256, (n, 192), dtype=np.uint8)
+    columns = {"dataset": ["d"] * n, ID: [f"img{i}" for i in range(n)], "height": [8] * n, "width": [8] * n, "n_channels": [3] * n}
+    return pa.RecordBatch.from_pydict(columns | {"data": [d.tobytes() for d in data]})
+
+
+def peak_and_rows(batches):
+    """Most bytes of Python and numpy while batches are made one by one, and their rows."""
+    tracemalloc.start()
+    rows = sum(batch.num_rows for batch in batches)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak, rows
+
+
+def test_views_of_small_images_are_held_by_stretches():
+    few, many = (peak_and_rows(views.viewed_batches(iter([small_images(n)]), views.identity_stages(8), 2, 47)) for n in (1500, 6000))
+    assert (few[1], many[1]) == (3000, 12000)
+    assert many[0] < 1.2 * few[0] and many[0] < 8 << 20
+
+
+def test_stretches_make_the_views_of_single_images():
+    batch = small_images(1100)
+    views_of = lambda parts: pa.Table.from_batches([v for p in parts for v in views.viewed_batches(iter([p]), views.scoring_stages(8), 2, 47)])
+    whole, single = views_of([batch]), views_of([batch.slice(i, 1) for i in range(1100)])
+    assert whole.num_rows == 2200 and whole.to_pylist() == single.to_pylist()
