@@ -108,8 +108,8 @@ def _leaf_values(model: GBTClassificationModel) -> list[list[float]]:
     ]
 
 
-#: Cells of the (row, tree) matrix that a worker holds at a time.
-LEAF_CELLS = 1 << 21
+#: Cells of the (row, tree) matrix that a worker holds at a time; some ten arrays have as many.
+LEAF_CELLS = 1 << 18
 STAGED = "epoch int, margin double, pos long, neg long"
 
 

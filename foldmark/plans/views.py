@@ -471,15 +471,22 @@ def _planes(image: np.ndarray, half_chroma: bool) -> list[np.ndarray]:
     return [y, halve(cb), halve(cr)] if half_chroma else [y, cb, cr]
 
 
-def _component_slices(batch: pa.RecordBatch, half_chroma: bool, kept: Sequence[int] | None) -> Iterator[tuple[list[Picture], list[np.ndarray]]]:
-    """Pictures and their three components' coefficients on end, by stretches of about OUT_BYTES of planes."""
-    held, planes = [], []
+#: A picture's data set and name.
+Named = tuple[str | None, str]
+
+
+def component_slices(
+    batch: pa.RecordBatch, half_chroma: bool, kept: Sequence[int] | None
+) -> Iterator[tuple[list[Named], list[np.ndarray]]]:
+    """Pictures' names and their three components' coefficients on end, by stretches of about OUT_BYTES of planes or OUT_ROWS pictures."""
+    held, planes, size = [], [], 0
     for picture in pictures(batch):
-        held.append(picture)
+        held.append((picture.dataset, picture.name))
         planes += _planes(picture.image, half_chroma)
-        if sum(p.nbytes for p in planes) >= OUT_BYTES:
+        size += sum(p.nbytes for p in planes[-3:])
+        if size >= OUT_BYTES or len(held) >= OUT_ROWS:
             yield held, plane_coefficients(planes, kept)
-            held, planes = [], []
+            held, planes, size = [], [], 0
     if held:
         yield held, plane_coefficients(planes, kept)
 
@@ -496,13 +503,13 @@ def image_coefficients(images: DataFrame, half_chroma: bool = False) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for held, parts in _component_slices(batch, half_chroma, None):
+            for held, parts in component_slices(batch, half_chroma, None):
                 y, cb, cr = parts[::3], parts[1::3], parts[2::3]
                 sizes = [[p.shape[i] for p in c] for c in (y, cb) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([p.dataset for p in held], pa.string()),
-                        pa.array([p.name for p in held], pa.string()),
+                        pa.array([d for d, _ in held], pa.string()),
+                        pa.array([n for _, n in held], pa.string()),
                         *[pa.array(s, pa.int32()) for s in sizes],
                         *[blocks_column(c) for c in (y, cb, cr)],
                     ],
@@ -525,15 +532,15 @@ def coefficient_features(images: DataFrame, k: int = 8, half_chroma: bool = Fals
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for held, parts in _component_slices(batch, half_chroma, kept):
+            for held, parts in component_slices(batch, half_chroma, kept):
                 features = []
                 for y, cb, cr in zip(parts[::3], parts[1::3], parts[2::3], strict=True):
                     step = max(1, 2 * cb.shape[0] // y.shape[0])
                     features.append(np.concatenate([p.reshape(-1) for p in (y, cb[::step, ::step], cr[::step, ::step])]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([p.dataset for p in held], pa.string()),
-                        pa.array([p.name for p in held], pa.string()),
+                        pa.array([d for d, _ in held], pa.string()),
+                        pa.array([n for _, n in held], pa.string()),
                         list_column(features, pa.float64()),
                     ],
                     names=["dataset", ID, "features"],

@@ -307,6 +307,17 @@ def test_views_of_small_images_are_held_by_stretches():
     assert many[0] < 1.2 * few[0] and many[0] < 8 << 20
 
 
+def test_coefficients_of_small_images_are_held_by_stretches():
+    def made(n):
+        for held, parts in views.component_slices(small_images(n), False, None):
+            assert len(parts) == 3 * len(held)
+            yield pa.RecordBatch.from_pydict({ID: [name for _, name in held]})
+
+    few, many = peak_and_rows(made(2500)), peak_and_rows(made(10_000))
+    assert (few[1], many[1]) == (2500, 10_000)
+    assert many[0] < 1.2 * few[0] and many[0] < 16 << 20
+
+
 def test_stretches_make_the_views_of_single_images():
     batch = small_images(1100)
     views_of = lambda parts: pa.Table.from_batches([v for p in parts for v in views.viewed_batches(iter([p]), views.scoring_stages(8), 2, 47)])
