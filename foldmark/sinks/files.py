@@ -17,6 +17,9 @@ from foldmark.schemas import ID
 from foldmark.sources.images import image_path
 
 FORMAT = "named_files"
+#: Bytes of pixels, and files, that a worker encodes at a time.
+OUT_BYTES = 8 << 20
+OUT_ROWS = 1024
 
 
 @dataclass
@@ -40,7 +43,8 @@ class NamedFilesWriter(DataSourceArrowWriter):
 
         files, attempt, folders = 0, uuid.uuid4().hex, set()
         for batch in iterator:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                path = path.as_py()
                 store, place = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:/") else f"file://{path}")
                 folder, _, name = place.rpartition("/")
                 if folder not in folders:
@@ -48,7 +52,7 @@ class NamedFilesWriter(DataSourceArrowWriter):
                     folders.add(folder)
                 beside = f"{folder}/.{name}.{attempt}"
                 with store.open_output_stream(beside) as out:
-                    out.write(content)
+                    out.write(content.as_buffer())
                 store.move(beside, place)
                 files += 1
         return Written(files)
@@ -72,22 +76,32 @@ def write_files(df: DataFrame) -> None:
     df.select("path", "content").write.format(FORMAT).mode("append").save()
 
 
+def encoded_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, content) of a task's images, by about OUT_BYTES of pixels or OUT_ROWS files."""
+
+    def packed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(content, pa.binary())], names=["path", "content"])
+
+    for batch in batches:
+        paths, content, size = [], [], 0
+        for path, *shape, data in zip(*(batch.column(c) for c in ("path", "height", "width", "n_channels", "data")), strict=True):
+            stored = np.frombuffer(data.as_buffer(), np.uint8).reshape([n.as_py() for n in shape])
+            paths.append(path.as_py())
+            # Stored BGR(A) becomes RGB(A).
+            content.append(encode_png(stored if stored.shape[2] == 1 else stored[:, :, [2, 1, 0, 3][: stored.shape[2]]]))
+            size += stored.nbytes
+            if size >= OUT_BYTES or len(content) >= OUT_ROWS:
+                yield packed()
+                paths, content, size = [], [], 0
+        if content:
+            yield packed()
+
+
 def png_files(images: DataFrame, roots: str | Mapping[str, str], suffix: str = ".png") -> DataFrame:
     """(path, content) of images as PNG files, under one root or the root of the row's dataset; no root is an error."""
     path = image_path(roots, F.col(ID), F.col("dataset"), suffix)
     rows = images.select(fail_if(path.isNull(), "no root for the dataset of image", ID, path).alias("path"), "height", "width", "n_channels", "data")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shapes = zip(*(batch.column(c).to_pylist() for c in ("height", "width", "n_channels")), strict=True)
-            content = []
-            for shape, data in zip(shapes, batch.column("data"), strict=True):
-                stored = np.frombuffer(data.as_buffer(), np.uint8).reshape(shape)
-                # Stored BGR(A) becomes RGB(A).
-                content.append(encode_png(stored if shape[2] == 1 else stored[:, :, [2, 1, 0, 3][: shape[2]]]))
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(content, pa.binary())], names=["path", "content"])
-
-    return rows.mapInArrow(run, "path string, content binary")
+    return rows.mapInArrow(encoded_batches, "path string, content binary")
 
 
 def write_images(images: DataFrame, roots: str | Mapping[str, str], suffix: str = ".png") -> None:

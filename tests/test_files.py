@@ -1,6 +1,8 @@
 import json
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -270,3 +272,23 @@ def test_index_in_folders_by_experiment(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(name" in back.where("name = 'e7'")._jdf.queryExecution().executedPlan().toString()
     sinks.write_index(index, f"{tmp_path}/lines")
     assert sorted(map(repr, experiments.read_index(spark, f"{tmp_path}/lines", ("name",)).collect())) == sorted(map(repr, back.collect()))
+
+
+def test_png_files_are_encoded_by_stretches():
+    """What a worker holds of a batch's files doesn't grow with the batch."""
+    from foldmark.sinks.files import encoded_batches
+
+    data = np.random.default_rng(5).integers(0, 256, (256, 256, 3), dtype=np.uint8).tobytes()
+    n = 160
+    batch = pa.RecordBatch.from_pydict(
+        {"path": [f"/{i}.png" for i in range(n)], "height": [256] * n, "width": [256] * n, "n_channels": [3] * n, "data": [data] * n}
+    )
+    tracemalloc.start()
+    paths = []
+    for part in encoded_batches(iter([batch])):
+        paths += part.column("path").to_pylist()
+        assert part.nbytes < 12 << 20
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert paths == [f"/{i}.png" for i in range(n)]
+    assert peak < 24 << 20
